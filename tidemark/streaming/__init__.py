@@ -1,0 +1 @@
+"""Intentionally empty: every entry point in scope reads whole files, none is a stream."""
