@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.schema import (BOOL_TOKENS, DATE_SHAPE, DEFAULT_PRICE, DEFAULT_UNITS, MONTHS,
+from tidemark.schema import (BOOL_TOKENS, DATE_REWRITES, DEFAULT_PRICE, DEFAULT_UNITS,
                              NUMERIC_PATTERN, TIME_SUFFIX)
 
 
@@ -65,36 +65,25 @@ def coerce_promo(df: DataFrame, name: str = "promotion_flag", whole: DataFrame |
     return df.withColumn(name, F.when(promo_is_text(source, name), as_label).otherwise(as_value))
 
 
-def _month_number(word: Column) -> Column:
-    """1..12 of a month name (first three letters), NULL for another word."""
-    at = F.position(F.substring(F.lower(word), 1, 3), F.lit(MONTHS))
-    return F.when(at % 3 == 1, ((at + 2) / 3).cast("int")).cast("string")
-
-
 def parse_dates(df: DataFrame, name: str = "date", pivot_year: int = 2075) -> DataFrame:
     """Truncate to the day and drop rows without a readable date.
 
-    Text is read month first, day first only where the first number cannot be a month.
-    Two-digit years after ``pivot_year`` belong to the previous century.
+    Text is rewritten to year-month-day by a fixed chain of patterns and then cast. Two-digit
+    years after ``pivot_year`` belong to the previous century.
     """
     if not is_text(df, name):
         return df.withColumn(name, F.col(name).cast("date")).filter(F.col(name).isNotNull())
-    # Intermediate columns keep each pattern from being evaluated more than once per row.
     body = F.trim(F.regexp_replace(F.trim(name), TIME_SUFFIX, ""))
-    parts = df.withColumn("_body", body).withColumn(
-        "_p", F.when(F.col("_body").rlike(DATE_SHAPE), F.split("_body", "[-/ ,]+")))
-    a, b, c = (F.get("_p", F.lit(i)) for i in range(3))
-    eight, year_first = F.size("_p") == 1, F.length(a) == 4
-    word_first, word_second = a.rlike("^[A-Za-z]"), b.rlike("^[A-Za-z]")
-    day_first = a.try_cast("int") > 12
-    short = c.try_cast("int") + 2000
-    century = F.when(short > pivot_year, short - 100).otherwise(short).cast("string")
-    last_year = F.when(F.length(c) == 2, century).otherwise(c)
-    year = F.when(eight, F.substring(a, 1, 4)).when(year_first, a).otherwise(last_year)
-    month = (F.when(eight, F.substring(a, 5, 2)).when(word_first, _month_number(a))
-             .when(word_second, _month_number(b)).when(year_first | day_first, b).otherwise(a))
-    day = (F.when(eight, F.substring(a, 7, 2)).when(year_first, c)
-           .when(word_second | day_first, a).otherwise(b))
-    text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    parsed = parts.withColumn(name, F.when(F.col("_p").isNotNull(), text.try_cast("date")))
-    return parsed.drop("_body", "_p").filter(F.col(name).isNotNull())
+    iso = body
+    for pattern, order in DATE_REWRITES:
+        iso = F.regexp_replace(iso, pattern, order)
+    past = "|".join(f"{year % 100:02d}" for year in range(pivot_year + 1, 2100))
+    if past:
+        iso = F.regexp_replace(iso, rf"^({past})-(\d{{1,2}}-\d{{1,2}})$", "19$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{2})-(\d{1,2}-\d{1,2})$", "20$1-$2")
+    numeric = F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), iso.try_cast("date"))
+    short = F.initcap(F.regexp_replace(body, r"([A-Za-z]{3})[A-Za-z]*,?", "$1"))
+    short = F.regexp_replace(short, ",", "")
+    named = F.coalesce(*[F.try_to_timestamp(short, F.lit(p)) for p in ("MMM d yyyy", "d MMM yyyy")])
+    spelled = F.when(body.rlike(r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$|^\d{1,2} [A-Za-z]{3,9} \d{4}$"), named)
+    return df.withColumn(name, F.coalesce(numeric, spelled.cast("date"))).filter(F.col(name).isNotNull())
