@@ -1 +1,122 @@
+"""Fitted models. No SQL counterpart: the driver checks rows, the tests check recovery."""
 
+from __future__ import annotations
+
+import uuid
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.catalog.base import demand, query, sku_daily, total_daily
+from tidemark.operators import linear as ln
+from tidemark.operators import nonlinear as nl
+from tidemark.operators.align import residuals
+from tidemark.operators.eda import split_by_date
+from tidemark.operators.evaluate import long_scores, model_metrics
+from tidemark.operators.stationarity import diagnostics, effective_sample
+from tidemark.plans.forecast import forecast_rows
+from tidemark.plans.train import MODELS, Settings, backtest_one_step, longest, train_hybrid, train_with_regressors
+from tidemark.session import ensure_checkpoint_dir
+
+SPLIT, AS_OF = "2001-07-01", "2001-12-15"
+QUICK = Settings(rounds=4, depth=3)
+
+
+def split(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_by_date(daily, SPLIT)
+
+
+@lru_cache(maxsize=8)
+def _trained(app: str, sf: str) -> str:
+    """Train once per application and table folder; the models live in the shared folder."""
+    spark = SparkSession.getActiveSession()
+    folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    train_hybrid(*split(total_daily(spark, sf)), folder, QUICK)
+    return folder
+
+
+def trained(spark: SparkSession, sf: str) -> str:
+    return _trained(spark.sparkContext.applicationId, sf)
+
+
+@query("m01_search_orders", digits=2)
+def m01(spark, sf):
+    return ln.search_orders(sku_daily(spark, sf)).select("series_id", "d", "sd", "p", "q", "sp", "sq", "n", "aic", "admissible")
+
+
+@query("m02_search_plain_orders", digits=2)
+def m02(spark, sf):
+    return ln.search_orders(sku_daily(spark, sf), grid=ln.Grid.plain()).select(
+        "series_id", "d", "p", "q", "n", "aic", "admissible")
+
+
+@query("m03_fit_linear_regressors", digits=3)
+def m03(spark, sf):
+    coefficients, _ = train_with_regressors(*split(sku_daily(spark, sf)))
+    return coefficients.select("series_id", "d", "sd", "p", "q", "sp", "sq", "aic", "intercept",
+                               F.posexplode("beta").alias("regressor", "beta"))
+
+
+@query("m04_forecast_linear", digits=3)
+def m04(spark, sf):
+    train, test = split(sku_daily(spark, sf))
+    return ln.forecast_linear(train, ln.search_orders(train), test)
+
+
+@query("m05_apply_linear", digits=3)
+def m05(spark, sf):
+    daily = sku_daily(spark, sf)
+    return ln.apply_linear(daily, ln.search_orders(split(daily)[0]))
+
+
+@query("t05_linear_diagnostics", digits=3)
+def t05_linear(spark, sf):
+    daily = sku_daily(spark, sf)
+    coefficients = ln.search_orders(daily)
+    known = residuals(daily, ln.apply_linear(daily, coefficients))
+    return diagnostics(effective_sample(known, coefficients), F.col("n_params"))
+
+
+@query("m06_fit_nonlinear", digits=3)
+def m06(spark, sf):
+    """Test error of each output step of the trees, trained on the pooled brands."""
+    train, test = split(sku_daily(spark, sf))
+    model = nl.fit_nonlinear(train, "total_units", rounds=2, depth=3)
+    predicted = nl.predict_one_step(model, test)
+    return model_metrics(test.select("series_id", "date", F.col("total_units").alias("actual")).join(
+        predicted.withColumnRenamed("predicted_units", "predicted"), ["series_id", "date"]), ("series_id",))
+
+
+@query("m07_forecast_blocks", digits=3)
+def m07(spark, sf):
+    folder = trained(spark, sf)
+    return spark.read.parquet(f"{folder}/series/forecasts").select("series_id", "date", "nonlinear_only")
+
+
+@query("m08_predict_one_step")
+def m08(spark, sf):
+    return backtest_one_step(demand(spark, sf), trained(spark, sf))
+
+
+@query("m09_forecast_future_residual", digits=3)
+def m09(spark, sf):
+    folder = trained(spark, sf)
+    daily = total_daily(spark, sf)
+    known = residuals(daily, ln.apply_linear(daily, spark.read.parquet(f"{folder}/linear")))
+    return nl.forecast_future(nl.NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals"), known, 28)
+
+
+@query("m11_hybrid", digits=3)
+def m11(spark, sf):
+    forecasts = spark.read.parquet(f"{trained(spark, sf)}/series/forecasts")
+    return model_metrics(long_scores(forecasts, MODELS))
+
+
+@query("m12_run_forecast")
+def m12(spark, sf):
+    return forecast_rows(demand(spark, sf), 1, AS_OF, trained(spark, sf)).sku_daily
+
+
+@query("m12_run_forecast_quarterly")
+def m12_quarterly(spark, sf):
+    return forecast_rows(demand(spark, sf), 1, AS_OF, trained(spark, sf)).sku_quarterly

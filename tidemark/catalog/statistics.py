@@ -1 +1,71 @@
+"""Time-series statistics."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.base import SKU_DAILY, query, sku_daily
+from tidemark.catalog.joins import NAIVE, naive_forecasts
+from tidemark.operators import stationarity as st
+
+LAGS = 40
+ACF = SKU_DAILY + """, c as (select series_id, date, total_units - avg(total_units) over (partition by series_id) as c,
+  row_number() over (partition by series_id order by date) as i from daily),
+n as (select series_id, count(*) as n, sum(c * c) as v from c group by series_id),
+lagged as (select a.series_id, k as lag, sum(a.c * b.c) as s from c a, range(0, 41) r(k), c b
+  where b.series_id = a.series_id and b.i = a.i - k group by a.series_id, k),
+acf as (select series_id, lag, s / v as acf, n from lagged join n using (series_id))"""
+
+
+@query("t02_acf", ACF + """ select series_id, cast(lag as integer) as lag, acf, case when lag = 0 then 0.0 else
+  1.959963984540054 * sqrt((1 + 2 * coalesce(sum(case when lag > 0 then acf * acf end) over
+    (partition by series_id order by lag rows between unbounded preceding and 1 preceding), 0)) / n) end as band from acf""",
+       floats="acf band")
+def t02(spark, sf):
+    return st.acf(sku_daily(spark, sf), max_lag=LAGS)
+
+
+@query("t03_pacf", ACF.replace("with demand", "with recursive demand", 1) + """,
+a as (select series_id, list(acf order by lag) as r, max(n) as n from acf group by series_id),
+rec as (
+  select series_id, 0 as k, []::double[] as phi, 1.0::double as v, 1.0::double as pacf from a
+  union all
+  select series_id, k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - kap * phi[k + 1 - i]), kap),
+    v * (1 - kap * kap), kap
+  from (select rec.series_id, rec.k, rec.phi, rec.v, (a.r[rec.k + 2] - coalesce(list_sum(list_transform(
+          range(1, rec.k + 1), lambda i: rec.phi[i] * a.r[rec.k + 2 - i])), 0)) / rec.v as kap
+        from rec join a on a.series_id = rec.series_id where rec.k < 40) as step)
+select rec.series_id, cast(k as integer) as lag, pacf,
+  case when k = 0 then 0.0 else 1.959963984540054 / sqrt(n) end as band from rec join a on a.series_id = rec.series_id""",
+       floats="pacf band")
+def t03(spark, sf):
+    return st.pacf(sku_daily(spark, sf), max_lag=LAGS)
+
+
+@query("t05_diagnostics", SKU_DAILY + NAIVE + """, e as (select series_id, date, total_units - mixed as e,
+  row_number() over (partition by series_id order by date) as i, count(*) over (partition by series_id) as n,
+  (total_units - mixed) - avg(total_units - mixed) over (partition by series_id) as c from scored),
+f as (select *, lag(c) over (partition by series_id order by date) as c1 from e),
+g as (select series_id, max(n) as n, avg(e * e) as s2, sum(c * c1) / sum(c * c) as r1, avg(c ** 2) as m2, avg(c ** 3) as m3,
+  avg(c ** 4) as m4, sum(e * e) filter (where i > n - cast(round(n / 3) as bigint))
+    / sum(e * e) filter (where i <= cast(round(n / 3) as bigint)) as heteroskedasticity from f group by series_id),
+h as (select *, -n / 2 * (ln(2 * pi() * s2) + 1) as loglik, m3 / m2 ** 1.5 as skew, m4 / (m2 * m2) as kurtosis,
+  n * (n + 2) * r1 * r1 / (n - 1) as ljung_box from g),
+j as (select *, n / 6 * (skew ** 2 + (kurtosis - 3) ** 2 / 4) as jarque_bera from h)
+select series_id, n, loglik, 2 * 3 - 2 * loglik as aic, 3 * ln(n) - 2 * loglik as bic, 2 * 3 * ln(ln(n)) - 2 * loglik as hqic,
+  ljung_box, jarque_bera, exp(-jarque_bera / 2) as jarque_bera_p, heteroskedasticity, skew, kurtosis from j""",
+       floats="loglik aic bic hqic ljung_box jarque_bera jarque_bera_p heteroskedasticity skew kurtosis", digits=4)
+def t05(spark, sf):
+    scored = naive_forecasts(sku_daily(spark, sf))
+    errors = scored.select("series_id", "date", (F.col("total_units") - F.col("mixed")).alias("residuals"))
+    return st.diagnostics(errors, 3).drop("ljung_box_p")
+
+
+@query("t01_adf_test")
+def t01(spark, sf):
+    return st.adf_test(sku_daily(spark, sf))
+
+
+@query("t04_differencing_choice")
+def t04(spark, sf):
+    return st.differencing_choice(sku_daily(spark, sf))

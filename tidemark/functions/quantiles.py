@@ -18,6 +18,11 @@ def _bucket(value: Column) -> Column:
     return F.when(value < 0, -size - 1).otherwise(size)
 
 
+def _rank(total: str, p: float, up: bool) -> Column:
+    exact = F.lit(p) * (F.col(total) - 1)
+    return F.ceil(exact) if up else F.floor(exact)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> DataFrame:
     """One row: ``n`` and ``quantiles`` (array, linear interpolation between ranks)."""
     counts = (df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
@@ -30,24 +35,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> DataFrame:
                                                            Window.unboundedFollowing))
     placed = buckets.select("b", before.alias("before"), total.alias("total"))
 
-    ranks = []
-    for p in probs:
-        exact = F.lit(p) * (F.col("total") - 1)
-        ranks += [F.floor(exact), F.ceil(exact)]
+    ranks = [_rank("total", p, up) for p in probs for up in (False, True)]
     wanted = placed.agg(
         F.max("total").alias("total"),
         *[F.max(F.when(F.col("before") <= rank, F.struct("before", "b"))).alias(f"hit{i}")
           for i, rank in enumerate(ranks)])
-    hits = F.array(*[F.col(f"hit{i}.b") for i in range(len(ranks))])
     target = wanted.select(F.struct("*").alias("w")).scalar()
 
     inside = Window.partitionBy("b").orderBy("v")
-    fine = (counts.filter(F.array_contains(wanted.select(hits).scalar(), F.col("b")))
-            .withColumn("upto", F.sum("n").over(inside))
-            .withColumn("w", target))
+    hits = [F.col(f"w.hit{i}.b") for i in range(len(ranks))]
+    fine = (counts.withColumn("w", target).filter(F.col("b").isin(*hits))
+            .withColumn("upto", F.sum("n").over(inside)))
     picked = fine.agg(F.max("w.total").alias("total"), *[
         F.min(F.when((F.col("b") == F.col(f"w.hit{i}.b"))
-                     & (F.col(f"w.hit{i}.before") + F.col("upto") > rank_on("w.total", p, up)),
+                     & (F.col(f"w.hit{i}.before") + F.col("upto") > _rank("w.total", p, up)),
                      F.col("v"))).alias(f"v{i}")
         for i, (p, up) in enumerate((p, up) for p in probs for up in (False, True))])
     values = []
@@ -57,8 +58,3 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> DataFrame:
         lo, hi = F.col(f"v{2 * j}"), F.col(f"v{2 * j + 1}")
         values.append(lo + (hi - lo) * part)
     return picked.select(F.coalesce("total", F.lit(0)).alias("n"), F.array(*values).alias("quantiles"))
-
-
-def rank_on(total: str, p: float, up: bool) -> Column:
-    exact = F.lit(p) * (F.col(total) - 1)
-    return F.ceil(exact) if up else F.floor(exact)
