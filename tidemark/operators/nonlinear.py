@@ -6,8 +6,10 @@ blocks of the horizon, never over series or rows.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
@@ -47,8 +49,11 @@ def as_vector(windows: DataFrame) -> DataFrame:
 
 
 def fit_nonlinear(daily: DataFrame, target: str = "total_units", n_in: int = N_IN, n_out: int = N_OUT,
-                  rounds: int = 20, depth: int = 4, seed: int = 42) -> NonlinearModel:
-    """Scale, cut windows, hold back the last tenth of each series for early stopping, fit."""
+                  rounds: int = 20, depth: int = 4, seed: int = 42, parallel: int = N_OUT) -> NonlinearModel:
+    """Scale, cut windows, hold back the last tenth of each series for early stopping, fit.
+
+    The output steps are independent Spark jobs, submitted ``parallel`` at a time.
+    """
     columns = feature_columns(target)
     scaler = fit_minmax(daily, columns)
     scaled = apply_scaler(daily.select("series_id", "date", *columns), scaler, columns)
@@ -58,9 +63,14 @@ def fit_nonlinear(daily: DataFrame, target: str = "total_units", n_in: int = N_I
     try:
         if data.filter("is_val").isEmpty():
             raise ValueError("too few windows to train the nonlinear model")
-        steps = [Pipeline(stages=[GBTRegressor(
-            labelCol=f"y{k}", predictionCol=f"p{k}", validationIndicatorCol="is_val", maxIter=rounds,
-            maxDepth=depth, seed=seed, cacheNodeIds=False)]).fit(data) for k in range(n_out)]
+
+        def fit(k: int) -> PipelineModel:
+            trees = GBTRegressor(labelCol=f"y{k}", predictionCol=f"p{k}", validationIndicatorCol="is_val",
+                                 maxIter=rounds, maxDepth=depth, seed=seed)
+            return Pipeline(stages=[trees]).fit(data)
+
+        with ThreadPoolExecutor(parallel) as pool:
+            steps = list(pool.map(inheritable_thread_target(daily.sparkSession)(fit), range(n_out)))
     finally:
         data.unpersist()
     return NonlinearModel(target, steps, scaler, n_in)

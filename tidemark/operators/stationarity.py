@@ -36,16 +36,24 @@ def autocorrelations(series: DataFrame, name: str, max_lag: int,
                      keys: tuple[str, ...] = ("series_id",)) -> DataFrame:
     """One row per series: ``n`` and ``acf``, the array r0..r(max_lag). Lags are shifted columns
     of one ordered pass and the products are summed in one aggregation."""
-    ordered = Window.partitionBy(*keys).orderBy("date")
-    x = F.col(name).cast("double")
-    centred = series.select(*keys, "date", (x - F.avg(x).over(Window.partitionBy(*keys))).alias("_c"))
-    shifted = centred.select(*keys, "_c", *[
-        F.lag("_c", k).over(ordered).alias(f"_l{k}") for k in range(1, max_lag + 1)])
-    products = [F.sum(F.col("_c") * F.col("_c"))] + [
-        F.coalesce(F.sum(F.col("_c") * F.col(f"_l{k}")), F.lit(0.0)) for k in range(1, max_lag + 1)]
-    sums = shifted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*products).alias("_s"))
-    return sums.filter(F.col("_s")[0] > 0).select(
-        *keys, "n", F.transform("_s", lambda v: v / F.col("_s")[0]).alias("acf"))
+    by = ", ".join(keys)
+    lags = range(1, max_lag + 1)
+    centred = series.selectExpr(*keys, "date", f"{centre(name, by)} as _c")
+    shifted = centred.selectExpr(*keys, "_c", *lag_columns("_c", lags, by))
+    products = ["sum(_c * _c)"] + [f"coalesce(sum(_c * _c_{k}), 0D)" for k in lags]
+    sums = shifted.groupBy(*keys).agg(F.expr("count(1) as n"), F.expr(f"array({', '.join(products)}) as _s"))
+    return sums.filter("_s[0] > 0").selectExpr(*keys, "n", "transform(_s, v -> v / _s[0]) as acf")
+
+
+def centre(name: str, by: str) -> str:
+    """Deviation from the series mean. Ordered like the lags, so that both share one sort."""
+    x = f"cast({name} as double)"
+    return f"{x} - avg({x}) over (partition by {by} order by date rows between unbounded preceding and unbounded following)"
+
+
+def lag_columns(name: str, lags, by: str) -> list[str]:
+    """Expressions ``name_k`` for each lag; as text, because a model needs many of them."""
+    return [f"lag({name}, {k}) over (partition by {by} order by date) as {name}_{k}" for k in lags]
 
 
 def acf(series: DataFrame, name: str = "total_units", max_lag: int = 40) -> DataFrame:
