@@ -71,8 +71,7 @@ def test_cap(spark):
     q1, q3 = np.quantile(values, [0.25, 0.75])
     assert cap == q3 + 1.5 * (q3 - q1)
     assert max(column(clip_iqr(more), "units_sold")) == min(50, cap)
-    fixed = spark.createDataFrame([(7.5,)], "cap double")
-    assert sorted(column(clip_iqr(more, cap=fixed), "units_sold"))[-1] == 7.5
+    assert sorted(column(clip_iqr(more, cap=7.5), "units_sold"))[-1] == 7.5
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -63,6 +63,16 @@ def test_product_filter_reaches_the_scan(spark, sf):
     assert "EqualTo(p_brand,Brand#13)" in plan
 
 
+def test_sample_is_limited_before_the_shuffle(spark, sf):
+    plan = QUERIES["o04_sample_per_sku"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4
+
+
+def test_series_are_shuffled_once_after_aggregation(spark, sf):
+    plan = QUERIES["daily_series_per_part"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 2499

@@ -56,10 +56,10 @@ select date, sku_id, cast(sum(least(cast(units_sold as double), cap)) as double)
 from demand, cap group by date, sku_id""", dates="date", floats="capped_units cap")
 def p03(spark, sf):
     rows = event_days(spark, sf)
-    cap = iqr_cap(rows)
+    cap = iqr_cap(rows).first()["cap"]
     return clip_iqr(rows.withColumn("raw", F.col("units_sold")), cap=cap).groupBy("date", "sku_id").agg(
         F.sum("units_sold").alias("capped_units"), F.sum("raw").alias("units"),
-        F.max(cap.scalar()).alias("cap"))
+        F.lit(cap).alias("cap"))
 
 
 @query("p04_keep_positive", f"with {MESSY_CLEAN} select sku_id, count(*) as n, sum(units_sold) as units "
@@ -177,6 +177,19 @@ def s10(spark, sf):
     return completeness(demand(spark, sf)).withColumn("days_expected", F.col("days_expected").cast("bigint"))
 
 
+@query("s10_row_count", """with r as (select count(*) as rows, date_diff('day', min(d), max(d)) + 1 as days,
+  count(distinct p_brand) as skus, count(distinct l_suppkey) as locations
+  from (select cast(l_shipdate as date) as d, p_brand, l_suppkey from lineitem join part on l_partkey = p_partkey))
+select rows, days * skus * locations as expected, rows = days * skus * locations as complete from r""")
+def s10_rows(spark, sf):
+    from tidemark.operators.eda import row_count
+
+    part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("sku_id"))
+    lines = table(spark, sf, "lineitem").select(
+        "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
+    return row_count(lines.join(part, lines.l_partkey == part.p_partkey), "l_suppkey")
+
+
 @query("j01_densify_orders", f"with {ORDER_DAYS},\n{daily_sql()} select series_id, date, total_units, avg_price from daily",
        dates="date", floats="avg_price")
 def j01_orders(spark, sf):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,17 +25,17 @@ def split(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_by_date(daily, SPLIT)
 
 
-@lru_cache(maxsize=8)
-def _trained(app: str, sf: str) -> str:
-    """Train once per application and table folder; the models live in the shared folder."""
-    spark = SparkSession.getActiveSession()
-    folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
-    train_hybrid(*split(total_daily(spark, sf)), folder, QUICK)
-    return folder
+_TRAINED: dict[tuple[str, str], str] = {}
 
 
 def trained(spark: SparkSession, sf: str) -> str:
-    return _trained(spark.sparkContext.applicationId, sf)
+    """Train once per application and table folder; the models live in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+        train_hybrid(*split(total_daily(spark, sf)), folder, QUICK)
+        _TRAINED[key] = folder
+    return _TRAINED[key]
 
 
 @query("m01_search_orders", digits=2)

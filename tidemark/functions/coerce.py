@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.schema import (BOOL_TOKENS, DATE_REWRITES, DEFAULT_PRICE, DEFAULT_UNITS,
-                             NUMERIC_PATTERN, TIME_SUFFIX)
+from tidemark.functions.let import let
+from tidemark.schema import (BOOL_TOKENS, DEFAULT_PRICE, DEFAULT_UNITS, NAMED_DAY,
+                             NUMERIC_DAY, NUMERIC_PATTERN, TIME_SUFFIX)
 
 
 def is_text(df: DataFrame, name: str) -> bool:
@@ -65,25 +66,39 @@ def coerce_promo(df: DataFrame, name: str = "promotion_flag", whole: DataFrame |
     return df.withColumn(name, F.when(promo_is_text(source, name), as_label).otherwise(as_value))
 
 
-def parse_dates(df: DataFrame, name: str = "date", pivot_year: int = 2075) -> DataFrame:
-    """Truncate to the day and drop rows without a readable date.
+def date_of(text: Column, pivot_year: int = 2075) -> Column:
+    """Calendar day of a text, NULL when it is none.
 
-    Text is rewritten to year-month-day by a fixed chain of patterns and then cast. Two-digit
-    years after ``pivot_year`` belong to the previous century.
+    Read month first, day first only where the first number cannot be a month. Two-digit years
+    after ``pivot_year`` belong to the previous century.
     """
-    if not is_text(df, name):
-        return df.withColumn(name, F.col(name).cast("date")).filter(F.col(name).isNotNull())
-    body = F.trim(F.regexp_replace(F.trim(name), TIME_SUFFIX, ""))
-    iso = body
-    for pattern, order in DATE_REWRITES:
-        iso = F.regexp_replace(iso, pattern, order)
-    past = "|".join(f"{year % 100:02d}" for year in range(pivot_year + 1, 2100))
-    if past:
-        iso = F.regexp_replace(iso, rf"^({past})-(\d{{1,2}}-\d{{1,2}})$", "19$1-$2")
-    iso = F.regexp_replace(iso, r"^(\d{2})-(\d{1,2}-\d{1,2})$", "20$1-$2")
-    numeric = F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), iso.try_cast("date"))
-    short = F.initcap(F.regexp_replace(body, r"([A-Za-z]{3})[A-Za-z]*,?", "$1"))
-    short = F.regexp_replace(short, ",", "")
-    named = F.coalesce(*[F.try_to_timestamp(short, F.lit(p)) for p in ("MMM d yyyy", "d MMM yyyy")])
-    spelled = F.when(body.rlike(r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$|^\d{1,2} [A-Za-z]{3,9} \d{4}$"), named)
-    return df.withColumn(name, F.coalesce(numeric, spelled.cast("date"))).filter(F.col(name).isNotNull())
+    trimmed = F.trim(text)
+    body = F.when(F.contains(trimmed, F.lit(":")), F.regexp_replace(trimmed, TIME_SUFFIX, "")).otherwise(trimmed)
+    return let(body, lambda b: F.when(b.rlike(NUMERIC_DAY), _numeric_day(b, pivot_year))
+               .when(b.rlike(NAMED_DAY), _named_day(b)))
+
+
+def _numeric_day(body: Column, pivot_year: int) -> Column:
+    def arranged(parts: Column) -> Column:
+        first, second, last = (F.get(parts, F.lit(i)) for i in range(3))
+        day_first = (F.length(first) == 2) & (first > "12")
+        century = F.when(F.length(last) == 4, "").when(last.try_cast("int") + 2000 > pivot_year, "19").otherwise("20")
+        eight = F.array(F.substring(first, 1, 4), F.substring(first, 5, 2), F.substring(first, 7, 2))
+        return (F.when(F.size(parts) == 1, eight).when(F.length(first) == 4, parts)
+                .when(day_first, F.array(F.concat(century, last), second, first))
+                .otherwise(F.array(F.concat(century, last), first, second)))
+
+    parts = F.split(F.translate(body, "/", "-"), "-")
+    return F.concat_ws("-", let(parts, arranged)).try_cast("date")
+
+
+def _named_day(body: Column) -> Column:
+    short = F.initcap(F.regexp_replace(body, r"([A-Za-z]{3})[A-Za-z]*,?|,", "$1"))
+    return let(short, lambda s: F.coalesce(*[
+        F.try_to_timestamp(s, F.lit(p)) for p in ("MMM d yyyy", "d MMM yyyy")])).cast("date")
+
+
+def parse_dates(df: DataFrame, name: str = "date", pivot_year: int = 2075) -> DataFrame:
+    """Truncate to the day and drop rows without a readable date."""
+    day = date_of(F.col(name), pivot_year) if is_text(df, name) else F.col(name).cast("date")
+    return df.withColumn(name, day).filter(F.col(name).isNotNull())

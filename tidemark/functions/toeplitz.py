@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.let import let
+
 
 def levinson(acf: Column, order: int) -> Column:
     """``acf`` holds r0 = 1, r1..rK, K >= order. Returns struct(phi, v, pacf).
@@ -15,16 +17,14 @@ def levinson(acf: Column, order: int) -> Column:
     start = F.struct(empty.alias("phi"), F.lit(1.0).alias("v"), empty.alias("pacf"))
 
     def step(state: Column, k: Column) -> Column:
-        # Packed once per step so that the reflection coefficient is computed only once.
         phi = state["phi"]
         known = F.aggregate(
             F.zip_with(phi, F.reverse(F.slice(acf, F.lit(2), k - 1)), lambda a, r: a * r),
             F.lit(0.0), lambda s, x: s + x)
         kappa = F.when(state["v"] > 1e-12, (F.element_at(acf, k + 1) - known) / state["v"]).otherwise(0.0)
-        packed = F.transform(F.array(kappa), lambda c: F.struct(
+        return let(kappa, lambda c: F.struct(
             F.concat(F.zip_with(phi, F.reverse(phi), lambda a, b: a - c * b), F.array(c)).alias("phi"),
             (state["v"] * (1 - c * c)).alias("v"),
             F.concat(state["pacf"], F.array(c)).alias("pacf")))
-        return F.element_at(packed, 1)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(order)), start, step)

@@ -23,12 +23,17 @@ def iqr_cap(df: DataFrame, name: str = "units_sold") -> DataFrame:
     return stats.select(F.when(F.col("n") > 10, q3 + 1.5 * (q3 - q1)).alias("cap"))
 
 
-def clip_iqr(df: DataFrame, name: str = "units_sold", cap: DataFrame | None = None) -> DataFrame:
+def clip_iqr(df: DataFrame, name: str = "units_sold", cap: float | None = None) -> DataFrame:
     """Cap high values (never low ones). The result is a double, since a cap may be fractional.
-    A stored ``cap`` frame of another table may be passed instead."""
-    bound = (cap if cap is not None else iqr_cap(df, name)).scalar()
-    # least() skips NULL, so an absent cap leaves the values alone.
-    return df.withColumn(name, F.when(F.col(name).isNotNull(), F.least(F.col(name).cast("double"), bound)))
+
+    The cap is read back as one number. As a subquery it would be computed again wherever the
+    optimizer moves the capped column to. The cap of another table may be passed instead.
+    """
+    bound = cap if cap is not None else iqr_cap(df, name).first()["cap"]
+    value = F.col(name).cast("double")
+    if bound is None:
+        return df.withColumn(name, value)
+    return df.withColumn(name, F.when(value > bound, F.lit(float(bound))).otherwise(value))
 
 
 def keep_positive(df: DataFrame, name: str = "units_sold") -> DataFrame:

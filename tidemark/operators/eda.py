@@ -82,6 +82,15 @@ def completeness(df: DataFrame) -> DataFrame:
         "complete", F.col("days_present") == F.col("days_expected"))
 
 
+def row_count(df: DataFrame, location: str) -> DataFrame:
+    """Rows present against one row per day, product and location."""
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"),
+                   (F.date_diff(F.max("date"), F.min("date")) + 1).alias("days"),
+                   F.count_distinct("sku_id").alias("skus"), F.count_distinct(location).alias("locations"))
+    expected = F.col("days") * F.col("skus") * F.col("locations")
+    return sizes.select("rows", expected.alias("expected"), (F.col("rows") == expected).alias("complete"))
+
+
 def variant_summary(rows: DataFrame) -> DataFrame:
     """Summary and lift of several dataset variants in one job; ``rows`` carries ``variant``."""
     keys = ("variant", "sku_id")

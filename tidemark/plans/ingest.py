@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, parse_dates
+from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, number, parse_dates
 from tidemark.operators.clean import clip_iqr, filter_sku, filter_status, keep_positive
 from tidemark.operators.series import daily_series
 from tidemark.sources.sales import canonical_columns, history_columns, read_sales
 
 
-def clean_sales(raw: DataFrame, sku: str | None = None, cap: DataFrame | None = None) -> DataFrame:
+def clean_sales(raw: DataFrame, sku: str | None = None, cap: float | None = None) -> DataFrame:
     """Canonical, typed, capped sales rows of any file with a date column.
 
     The cap and the text-or-number decision of the promotion column look at rows that later
@@ -26,7 +26,7 @@ def clean_sales(raw: DataFrame, sku: str | None = None, cap: DataFrame | None =
 
 
 def ingest(raw: DataFrame, sku: str | None = None, by: str | Column | None = None,
-           cap: DataFrame | None = None) -> DataFrame:
+           cap: float | None = None) -> DataFrame:
     """Gap-free daily series with calendar features, one total series or one per ``by``."""
     return daily_series(clean_sales(raw, sku, cap), by)
 
@@ -39,8 +39,6 @@ def load_series(spark: SparkSession, path: str, sku: str | None = None,
 def raw_history(raw: DataFrame) -> DataFrame:
     """Rows for the product shares: narrow spellings, no status filter, no cap, no coercion of
     missing quantities (a missing one adds nothing)."""
-    from tidemark.functions.coerce import number
-
     named = history_columns(raw)
     rows = parse_dates(named.withColumn("units_sold", number(named, "units_sold")))
     return rows.withColumn("sku_id", F.col("sku_id").cast("string"))

@@ -57,14 +57,9 @@ NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # A time of day behind a date; only the day is kept.
 TIME_SUFFIX = r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?$"
 
-# Numeric notations and their year-month-day order. Month first; day first only where the first
-# number cannot be a month. The order of the rules matters.
-DATE_REWRITES = [
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
-    (r"^(1[3-9]|[23]\d)([-/])(\d{1,2})\2(\d{4}|\d{2})$", "$4-$3-$1"),
-    (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4}|\d{2})$", "$4-$1-$3"),
-]
+# Accepted notations of a day: numeric with the year first or last, eight digits, named month.
+NUMERIC_DAY = r"^(\d{4}([-/])\d{1,2}\2\d{1,2}|\d{1,2}([-/])\d{1,2}\3(\d{4}|\d{2})|\d{8})$"
+NAMED_DAY = r"^([A-Za-z]{3,9} \d{1,2},? \d{4}|\d{1,2} [A-Za-z]{3,9} \d{4})$"
 
 LINEAR_REGRESSORS = ["avg_price", "promo_any", "dow_sin", "doy_sin"]
 CALENDAR_FEATURES = ["dow_sin", "dow_cos", "doy_sin", "doy_cos"]
