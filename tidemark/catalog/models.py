@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.catalog.base import demand, query, sku_daily, total_daily
+from tidemark.catalog.base import SKU_DAILY, demand, query, sku_daily, total_daily
 from tidemark.operators import linear as ln
 from tidemark.operators import nonlinear as nl
 from tidemark.operators.align import residuals
@@ -76,6 +76,30 @@ def t05_linear(spark, sf):
     return diagnostics(effective_sample(known, coefficients), F.col("n_params"))
 
 
+GIVEN = {"d": "1", "sd": "1", "intercept": "0D", "beta": "cast(array() as array<double>)",
+         "ar": "array(0.3D, 0D, 0D, 0D, 0D, 0D, 0D)", "ma": "array(-0.4D, 0D, 0D, 0D, 0D, 0D, -0.3D)"}
+
+
+@query("m05_apply_given_coefficients", f"""{SKU_DAILY.replace("with demand", "with recursive demand", 1)},
+w as (select series_id, total_units as x, date, row_number() over s as i,
+  cast(total_units - lag(total_units, 1) over s - lag(total_units, 7) over s + lag(total_units, 8) over s as double) as w
+  from daily window s as (partition by series_id order by date)),
+rec as (
+  select series_id, 8 as i, 0.0::double as w, [0, 0, 0, 0, 0, 0, 0]::double[] as e from (select distinct series_id from w)
+  union all
+  select rec.series_id, rec.i + 1, n.w,
+    list_append(rec.e[2:7], n.w - (0.3 * rec.w - 0.4 * rec.e[7] - 0.3 * rec.e[1]))
+  from rec join w n on n.series_id = rec.series_id and n.i = rec.i + 1)
+select w.series_id, w.date, w.x - rec.e[7] as fitted from w left join rec
+  on rec.series_id = w.series_id and rec.i = w.i and w.i > 8""", dates="date", floats="fitted", digits=5)
+def m05_given(spark, sf):
+    """The residual recursion alone, with coefficients that are not fitted."""
+    daily = sku_daily(spark, sf)
+    given = daily.select("series_id").distinct().selectExpr(
+        "series_id", *[f"{value} as {name}" for name, value in GIVEN.items()])
+    return ln.apply_linear(daily, given)
+
+
 @query("m06_fit_nonlinear", digits=3)
 def m06(spark, sf):
     """Test error of each output step of the trees, trained on the pooled brands."""

@@ -66,6 +66,16 @@ def t01(spark, sf):
     return st.adf_test(sku_daily(spark, sf))
 
 
+@query("t01_adf_test_no_lags", SKU_DAILY + """, d as (select series_id, lag(total_units) over w as x,
+  total_units - lag(total_units) over w as y from daily window w as (partition by series_id order by date)),
+r as (select series_id, count(x) as n, regr_slope(y, x) as b, regr_sxx(y, x) as sxx,
+  regr_syy(y, x) - regr_sxy(y, x) ** 2 / regr_sxx(y, x) as sse from d where x is not null group by series_id)
+select series_id, b / sqrt(sse / (n - 2) / sxx) as stat, 0 as used_lag, cast(n as integer) as n_obs,
+  -2.86154 - 2.8903 / n - 4.234 / n ** 2 - 40.040 / n ** 3 as crit_5 from r""", floats="stat crit_5", digits=5)
+def t01_no_lags(spark, sf):
+    return st.adf_test(sku_daily(spark, sf), max_lag=0).select("series_id", "stat", "used_lag", "n_obs", "crit_5")
+
+
 @query("t04_differencing_choice")
 def t04(spark, sf):
     return st.differencing_choice(sku_daily(spark, sf))

@@ -37,33 +37,35 @@ def coerce_price(df: DataFrame, name: str = "price") -> DataFrame:
     return df.withColumn(name, F.coalesce(number(df, name), F.lit(DEFAULT_PRICE)))
 
 
-def promo_is_text(df: DataFrame, name: str = "promotion_flag") -> Column:
-    """Whether a text column must be read as labels rather than numbers or booleans.
+def reads_as_number(name: str) -> Column:
+    """Aggregate: every present cell is a number."""
+    col = F.col(name)
+    return F.coalesce(F.bool_and(col.isNull() | col.rlike(NUMERIC_PATTERN)), F.lit(True))
 
-    The choice belongs to the whole column: one label makes every non-empty cell a promotion.
-    Booleans with a missing cell count as labels too.
-    """
+
+def reads_as_flag(name: str) -> Column:
+    """Aggregate: every cell is present and a boolean."""
     col = F.col(name)
-    numbers = df.agg(
-        F.coalesce(F.bool_and(col.isNull() | col.rlike(NUMERIC_PATTERN)), F.lit(True)).alias("num"),
-        F.coalesce(F.bool_and(col.isNotNull() & col.isin(BOOL_TOKENS)), F.lit(True)).alias("flag"),
-    )
-    return numbers.select(~(F.col("num") | F.col("flag"))).scalar()
+    return F.coalesce(F.bool_and(col.isNotNull() & col.isin(BOOL_TOKENS)), F.lit(True))
 
 
-def coerce_promo(df: DataFrame, name: str = "promotion_flag", whole: DataFrame | None = None) -> DataFrame:
-    """0/1 (or integer) promotion flag. ``whole`` is the frame that decides text or number
-    when ``df`` has already lost rows to a filter."""
+def coerce_promo(df: DataFrame, name: str = "promotion_flag", as_label: bool | None = None) -> DataFrame:
+    """0/1 (or integer) promotion flag.
+
+    Whether a text column holds labels or numbers belongs to the whole column: one label makes
+    every non-empty cell a promotion. Pass ``as_label`` when it was decided on a larger frame.
+    """
     col = F.col(name)
     if not is_text(df, name):
         value = col.cast("int") if isinstance(df.schema[name].dataType, T.BooleanType) \
             else number(df, name).cast("int")
         return df.withColumn(name, F.coalesce(value, F.lit(0)))
-    as_label = (col.isNotNull() & (F.length(col) > 0)).cast("int")
-    as_value = F.when(F.lower(col) == "true", 1).when(F.lower(col) == "false", 0) \
+    labels = F.lit(as_label) if as_label is not None else df.agg(
+        (~(reads_as_number(name) | reads_as_flag(name))).alias("labels")).scalar()
+    label = (col.isNotNull() & (F.length(col) > 0)).cast("int")
+    value = F.when(F.lower(col) == "true", 1).when(F.lower(col) == "false", 0) \
         .otherwise(F.coalesce(number(df, name).cast("int"), F.lit(0)))
-    source = whole if whole is not None else df
-    return df.withColumn(name, F.when(promo_is_text(source, name), as_label).otherwise(as_value))
+    return df.withColumn(name, F.when(labels, label).otherwise(value))
 
 
 def date_of(text: Column, pivot_year: int = 2075) -> Column:

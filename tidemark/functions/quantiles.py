@@ -23,10 +23,12 @@ def _rank(total: str, p: float, up: bool) -> Column:
     return F.ceil(exact) if up else F.floor(exact)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> DataFrame:
-    """One row: ``n`` and ``quantiles`` (array, linear interpolation between ranks)."""
-    counts = (df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
-              .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], weight: str | None = None) -> DataFrame:
+    """One row: ``n`` and ``quantiles`` (array, linear interpolation between ranks). ``weight``
+    names a column that says how often each row counts."""
+    times = F.col(weight) if weight else F.lit(1)
+    counts = (df.select(F.col(value).cast("double").alias("v"), times.alias("n"))
+              .filter("v is not null and n > 0").groupBy("v").agg(F.sum("n").alias("n"))
               .withColumn("b", _bucket(F.col("v"))))
     # One row per bucket: bounded by the bucket rule, so a single ordered task is fine.
     buckets = counts.groupBy("b").agg(F.sum("n").alias("n"))

@@ -8,17 +8,19 @@ from tidemark.functions.quantiles import exact_quantiles
 from tidemark.schema import SOLD_STATUSES
 
 
+def is_sold() -> Column:
+    return F.lower(F.trim("status")).isin(SOLD_STATUSES)
+
+
 def filter_status(df: DataFrame) -> DataFrame:
     """Keep rows of sold orders; a table without a status column is kept whole."""
-    if "status" not in df.columns:
-        return df
-    return df.filter(F.lower(F.trim("status")).isin(SOLD_STATUSES))
+    return df.filter(is_sold()) if "status" in df.columns else df
 
 
-def iqr_cap(df: DataFrame, name: str = "units_sold") -> DataFrame:
+def iqr_cap(df: DataFrame, name: str = "units_sold", weight: str | None = None) -> DataFrame:
     """One row ``cap``: third quartile plus 1.5 times the interquartile range of the whole
     table, NULL for ten rows or fewer."""
-    stats = exact_quantiles(df, name, [0.25, 0.75])
+    stats = exact_quantiles(df, name, [0.25, 0.75], weight)
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
     return stats.select(F.when(F.col("n") > 10, q3 + 1.5 * (q3 - q1)).alias("cap"))
 
@@ -29,11 +31,14 @@ def clip_iqr(df: DataFrame, name: str = "units_sold", cap: float | None = None)
     The cap is read back as one number. As a subquery it would be computed again wherever the
     optimizer moves the capped column to. The cap of another table may be passed instead.
     """
-    bound = cap if cap is not None else iqr_cap(df, name).first()["cap"]
+    return cap_at(df, cap if cap is not None else iqr_cap(df, name).first()["cap"], name)
+
+
+def cap_at(df: DataFrame, cap: float | None, name: str = "units_sold") -> DataFrame:
     value = F.col(name).cast("double")
-    if bound is None:
+    if cap is None:
         return df.withColumn(name, value)
-    return df.withColumn(name, F.when(value > bound, F.lit(float(bound))).otherwise(value))
+    return df.withColumn(name, F.when(value > cap, F.lit(float(cap))).otherwise(value))
 
 
 def keep_positive(df: DataFrame, name: str = "units_sold") -> DataFrame:

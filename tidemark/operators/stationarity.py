@@ -82,21 +82,21 @@ def series_arrays(series: DataFrame, name: str) -> DataFrame:
     return series.groupBy("series_id").agg(F.transform(pairs, lambda p: p["v"]).alias("values"))
 
 
-def adf_test(series: DataFrame, name: str = "total_units") -> DataFrame:
-    """Augmented Dickey-Fuller test with a constant, the number of lags chosen by AIC."""
-    return series_arrays(series, name).mapInPandas(_adf_batches, ADF_SCHEMA)
+def adf_test(series: DataFrame, name: str = "total_units", max_lag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant, the number of lags chosen by AIC up to
+    ``max_lag`` (by default a bound that grows with the length of the series)."""
+    def test(batches):
+        for batch in batches:
+            rows = [_adf(np.asarray(v, dtype=float), max_lag) for v in batch["values"]]
+            yield pd.concat([batch[["series_id"]].reset_index(drop=True), pd.DataFrame(rows)], axis=1)
 
+    return series_arrays(series, name).mapInPandas(test, ADF_SCHEMA)
 
-def _adf_batches(batches):
-    for batch in batches:
-        rows = [_adf(np.asarray(v, dtype=float)) for v in batch["values"]]
-        yield pd.concat([batch[["series_id"]].reset_index(drop=True), pd.DataFrame(rows)], axis=1)
 
-
-def _adf(x: np.ndarray) -> dict:
+def _adf(x: np.ndarray, max_lag: int | None = None) -> dict:
     empty = dict.fromkeys(["stat", "pvalue", "used_lag", "n_obs", *ADF_CRITICAL, "stationary"])
     n = len(x)
-    most = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
+    most = min(math.ceil(12 * (n / 100) ** 0.25) if max_lag is None else max_lag, n // 2 - 2)
     if most < 0 or np.ptp(x) == 0:
         return empty
     step = np.diff(x)

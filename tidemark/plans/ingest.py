@@ -3,25 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
-from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, number, parse_dates
-from tidemark.operators.clean import clip_iqr, filter_sku, filter_status, keep_positive
+from tidemark.functions.coerce import (coerce_price, coerce_promo, coerce_units, is_text, number, parse_dates,
+                                       reads_as_flag, reads_as_number)
+from tidemark.operators.clean import cap_at, filter_sku, filter_status, iqr_cap, is_sold, keep_positive
 from tidemark.operators.series import daily_series
 from tidemark.sources.sales import canonical_columns, history_columns, read_sales
 
 
+def table_facts(named: DataFrame) -> tuple[float | None, bool | None]:
+    """What cleaning must know about the whole table, from one pass over it: the cap of the units
+    of sold rows, and whether a text promotion column holds labels (all rows count).
+
+    The pass leaves one row per distinct quantity; both facts come from that small table.
+    """
+    sold = is_sold() if "status" in named.columns else F.lit(True)
+    counted = [F.count_if(sold).alias("n")]
+    textual = is_text(named, "promotion_flag")
+    if textual:
+        counted += [reads_as_number("promotion_flag").alias("number"), reads_as_flag("promotion_flag").alias("flag")]
+    counts = coerce_units(named).groupBy("units_sold").agg(*counted).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        labels = None
+        if textual:
+            labels = not any(counts.agg(F.coalesce(F.bool_and("number"), F.lit(True)),
+                                        F.coalesce(F.bool_and("flag"), F.lit(True))).first())
+        return iqr_cap(counts, weight="n").first()["cap"], labels
+    finally:
+        counts.unpersist()
+
+
 def clean_sales(raw: DataFrame, sku: str | None = None, cap: float | None = None) -> DataFrame:
     """Canonical, typed, capped sales rows of any file with a date column.
 
     The cap and the text-or-number decision of the promotion column look at rows that later
-    filters drop, so both are taken before those filters.
+    filters drop, so both are taken before those filters. A given ``cap`` is used instead.
     """
     named = canonical_columns(raw)
-    units = coerce_units(filter_status(named))
-    sold = keep_positive(clip_iqr(units, cap=cap))
-    typed = parse_dates(coerce_promo(coerce_price(sold), whole=named))
-    rows = typed.withColumn("sku_id", F.col("sku_id").cast("string"))
-    rows = rows.select("date", "sku_id", "units_sold", "price", "promotion_flag")
+    own_cap, labels = table_facts(named)
+    sold = keep_positive(cap_at(coerce_units(filter_status(named)), own_cap if cap is None else cap))
+    rows = parse_dates(coerce_promo(coerce_price(sold), as_label=labels)).select(
+        "date", F.col("sku_id").cast("string").alias("sku_id"), "units_sold", "price", "promotion_flag")
     return filter_sku(rows, sku) if sku is not None else rows
 
 
