@@ -6,25 +6,34 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# On a cluster the submit configuration wins; these only fill what is unset.
-_DEFAULTS = {
+# Filled in only where neither the submit configuration nor the caller says otherwise.
+_SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+# For a session in this process only.
+_LOCAL = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**_DEFAULTS, **conf}.items():
+        conf = {**_LOCAL, **conf}
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    defaults = dict(_SQL_DEFAULTS)
+    if spark.sparkContext.master.startswith("local"):
+        defaults["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    given = spark.sparkContext.getConf()
+    for key, value in defaults.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
