@@ -25,11 +25,12 @@ def digests(docs: DataFrame) -> DataFrame:
 def heavy_winners(rows: DataFrame, top: int = TOP, counters: int = COUNTERS, least: int = HEAVY_ROWS) -> DataFrame:
     """At most ``top`` digests that the sketch calls frequent, with their verified winner and size.
 
-    Sketches of the tasks (64-bit keys, at most ``counters`` of them each) are merged in two levels.
+    Sketches of the tasks (64-bit keys, at most ``counters`` of them each) are merged in two levels. Both levels have a
+    key, so tasks without rows add no empty sketch (which ``approx_top_k_combine`` cannot merge).
     """
     keyed = rows.withColumn("key", F.xxhash64("digest"))
     found = keyed.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")).agg(
-        F.expr(f"approx_top_k_accumulate(key, {counters})").alias("state")).agg(
+        F.expr(f"approx_top_k_accumulate(key, {counters})").alias("state")).groupBy((F.col("part") * 0).alias("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(state, {counters}), {top})").alias("top")).select(
         F.explode("top").alias("t")).where(F.col("t.count") >= least).select(F.col("t.item").alias("key"))
     return keyed.join(F.broadcast(found), "key").groupBy("digest").agg(
