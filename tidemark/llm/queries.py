@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, minhash
+from tidemark.llm import decontaminate, exact, minhash, mixing, pii, sharding, toxicity
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,51 @@ from (select doc_id, {LOWERED} as t from documents)
 window same as (partition by t)""")
 def op4_heavy_hitter_exact_dedup(spark, sf):
     return exact.exact_dedup(table(spark, sf, "documents"))
+
+
+@query("op5_suffix_array_decontamination", f"""
+with item_words as (
+  select item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, unnest(case when len(w) = 0 then [] when len(w) < 10 then [w]
+    else list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) end) as g
+  from item_words),
+doc_words as (
+  select doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+lengths as (select distinct len(g) as k from windows),
+spots as (
+  select doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') as g
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from doc_words, lengths)),
+found as (
+  select doc_id, item_id, i, k
+  from spots join (select item_id, len(g) as k, array_to_string(g, ' ') as g from windows) using (g, k)),
+hits as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + k)) as p from found) group by 1),
+named as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hits using (doc_id) left join named using (doc_id)""")
+def op5_suffix_array_decontamination(spark, sf):
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op6_budget_mixing")
+def op6_budget_mixing(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op7_flow_resharding")
+def op7_flow_resharding(spark, sf):
+    return sharding.reshard(table(spark, sf, "documents"))
+
+
+@query("op9_clause_grammar_toxicity")
+def op9_clause_grammar_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op8_semi_markov_pii")
+def op8_semi_markov_pii(spark, sf):
+    return pii.personal_data(table(spark, sf, "documents"))
