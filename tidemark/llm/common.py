@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
@@ -43,8 +44,24 @@ def unit_interval(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 12).cast("double") / F.lit(float(2 ** 52))
 
 
+def wrapped(docs: DataFrame, columns=None) -> Column:
+    """The given (or all) columns as one struct ``row``, so that no helper column can clash with their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]).alias("row")
+
+
+def document_key(id_name: str = "doc_id") -> list[Column]:
+    """A nullable id as two columns without null, so that joins and groupings by it share a partitioning."""
+    return [F.coalesce(id_name, F.lit(0).cast("long")).alias("known_id"), F.col(id_name).isNull().alias("no_id")]
+
+
 # ------------------------------------------------------------------ inside tasks
 
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: a column of its own, or a field of ``row``."""
+    names = batch.schema.names
+    return batch.column("text") if "text" in names else pc.struct_field(batch.column("row"), "text")
+
+
 BLOCK_BYTES = 2 << 20
 
 

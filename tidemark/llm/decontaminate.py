@@ -15,12 +15,14 @@ of the benchmark is not limited.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
-from tidemark.llm.common import ALPHANUMERIC, text_blocks, word_hashes, word_spans
+from tidemark.llm.common import ALPHANUMERIC, text_blocks, text_of, word_hashes, word_spans, wrapped
 
 ship_with_tasks(__name__)
 
@@ -120,12 +122,12 @@ class Shard:
         return window, self.suffixes[np.repeat(low, counts) + within]
 
 
-def _scan(parts, number, want_text):
+def _scan(parts, number, keep_text):
     """Pass ``number`` over the rows: adds this part's hit words and items to each document."""
     def run(batches):
         items = Items(*parts.value[number])
         for batch in batches:
-            texts = batch.column("text")
+            texts = text_of(batch)
             for first, last, data, offsets in text_blocks(texts):
                 shard = Shard(items, data, offsets)
                 window, place = shard.search(items)
@@ -151,10 +153,11 @@ def _scan(parts, number, want_text):
                     names.append(sorted(new | set(carried_names[i] or ())))
                     carried_bits[i] = int(own.sum())
                 rows = slice(first, last)
-                out = [batch.column("row")[rows], texts[rows] if want_text else pa.nulls(last - first, pa.string()),
+                out = [batch.column("row")[rows], *([texts[rows]] if keep_text else []),
                        pa.array(bits, pa.binary()), pa.array(names, pa.list_(pa.string())),
                        pa.array(np.diff(bounds)), pa.array(carried_bits, pa.int64())]
-                yield pa.RecordBatch.from_arrays(out, names=["row", "text", "hits", "items", "n_words", "n_hit"])
+                yield pa.RecordBatch.from_arrays(
+                    out, names=["row", *(["text"] if keep_text else []), "hits", "items", "n_words", "n_hit"])
     return run
 
 
@@ -171,30 +174,33 @@ def benchmark_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[
     return parts
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES, extra: list[str] | None = None
-                  ) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A window is ten consecutive words of an item; an item of fewer words, but not none, is one window.
     A word inside any occurrence of a window is hit. Null and empty texts have no words. Repeated items
     count once by item_id; items without item_id hit words but are no named item. Other columns are
-    ignored but for those named in ``extra``, which are passed on. An empty table gives an empty result;
-    with an empty benchmark nothing is hit. A block holds whole texts: a task needs about 30 times the
-    bytes of its longest text, or of 2 MB of shorter ones.
+    ignored. An empty table gives an empty result; with an empty benchmark nothing is hit. A block holds
+    whole texts: a task needs about 30 times the bytes of its longest text, or of 2 MB of shorter ones.
     """
+    rows = _hit(docs, benchmark, ("doc_id",), part_bytes)
+    return rows.select(
+        "row.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _hit(docs: DataFrame, benchmark: DataFrame, columns: Sequence[str], part_bytes: int = PART_BYTES) -> DataFrame:
+    """row (the given columns), items, n_words, n_hit of every document, after a pass for each part of the benchmark."""
     parts = docs.sparkSession.sparkContext.broadcast(benchmark_parts(benchmark, part_bytes))
-    passed = ["doc_id", *(extra or [])]
-    rows = docs.select(F.struct(*passed).alias("row"), "text", F.lit(None).cast("binary").alias("hits"),
+    inside = "text" in columns
+    rows = docs.select(wrapped(docs, columns), *([] if inside else ["text"]), F.lit(None).cast("binary").alias("hits"),
                        F.lit(None).cast("array<string>").alias("items"))
     row_type = rows.schema["row"].dataType.simpleString()
     for k in range(len(parts.value)):
-        again = k + 1 < len(parts.value)
-        rows = rows.mapInArrow(_scan(parts, k, again or "text" in passed),
-                               f"row {row_type}, text string, hits binary, items array<string>, n_words long, n_hit long")
-    names = F.array_sort("items")
-    return rows.select(
-        "row.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        keep_text = not inside and k + 1 < len(parts.value)
+        rows = rows.mapInArrow(_scan(parts, k, keep_text), f"row {row_type}, {'text string, ' if keep_text else ''}"
+                               "hits binary, items array<string>, n_words long, n_hit long")
+    return rows
 
 
 def _longest(parts, number):
@@ -239,7 +245,4 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PAR
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit word, with all their columns."""
-    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    inner = named.withColumns({"doc_id": F.lit(0), "text": F.col(f"c{docs.columns.index('text')}")})
-    found = contamination(inner, benchmark, extra=named.columns).where("not contaminated")
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return _hit(docs, benchmark, docs.columns).where("n_hit = 0").select("row.*")

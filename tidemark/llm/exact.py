@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import lower_ascii, stage
+from tidemark.llm.common import document_key, lower_ascii, stage, wrapped
 
 TOP = 1_000
 COUNTERS = 4_096
@@ -61,9 +61,8 @@ def exact_dedup(docs: DataFrame, top: int = TOP, counters: int = COUNTERS, least
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents whose row stays, once each, with all their columns."""
-    kept = exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    sha = F.sha2(lower_ascii(F.coalesce(docs.text, F.lit(""))), 256)
-    return docs.withColumn("_sha", sha).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi"
-    ).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    document = ["known_id", "no_id", "text_sha256"]
+    kept = exact_dedup(docs).where("kept").select(*document_key(), "text_sha256").distinct()
+    sha = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
+    rows = docs.select(wrapped(docs), *document_key(), sha.alias("text_sha256"))
+    return rows.join(kept, document, "left_semi").dropDuplicates(document).select("row.*")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
-from tidemark.llm.common import stage, unit_interval, word_count
+from tidemark.llm.common import stage, text_of, unit_interval, word_count, wrapped
 
 ship_with_tasks(__name__)
 
@@ -27,7 +27,7 @@ def fit_budget(budget: int, classes: list[tuple[int, int]]) -> dict[int, int]:
     """How many documents of each length to take so that the lengths' sum comes closest to ``budget``
     from below; ``classes`` has (length, documents). Lengths of 0 are never taken.
 
-    An even share of each class first, then whole documents from the longest down while more than four times
+    An even share of each class first (less one document, so that every length is left to fill with), then whole documents from the longest down while more than four times
     the longest length is open, then a bounded knapsack: reachable sums as the bits of one number, counts
     split into powers of two.
     """
@@ -35,7 +35,7 @@ def fit_budget(budget: int, classes: list[tuple[int, int]]) -> dict[int, int]:
     whole = sum(length * n for length, n in classes)
     if budget >= whole:
         return dict(classes)
-    taken = {length: n * budget // whole for length, n in classes}
+    taken = {length: max(0, n * budget // whole - 1) for length, n in classes}
     left = budget - sum(length * n for length, n in taken.items())
     room = 4 * classes[0][0] if classes else 0
     for length, n in classes:
@@ -63,7 +63,7 @@ def fit_budget(budget: int, classes: list[tuple[int, int]]) -> dict[int, int]:
 
 def _sizes(batches):
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(word_count(batch.column("text")))],
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(word_count(text_of(batch)))],
                                          names=["row", "size"])
 
 
@@ -83,7 +83,7 @@ def _fit(key, frame):
 
 def sized(docs: DataFrame, columns: Sequence[str] = ("doc_id", "source")) -> DataFrame:
     """The given columns as ``row``, and the number of words between white space (null: 0)."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
+    rows = docs.select(wrapped(docs, columns), *([] if "text" in columns else ["text"]))
     return rows.mapInArrow(_sizes, f"row {rows.schema['row'].dataType.simpleString()}, size long")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, exact, minhash, mixing, pii, sharding, toxicity
+from tidemark.llm import decontaminate, exact, licenses, minhash, mixing, pii, sharding, tokens, toxicity, warc
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,27 @@ def query(name: str, sql: str | None = None):
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+@query("op2_edit_aware_token_counts")
+def op2_edit_aware_token_counts(spark, sf):
+    """Counts of every document, then of the document after three edits: its first word goes, its middle is replaced by
+    the language's name, its end gets the source's name."""
+    docs = table(spark, sf, "documents")
+    length = F.length(F.coalesce("text", F.lit("")))
+
+    def edit(at, deleted, inserted):
+        return F.struct(at.cast("long").alias("at"), deleted.cast("long").alias("deleted"), inserted.alias("inserted"))
+
+    edits = F.array(edit(F.lit(0), F.length(F.substring_index(F.coalesce("text", F.lit("")), " ", 1)), F.lit("")),
+                    edit(length / 2, F.lit(7), F.concat(F.lit(" "), "lang")),
+                    edit(length, F.lit(0), F.concat(F.lit("\n"), "source")))
+    return tokens.count_before_and_after(docs.withColumn("edits", edits))
+
+
 @query("op3_minmax_near_dedup", f"""
 with recursive words as (
   select doc_id, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') as w from documents),
@@ -33,20 +54,21 @@ sets as (
   select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
     else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
   from words),
-shingles as (select doc_id, md5(unnest(s)) as g from sets),
-rare as (select g from shingles group by g having count(*) > 1),
+classes as (select s, min(doc_id) as c, len(s) as n from sets where len(s) > 0 group by s),
+shingles as (select c, n, md5(unnest(s)) as g from classes),
+common as (select g from shingles group by g having count(*) > 1),
+several as (select c, n, g from shingles semi join common using (g)),
 shared as (
-  select x.doc_id as a, y.doc_id as b, count(*) as n
-  from shingles x join rare using (g) join shingles y on x.g = y.g and x.doc_id < y.doc_id group by all),
-links as (
-  select a, b from shared join sets x on x.doc_id = a join sets y on y.doc_id = b
-  where 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+  select x.c as a, y.c as b, any_value(x.n + y.n) as words, count(*) as n
+  from several x join several y on x.g = y.g and x.c < y.c and 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) group by x.c, y.c),
+links as (select a, b from shared where 100 * n >= 85 * (words - n)),
 both_ways as (select a, b from links union all select b, a from links),
 reach as (
-  select doc_id as start, doc_id as node from sets
-  union select start, b from reach join both_ways on node = a)
-select doc_id, len(s) as n_shingles, least_id as component_id, doc_id = least_id as kept
-from sets join (select start, min(node) as least_id from reach group by start) on start = doc_id""")
+  select c as start, c as node from classes
+  union select start, b from reach join both_ways on node = a),
+least_ids as (select start, min(node) as least_id from reach group by start)
+select doc_id, len(sets.s) as n_shingles, coalesce(least_id, doc_id) as component_id, doc_id = coalesce(least_id, doc_id) as kept
+from sets left join classes on classes.s = sets.s left join least_ids on start = c""")
 def op3_minmax_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -107,3 +129,60 @@ def op9_clause_grammar_toxicity(spark, sf):
 @query("op8_semi_markov_pii")
 def op8_semi_markov_pii(spark, sf):
     return pii.personal_data(table(spark, sf, "documents"))
+
+
+# A record identifier of the parts joined by line ends.
+def _identifier(parts: str) -> str:
+    h = f"sha256({parts})"
+    return "'<urn:uuid:' || " + " || '-' || ".join(
+        f"substring({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
+
+
+def _named_sql(text: str) -> str:
+    for name, char in warc.NAMED:
+        text = "replace({}, '{}', '{}')".format(text, name, char.replace("'", "''"))
+    return text
+
+
+def _plain_sql(html: str) -> str:
+    out = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
+    for name in warc.HIDDEN:
+        out = f"regexp_replace({out}, '(?is)<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>', '', 'g')"
+    out = f"regexp_replace({out}, '[\r\n]+', ' ', 'g')"
+    out = f"regexp_replace({out}, '(?i)</?(?:{'|'.join(warc.BREAKS)})(?:\\s[^>]*)?/?>', chr(10), 'g')"
+    out = f"regexp_replace({out}, '<[A-Za-z/!?][^>]*>', '', 'g')"
+    out = f"regexp_replace({_named_sql(out)}, '[ \t\r\f\x0B]+', ' ', 'g')"
+    return f"trim(trim(regexp_replace({out}, ' ?\n[ \n]*', chr(10), 'g'), chr(10)))"
+
+
+TITLE_SQL = "regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title', 1), '[ \t\r\f\x0B]+', ' ', 'g')"
+
+
+@query("op10_warc_derivatives", f"""
+with captured as (
+  select page_id, url, coalesce(html, '') as html,
+    {_identifier("'response' || chr(10) || cast(page_id as varchar) || chr(10) || coalesce(url, '') || chr(10) || coalesce(html, '')")} as refers_to,
+    'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+      || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) as http
+  from pages),
+plain as (
+  select *, {_plain_sql("html")} as plain,
+    trim({_named_sql(TITLE_SQL)}) as title,
+    regexp_extract_all(html, '(?i)<a [^>]*href=["'']([^"''<>]+)["'']', 1) as links
+  from captured),
+linked as (
+  select *, coalesce((select string_agg('outlink: ' || l || chr(13) || chr(10), '' order by first) from (
+      select l, min(i) as first from (select unnest(links) as l, generate_subscripts(links, 1) as i) group by l)), '') as out
+  from plain),
+records as (
+  select *, 'metadata' as warc_type, 'application/warc-fields' as content_type,
+    'source-record-id: ' || refers_to || chr(13) || chr(10) || http || 'title: ' || regexp_replace(title, '[\r\n]+', ' ', 'g')
+      || chr(13) || chr(10) || 'text-length: ' || strlen(plain) || chr(13) || chr(10) || out as block from linked
+  union all
+  select *, 'conversion', 'text/plain; charset=utf-8', plain from linked)
+select page_id, warc_type, {_identifier("warc_type || chr(10) || refers_to")} as record_id, refers_to, url as target_uri,
+  '2024-01-01T00:00:00Z' as date, content_type, 'sha256:' || sha256(html) as payload_digest,
+  'sha256:' || sha256(block) as block_digest, strlen(block) as content_length, block
+from records""")
+def op10_warc_derivatives(spark, sf):
+    return warc.derivatives(warc.responses(table(spark, sf, "pages")))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import stage, wrapped
 
 SHARDS = 40
 OLD_SHARDS = 32
@@ -99,7 +99,7 @@ def reshard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, ol
     """
     text = F.coalesce("text", F.lit(""))
     own = [c for c in columns if c not in ("size", "text_crc32", "law", "old_shard", "shard", "slot", "grown_shard")]
-    rows = docs.select(*dict.fromkeys(["doc_id", *own]), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
+    rows = docs.select(wrapped(docs, own), "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"), *([old.cast("int").alias("old_shard")] if old is not None else []))
     if old is None:
         rows = rows.withColumn("old_shard", old_layout(old_shards))
@@ -154,7 +154,7 @@ def reshard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, ol
         "before", F.sum("n").over(Window.partitionBy("shard").orderBy("class", "old_shard", "part")) - F.col("n")).drop("n")
     slot = F.row_number().over(Window.partitionBy(*place).orderBy("start")) - 1 + F.col("before")
     return dealt.join(before, place).select(
-        *own, "size", "text_crc32", F.lit("bytes").alias("law"), "old_shard", "shard", slot.alias("slot"),
+        "row.*", "size", "text_crc32", F.lit("bytes").alias("law"), "old_shard", "shard", slot.alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
 
 
@@ -169,11 +169,9 @@ def rewrite(docs: DataFrame, plan: DataFrame, folder: str) -> None:
     copy = F.row_number().over(Window.partitionBy("doc_id", "text_crc32").orderBy("shard", "slot"))
     rows = plan.select("doc_id", "text_crc32", "shard", "slot", copy.alias("_copy")).join(F.broadcast(touched), "shard", "left_semi")
     crc = F.crc32(F.coalesce("text", F.lit("")))
-    own = docs.withColumn("_crc", crc).withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("doc_id", "_crc").orderBy("doc_id")))
-    wanted = rows.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_sum"), F.col("_copy").alias("_nth"),
-                         F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    own.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_crc") == F.col("_sum"))
-             & (F.col("_copy") == F.col("_nth"))).withColumns({"shard": F.col("_shard"), "slot": F.col("_slot")}).drop(
-        "_crc", "_copy", "_id", "_sum", "_nth", "_shard", "_slot").repartitionByRange("shard", "slot").sortWithinPartitions(
+    own = docs.select(wrapped(docs, [c for c in docs.columns if c not in ("shard", "slot")]), "doc_id", crc.alias("crc")).withColumn(
+        "copy", F.row_number().over(Window.partitionBy("doc_id", "crc").orderBy("doc_id")))
+    wanted = rows.withColumnRenamed("doc_id", "id")
+    own.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("crc") == F.col("text_crc32"))
+             & (F.col("copy") == F.col("_copy"))).select("row.*", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions(
         "shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)

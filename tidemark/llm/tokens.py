@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
+from tidemark.llm.common import wrapped
 
 ship_with_tasks(__name__)
 
@@ -30,13 +31,16 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 # A longer piece without such a place (one word, or white space only) stays one leaf.
 
 
-@lru_cache(maxsize=4)
-def encoder(vocabulary: str):
-    import tiktoken
+_ENCODERS: dict[str, tiktoken.Encoding] = {}
 
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+def encoder(vocabulary: str) -> tiktoken.Encoding:
+    """The encoding of a vocabulary file, read once a task."""
+    if vocabulary not in _ENCODERS:
+        with open(vocabulary, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _ENCODERS[vocabulary] = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODERS[vocabulary]
 
 
 def cut(text: str, leaf: int = LEAF) -> list[str]:
@@ -171,10 +175,10 @@ def _apply(vocabulary: str, leaf: int):
     return run
 
 
-def _kept(docs: DataFrame, without: Iterable[str]) -> DataFrame:
-    """The other columns as one column ``row``, so that their names cannot clash."""
+def _kept(docs: DataFrame, without: Iterable[str], wanted: Sequence[str]) -> DataFrame:
+    """``row`` with the columns not in ``without``, and the wanted ones."""
     own = [c for c in docs.columns if c not in set(without)]
-    return docs.withColumn("row", F.struct(*[F.col(f"`{c}`") for c in own]) if own else F.struct(F.lit(0).alias("_")))
+    return docs.select(wrapped(docs, own) if own else F.struct(F.lit(0).alias("_")).alias("row"), *wanted)
 
 
 STATE = ("n_tokens", "leaf_chars", "leaf_tokens")
@@ -187,7 +191,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF
     Rows that repeat a text have equal trees. ``vocabulary`` is a file that every executor can read. An empty table
     gives an empty result.
     """
-    rows = _kept(docs, {"text", *STATE}).select("row", "text")
+    rows = _kept(docs, {"text", *STATE}, ["text"])
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(_count(vocabulary, leaf), f"row {kind}, n_tokens long, leaf_chars array<long>, "
                            "leaf_tokens array<long>").select("row.*", *STATE)
@@ -200,7 +204,7 @@ def apply_edits(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF)
     A null or empty ``edits`` changes nothing; null fields are 0 or empty; places beyond the text mean its end.
     """
     added = {*STATE, "text", "edits", "n_leaves_encoded", "n_chars_encoded"}
-    rows = _kept(docs, added).select("row", "text", "leaf_chars", "leaf_tokens", "edits")
+    rows = _kept(docs, added, ["text", "leaf_chars", "leaf_tokens", "edits"])
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(
         _apply(vocabulary, leaf), f"row {kind}, text string, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>, "

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
-from tidemark.llm.common import stage
+from tidemark.llm.common import stage, text_of, wrapped
 
 ship_with_tasks(__name__)
 
@@ -213,7 +213,7 @@ def _scored(model):
         insults, weights = model.value
         scanner = Scanner(insults)
         for batch in batches:
-            found = np.array([scanner.features(t or "") for t in batch.column("text").to_pylist()]).reshape(-1, len(KINDS))
+            found = np.array([scanner.features(t or "") for t in text_of(batch).to_pylist()]).reshape(-1, len(KINDS))
             score = 1.0 / (1.0 + np.exp(-(weights[0] + found @ weights[1:])))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
     return run
@@ -310,7 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[
 def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The given columns of every row and its score between 0 and 1. Null and empty texts match no clause."""
     spark = docs.sparkSession
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
+    rows = docs.select(wrapped(docs, columns), *([] if "text" in columns else ["text"]))
     return rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)),
                            f"row {rows.schema['row'].dataType.simpleString()}, score double")
 

@@ -30,7 +30,7 @@ def digest(text: Column) -> Column:
 
 
 def title_of(html: Column) -> Column:
-    return F.trim(_spaces(F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)</title", 1)))
+    return F.trim(_named(_spaces(F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)</title", 1))))
 
 
 def links_of(html: Column) -> Column:
@@ -38,6 +38,12 @@ def links_of(html: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(html, F.lit(r"(?i)<a [^>]*href=[\"']([^\"'<>]+)[\"']"), F.lit(1)))
 
 
+def _named(text: Column) -> Column:
+    for name, char in NAMED:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
 def _spaces(text: Column) -> Column:
     return F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
 
@@ -51,9 +57,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, r"[\r\n]+", " ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{'|'.join(BREAKS)})(?:\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"<[A-Za-z/!?][^>]*>", "")
-    for name, char in NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    text = F.regexp_replace(_spaces(text), r" ?\n[ \n]*", "\n")
+    text = F.regexp_replace(_spaces(_named(text)), r" ?\n[ \n]*", "\n")
     return F.trim(F.trim(text, F.lit("\n")))
 
 
