@@ -1,4 +1,4 @@
-"""spark-submit jobs/forecast.py --input FILE --models FOLDER --out FOLDER [--quarters 4] [--as-of DAY]
+"""spark-submit jobs/forecast.py --input FILE --models FOLDER --out FOLDER [--quarters 4] [--as-of DAY] [--by COLUMN]
 
 Forecast of the coming quarters: daily, quarterly and chart tables as CSV folders."""
 
@@ -23,10 +23,11 @@ def main() -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--quarters", type=int, default=4)
     p.add_argument("--as-of", default=dt.date.today().isoformat())
+    p.add_argument("--by", help="column that names the series; models must have been trained with it")
     p.add_argument("--clean", action="store_true", help="product shares from cleaned rows")
     a = p.parse_args()
     spark = build_session("forecast")
-    result = run_forecast(spark, a.input, a.quarters, a.as_of, a.models, a.clean)
+    result = run_forecast(spark, a.input, a.quarters, a.as_of, a.models, a.clean, by=a.by)
     total = result.total_daily.withColumn("sku_id", F.lit("all"))
     for name, table in {
         "sku_daily": forecast_export(result.sku_daily), "total_daily": forecast_export(total),

@@ -1,4 +1,4 @@
-"""spark-submit jobs/predict.py --input FILE --models FOLDER --out FOLDER
+"""spark-submit jobs/predict.py --input FILE --models FOLDER --out FOLDER [--by COLUMN]
 
 One-step predictions of stored models over a new file."""
 
@@ -19,9 +19,10 @@ def main() -> None:
     p.add_argument("--input", required=True)
     p.add_argument("--models", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--by", help="column that names the series; models must have been trained with it")
     a = p.parse_args()
     spark = build_session("predict")
-    write_csv(backtest_one_step(read_sales(spark, a.input), a.models), a.out)
+    write_csv(backtest_one_step(read_sales(spark, a.input), a.models, a.by), a.out)
 
 
 if __name__ == "__main__":

@@ -7,9 +7,9 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tidemark import build_session  # noqa: E402
-from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, parse_dates  # noqa: E402
 from tidemark.plans.explore import stationarity_report  # noqa: E402
-from tidemark.sources.sales import canonical_columns, read_sales  # noqa: E402
+from tidemark.plans.ingest import raw_rows  # noqa: E402
+from tidemark.sources.sales import read_sales  # noqa: E402
 from tidemark.sources.sinks import write_csv  # noqa: E402
 
 
@@ -21,7 +21,7 @@ def main() -> None:
     p.add_argument("--by", help="column that names the series; one total series when left out")
     a = p.parse_args()
     spark = build_session("stationarity")
-    rows = parse_dates(coerce_promo(coerce_price(coerce_units(canonical_columns(read_sales(spark, a.input))))))
+    rows = raw_rows(read_sales(spark, a.input))
     for name, table in stationarity_report(rows, a.by, a.max_lag).items():
         write_csv(table, f"{a.out}/{name}")
 

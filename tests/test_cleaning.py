@@ -48,6 +48,10 @@ def test_promo_of_typed_columns(spark):
     ("4/5/2022", "2022-04-05"), ("04-30-95", "1995-04-30"), ("04-30-75", "2075-04-30"),
     ("04-30-76", "1976-04-30"), ("2022-04-30 10:11:12", "2022-04-30"), ("2022-04-30T10:11:12Z", "2022-04-30"),
     ("April 30, 2022", "2022-04-30"), ("30 Apr 2022", "2022-04-30"),
+    ("30-Apr-22", "2022-04-30"), ("30-Apr-2022", "2022-04-30"), ("Apr-30-2022", "2022-04-30"), ("2022.04.30", "2022-04-30"),
+    ("30.04.2022", "2022-04-30"), ("04/30/2022 10:30 PM", "2022-04-30"), ("2022-04-30 12:00:00 AM", "2022-04-30"),
+    ("Sat, 30 Apr 2022", "2022-04-30"), ("Saturday, April 30, 2022", "2022-04-30"), ("2022-04", "2022-04-01"),
+    ("0022-04-30", None), ("1677-09-21", None), ("1677-09-22", "1677-09-22"), ("2262-04-12", None), ("30-Abc-22", None),
     ("junk", None), ("13/13/2022", None), ("02/30/2022", None), ("", None), (None, None)])
 def test_dates(spark, text, day):
     got = parse_dates(spark.createDataFrame([(text,)], "date string")).collect()

@@ -9,7 +9,8 @@ from tidemark.functions.calendar import calendar_features
 from tidemark.operators import linear as ln, nonlinear as nl
 from tidemark.operators.features import feature_columns
 from tidemark.plans.forecast import run_forecast
-from tidemark.plans.train import MODELS, Settings, backtest_one_step, train, train_with_regressors
+from tidemark.plans.train import (MODELS, Settings, backtest_one_step, forecast_with_regressors, train, train_hybrid,
+                                  train_with_regressors)
 from tidemark.sources.registry import latest_metrics
 from tidemark.sources.sales import read_sales
 
@@ -71,13 +72,19 @@ def test_plain_search_has_no_season(spark):
     assert len(ln.Grid.plain().orders) * 2 == 32 and len(ln.Grid().orders) * 4 == 144
 
 
-def test_recursion_equals_the_definition():
+def test_recursion_equals_the_definition(spark):
     rng = np.random.default_rng(7)
     x, h = np.cumsum(rng.normal(size=60)) + 50, 10
     z = rng.normal(size=(70, 1))
-    model = pd.Series({"d": 1, "sd": 1, "intercept": 0.0, "beta": [2.0],
-                       "ar": [0.3, 0, 0, 0, 0, 0, 0.2, 0, 0], "ma": [-0.4, 0, 0, 0, 0, 0, -0.3, 0, 0]})
-    got = ln._recursion(np.append(x, np.full(h, np.nan)), z, model, 7)
+    days = [(START + dt.timedelta(days=i)) for i in range(70)]
+    rows = [("a", d, float(v), float(r)) for d, v, r in zip(days, np.append(x, np.zeros(h)), z[:, 0])]
+    daily = spark.createDataFrame(rows, "series_id string, date date, total_units double, r double")
+    model = spark.createDataFrame([("a", 1, 1, 0.0, [0.3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.2, 0.0, 0.0],
+                                    [-0.4, 0.0, 0.0, 0.0, 0.0, 0.0, -0.3, 0.0, 0.0], [2.0])],
+                                  "series_id string, d int, sd int, intercept double, ar array<double>, ma array<double>, beta array<double>")
+    cut = F.lit(days[60])
+    run = ln.run_model(daily.filter(F.col("date") < cut), model, daily.filter(F.col("date") >= cut), exog=("r",))
+    got = [r["fitted"] for r in run.orderBy("date").collect()]
     full, w, e, want = list(x), {}, {}, {}
     zw = lambda t: z[t, 0] - z[t - 1, 0] - z[t - 7, 0] + z[t - 8, 0]
     for t in range(8, 70):
@@ -87,8 +94,8 @@ def test_recursion_equals_the_definition():
         if t >= 60:
             full.append(want[t])
         w[t], e[t] = full[t] - base, full[t] - base - guess
-    assert np.isnan(got[:8]).all()
-    assert list(got[8:]) == pytest.approx([want[t] for t in range(8, 70)])
+    assert got[:8] == [None] * 8
+    assert got[8:] == pytest.approx([want[t] for t in range(8, 70)])
 
 
 def test_beats_last_week_on_seasonal_series(spark):
@@ -189,3 +196,69 @@ def test_blocks_of_one_and_seven_agree_on_the_first_day(spark, shop):
     single = nl.forecast_future(model, train_days, 3, block=1).orderBy("date").collect()
     assert [str(r["date"]) for r in seven] == [str(START + dt.timedelta(days=170 + i)) for i in range(9)]
     assert seven[0]["predicted_units"] == pytest.approx(single[0]["predicted_units"])
+
+
+@pytest.fixture(scope="module")
+def odd_catalog(spark):
+    """A constant, a 10-day, a 60-day and a normal product."""
+    t = np.arange(400)
+    values = {"constant": np.full(400, 7.0), "ten": 3.0 + t[:10] % 2, "sixty": seasonal(60, 3), "normal": seasonal(400, 4)}
+    flags = F.col("date").isNotNull().cast("int")
+    return calendar_features(frame(spark, **values).withColumns({"avg_price": F.lit(5.0), "promo_any": flags})), values
+
+
+def test_every_series_gets_a_model_and_a_forecast(spark, odd_catalog, tmp_path):
+    daily, values = odd_catalog
+    found = {r["series_id"]: r for r in ln.search_orders(daily).collect()}
+    assert set(found) == set(values)
+    assert {s for s, r in found.items() if r["fallback"]} >= {"constant", "ten"} and not found["normal"]["fallback"]
+    assert found["ten"]["intercept"] == pytest.approx(np.mean(values["ten"])) and found["ten"]["admissible"] == 0
+    ends = daily.groupBy("series_id").agg(F.max("date").alias("hi"))
+    future = calendar_features(ends.select("series_id", F.explode(F.sequence(F.date_add("hi", 1), F.date_add("hi", 10))).alias("date"))
+                               .withColumns({"avg_price": F.lit(5.0), "promo_any": F.lit(1), "total_units": F.lit(1.0)}))
+    folder = str(tmp_path / "models")
+    forecasts = train_hybrid(daily, future, folder, Settings(rounds=2, depth=2)).collect()
+    assert {(r["series_id"]) for r in forecasts} == set(values) and len(forecasts) == 40
+    assert all(r[m] is not None and np.isfinite(r[m]) for r in forecasts for m in MODELS)
+    assert all(r["linear_only"] == pytest.approx(7.0) for r in forecasts if r["series_id"] == "constant")
+    assert all(r["hybrid"] == pytest.approx(r["linear_only"]) for r in forecasts if r["series_id"] == "ten")
+    assert {r["series_id"] for r in spark.read.parquet(f"{folder}/short_series").collect()} == {"ten", "sixty"}
+    fitted = ln.apply_linear(daily, spark.read.parquet(f"{folder}/linear"))
+    assert fitted.count() == sum(map(len, values.values()))
+    model = nl.NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals")
+    ahead = nl.forecast_future(model, daily.withColumn("residuals", F.lit(0.5)), 9)
+    assert {r["series_id"]: r["count"] for r in ahead.groupBy("series_id").count().collect()} == dict.fromkeys(values, 9)
+
+
+def test_a_series_without_stored_model_follows_its_mean(spark, odd_catalog):
+    daily, values = odd_catalog
+    known = ln.search_orders(daily).filter("series_id = 'normal'")
+    fitted = ln.apply_linear(daily, known).filter("series_id = 'ten'").select("fitted").distinct().collect()
+    assert [r["fitted"] for r in fitted] == [pytest.approx(np.mean(values["ten"]))]
+
+
+def test_coefficient_table_against_least_squares(spark):
+    x = arma(600, {1: 0.6}, {}, 8) + 5
+    daily = frame(spark, a=x)
+    model = ln.candidate_models(daily).filter("d = 0 and sd = 0 and p = 2 and q = 0 and sp = 0 and sq = 0").withColumn("fallback", F.lit(False))
+    table = {r["term"]: r for r in ln.coefficient_table(daily, model).collect()}
+    lost = ln.Grid().start_up
+    design = np.column_stack((np.ones(600 - lost), x[lost - 1:-1], x[lost - 2:-2]))
+    beta, *_ = np.linalg.lstsq(design, x[lost:], rcond=None)
+    variance = ((x[lost:] - design @ beta) ** 2).mean()
+    errors = np.sqrt(np.diag(variance * np.linalg.inv(design.T @ design)))
+    for term, b, e in zip(("intercept", "ar.L1", "ar.L2"), beta, errors):
+        r = table[term]
+        assert (r["estimate"], r["std_error"], r["z"]) == (pytest.approx(b), pytest.approx(e), pytest.approx(b / e))
+        assert (r["low"], r["high"]) == (pytest.approx(b - 1.96 * e, rel=1e-3), pytest.approx(b + 1.96 * e, rel=1e-3))
+    assert table["sigma2"]["estimate"] == pytest.approx(variance)
+
+
+def test_stored_regressor_model_is_applied(spark, odd_catalog, tmp_path):
+    daily, _ = odd_catalog
+    normal = daily.filter("series_id = 'normal'")
+    cut = F.lit(START + dt.timedelta(days=380))
+    past, test = normal.filter(F.col("date") < cut), normal.filter(F.col("date") >= cut)
+    _, forecast = train_with_regressors(past, test, folder=str(tmp_path))
+    again = forecast_with_regressors(past, test, str(tmp_path))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, forecast.collect()))

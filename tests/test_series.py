@@ -46,6 +46,9 @@ def test_length_gate(spark):
         sr.validate_length(line(spark, [1] * 89), line(spark, [1] * 7))
     with pytest.raises(ValueError, match="test data too short"):
         sr.validate_length(line(spark, [1] * 90), line(spark, [1] * 6))
+    both = line(spark, [1] * 90).unionByName(line(spark, [1] * 5).withColumn("series_id", F.lit("short")))
+    sr.validate_length(both, both)
+    assert [(r["series_id"], r["n_days"]) for r in sr.short_series(both, 90).collect()] == [("short", 5)]
 
 
 def test_window_counts(spark):
@@ -58,7 +61,8 @@ def test_window_counts(spark):
     assert split.filter("is_val").count() == 6
     assert split.filter("is_val").agg(F.min("date")).first()[0] > split.filter("not is_val").agg(F.max("date")).first()[0]
     assert ft.input_windows(daily, ["total_units"]).count() == 70
-    assert ft.validation_split(ft.supervised_windows(line(spark, range(50)), ["total_units"])).count() == 0
+    few = ft.validation_split(ft.supervised_windows(line(spark, range(50)), ["total_units"]))
+    assert few.count() == 14 and few.filter("is_val").count() == 0
 
 
 def test_scaling_is_inverted_exactly_and_constants_survive(spark):
@@ -130,6 +134,8 @@ def test_downsample_follows_float_edges(spark, n):
         chunks = [data[a:min(b, n)] for a, b in zip(edges, edges[1:])]
         want = [(c[len(c) // 2][0], max(v for _, v in c)) for c in chunks if c]
     assert got == want
+    if n <= 500:  # unchanged, averages too
+        assert sorted(map(tuple, rp.downsample(days).select(days.columns).collect())) == sorted(map(tuple, days.collect()))
 
 
 def test_histogram_of_a_constant(spark):

@@ -83,6 +83,13 @@ def test_correlations(spark):
 
 def test_short_series_has_no_lags_beyond_its_end(spark):
     assert st.acf(frame(spark, a=[1, 2, 4, 3]), max_lag=10).agg(F.max("lag")).first()[0] == 3
+    assert st.pacf(frame(spark, a=[1, 2, 4, 3]), max_lag=10).agg(F.max("lag")).first()[0] == 3
+
+
+def test_constant_series_have_undefined_correlations(spark):
+    for table in (st.acf(frame(spark, a=[2] * 20), max_lag=3), st.pacf(frame(spark, a=[2] * 20), max_lag=3)):
+        values = {r["lag"]: r[2] for r in table.collect()}
+        assert values[0] == 1.0 and [values[k] for k in (1, 2, 3)] == [None] * 3
 
 
 def test_diagnostics_of_noise(spark):

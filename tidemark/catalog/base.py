@@ -89,6 +89,13 @@ def event_days(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).alias("promotion_flag"))
 
 
+# Notations of the report's days, as Spark and as SQL patterns.
+MESSY_DATES = {
+    "yyyy/MM/dd": "%Y/%m/%d", "dd-MMM-yy": "%d-%b-%y", "dd-MMM-yyyy": "%d-%b-%Y", "MMM-dd-yyyy": "%b-%d-%Y",
+    "yyyy.MM.dd": "%Y.%m.%d", "dd.MM.yyyy": "%d.%m.%Y", "MM/dd/yyyy '10:30 PM'": "%m/%d/%Y 10:30 PM",
+    "yyyy-MM-dd '12:00:00 AM'": "%Y-%m-%d 12:00:00 AM", "EEE, dd MMM yyyy": "%a, %d %b %Y", "yyyy-MM": "%Y-%m"}
+
+
 def messy(spark: SparkSession, sf: str) -> DataFrame:
     """A marketplace report made of text columns, derived from the orders."""
     key = F.col("o_orderkey")
@@ -100,7 +107,9 @@ def messy(spark: SparkSession, sf: str) -> DataFrame:
         key.alias("k"),
         F.when(key % 4 == 0, fmt("yyyy-MM-dd")).when(key % 4 == 1, fmt("MM-dd-yy"))
         .when(key % 4 == 2, fmt("M/d/yyyy"))
-        .otherwise(F.when(key % 101 == 0, "junk").otherwise(fmt("yyyy/MM/dd"))).alias("date_txt"),
+        .otherwise(F.when(key % 101 == 0, "junk").when(key % 103 == 0, "0022-04-30")
+                   .otherwise(F.element_at(F.array(*[fmt(p) for p in MESSY_DATES]),
+                                           (key % len(MESSY_DATES) + 1).cast("int")))).alias("date_txt"),
         F.when(key % 17 == 0, "x").when(key % 23 == 0, None).when(key % 97 == 0, "500")
         .otherwise((key % 9 - 1).cast("string")).alias("qty_txt"),
         F.when(F.col("o_orderstatus") == "F", "Shipped")
@@ -163,7 +172,9 @@ MESSY = """messy as (
   select o_orderkey as k,
     case o_orderkey % 4 when 0 then strftime(o_orderdate, '%Y-%m-%d') when 1 then strftime(o_orderdate, '%m-%d-%y')
       when 2 then strftime(o_orderdate, '%-m/%-d/%Y')
-      else case when o_orderkey % 101 = 0 then 'junk' else strftime(o_orderdate, '%Y/%m/%d') end end as date_txt,
+      else case when o_orderkey % 101 = 0 then 'junk' when o_orderkey % 103 = 0 then '0022-04-30'
+        else [""" + ", ".join(f"strftime(o_orderdate, '{p}')" for p in MESSY_DATES.values()) + """
+          ][o_orderkey % """ + str(len(MESSY_DATES)) + """ + 1] end end as date_txt,
     case when o_orderkey % 17 = 0 then 'x' when o_orderkey % 23 = 0 then null when o_orderkey % 97 = 0 then '500'
       else cast(o_orderkey % 9 - 1 as varchar) end as qty_txt,
     case o_orderstatus when 'F' then 'Shipped' when 'O' then ' Shipped - Delivered to Buyer ' else 'Pending' end
@@ -173,10 +184,20 @@ MESSY = """messy as (
     o_orderpriority as category
   from orders)"""
 
-MESSY_DAY = """cast(case when regexp_full_match(date_txt, '\\d{4}-\\d{2}-\\d{2}') then strptime(date_txt, '%Y-%m-%d')
+MESSY_DAY = """cast(case when regexp_full_match(date_txt, '[12]\\d{3}-\\d{2}-\\d{2}') then strptime(date_txt, '%Y-%m-%d')
     when regexp_full_match(date_txt, '\\d{2}-\\d{2}-\\d{2}') then strptime(date_txt, '%m-%d-%y')
     when regexp_full_match(date_txt, '\\d{1,2}/\\d{1,2}/\\d{4}') then strptime(date_txt, '%m/%d/%Y')
-    when regexp_full_match(date_txt, '\\d{4}/\\d{2}/\\d{2}') then strptime(date_txt, '%Y/%m/%d') end as date)"""
+    when regexp_full_match(date_txt, '\\d{4}/\\d{2}/\\d{2}') then strptime(date_txt, '%Y/%m/%d')
+    when regexp_full_match(date_txt, '\\d{2}-[A-Z][a-z]{2}-\\d{2}') then strptime(date_txt, '%d-%b-%y')
+    when regexp_full_match(date_txt, '\\d{2}-[A-Z][a-z]{2}-\\d{4}') then strptime(date_txt, '%d-%b-%Y')
+    when regexp_full_match(date_txt, '[A-Z][a-z]{2}-\\d{2}-\\d{4}') then strptime(date_txt, '%b-%d-%Y')
+    when regexp_full_match(date_txt, '\\d{4}\\.\\d{2}\\.\\d{2}') then strptime(date_txt, '%Y.%m.%d')
+    when regexp_full_match(date_txt, '\\d{2}\\.\\d{2}\\.\\d{4}') and date_txt[1:2] > '12' then strptime(date_txt, '%d.%m.%Y')
+    when regexp_full_match(date_txt, '\\d{2}\\.\\d{2}\\.\\d{4}') then strptime(date_txt, '%m.%d.%Y')
+    when date_txt like '% PM' then strptime(date_txt, '%m/%d/%Y %I:%M %p')
+    when date_txt like '% AM' then strptime(date_txt, '%Y-%m-%d %I:%M:%S %p')
+    when date_txt like '%, %' then strptime(date_txt, '%a, %d %b %Y')
+    when regexp_full_match(date_txt, '\\d{4}-\\d{2}') then strptime(date_txt || '-01', '%Y-%m-%d') end as date)"""
 
 # Rows of the messy report after cleaning, before the day is parsed.
 MESSY_CLEAN = MESSY + """,

@@ -46,10 +46,10 @@ def e03(spark, sf):
     return ev.model_metrics(scored(total_daily(spark, sf)))
 
 
-@query("e03_model_metrics_per_sku", SKU_DAILY + NAIVE + LONG + " select run_id, model, rmse, mape / 1e6 as mape from metrics",
+@query("e03_model_metrics_per_sku", SKU_DAILY + NAIVE + LONG + " select run_id, model, rmse, round(mape, 0) as mape from metrics",
        floats="rmse mape", digits=4)
 def e03_sku(spark, sf):
-    return run_metrics(spark, sf).withColumn("mape", F.col("mape") / 1e6)
+    return run_metrics(spark, sf).withColumn("mape", F.round("mape", 0))
 
 
 @query("e04_relative_scores", SKU_DAILY + NAIVE + LONG + """ select run_id, model,
@@ -71,20 +71,25 @@ def e05(spark, sf):
     return ev.error_bars(run_metrics(spark, sf)).drop("rmse", "mape")
 
 
+# A day without units makes the percentage error explode, so it is compared in whole numbers.
+RUNS = ", ".join(f"max({v}) filter (where run_id = '{r}') as {c}_{r}"
+                 for c, v in (("rmse", "rmse"), ("mape", "round(mape, 0)")) for r in "ANR")
+CHANGES = ", ".join(f"{c}_{r} - {c}_A as delta_{c}_{r}" for c in ("rmse", "mape") for r in "NR")
+
+
 @query("e06_compare_runs", f"""with {DEMAND}, agg as (select variant, date, sum(units_sold) as u from demand group by all),
 cal as (select variant, cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date
         from agg group by variant),
 daily as (select variant as series_id, date, cast(coalesce(u, 0) as bigint) as total_units
           from cal left join agg using (variant, date)) {NAIVE} {LONG},
-w as (select model, max(rmse) filter (where run_id = 'A') as base_rmse, max(rmse) filter (where run_id = 'N') as other_rmse,
-  max(mape) filter (where run_id = 'A') as base_mape, max(mape) filter (where run_id = 'N') as other_mape
-  from metrics group by model)
-select *, other_rmse - base_rmse as delta_rmse, other_mape - base_mape as delta_mape from w""",
-       floats="base_rmse other_rmse delta_rmse base_mape other_mape delta_mape", digits=4)
+w as (select model, {RUNS} from metrics group by model)
+select *, {CHANGES} from w""",
+       floats=" ".join([f"{c}_{r}" for c in ("rmse", "mape") for r in "ANR"] + [f"delta_{c}_{r}" for c in ("rmse", "mape") for r in "NR"]),
+       digits=4)
 def e06(spark, sf):
     daily = daily_series(variants(spark, sf), "variant")
     metrics = ev.model_metrics(scored(daily), ("series_id", "model")).withColumnRenamed("series_id", "run_id")
-    return ev.compare_runs(metrics, "A", "N")
+    return ev.compare_runs(metrics.withColumn("mape", F.round("mape", 0)), ["A", "N", "R"])
 
 
 @query("o02_leaderboard", SKU_DAILY + NAIVE + LONG + """ select run_id, model, rmse,

@@ -75,10 +75,9 @@ shares as (select sku_id, case when sum(recent) over () > 0 then recent / sum(re
 
 
 @query("j04_allocate", TOTAL_DAILY + f""",\n{SHARES}
-select sku_id, date, total_units * share as predicted_units from daily, shares
-where date > (select max(date) from daily) - interval 91 day""", dates="date", floats="predicted_units")
+select sku_id, date, total_units * share as predicted_units from daily, shares""", dates="date", floats="predicted_units")
 def j04(spark, sf):
-    total = rp.recent_window(total_daily(spark, sf), 91).select(
+    total = total_daily(spark, sf).select(
         "date", F.col("total_units").cast("double").alias("predicted_units"))
     return hz.allocate(total, hz.sku_shares(demand(spark, sf)))
 
@@ -101,7 +100,7 @@ _BRAND_MAX = ", ".join(f"max(v) filter (where sku_id = '{b}') as \"{b}\"" for b
   predicted_units) as v from forecast)
 select date, {_BRAND_MAX} from m group by date""", dates="date", floats=" ".join(BRANDS))
 def j06(spark, sf):
-    return rp.comparison_matrix(rp.centred_averages(sku_forecast(spark, sf)), BRANDS)
+    return rp.comparison_matrix(rp.centred_averages(sku_forecast(spark, sf)))
 
 
 @query("j07_hybrid_sum", SKU_DAILY + NAIVE + " select series_id, date, weekly + recent as predicted_units from scored",
@@ -112,9 +111,8 @@ def j07(spark, sf):
                          scored.select("series_id", "date", F.col("recent").alias("predicted_units")))
 
 
-@query("j08_residuals", SKU_DAILY + NAIVE + """ select daily.series_id, daily.date, daily.total_units,
-  coalesce(daily.total_units - scored.weekly, 0.0) as residuals
-from daily left join scored using (series_id, date)""", dates="date", floats="residuals")
+@query("j08_residuals", SKU_DAILY + f""" select series_id, date, total_units,
+  coalesce(total_units - lag(total_units, 7) over ({W}), 0.0) as residuals from daily""", dates="date", floats="residuals")
 def j08(spark, sf):
     daily = sku_daily(spark, sf).select("series_id", "date", "total_units")
     return al.residuals(daily, naive_forecasts(daily).withColumnRenamed("weekly", "fitted"))

@@ -1,4 +1,5 @@
-"""Fitted models. No SQL counterpart: the driver checks rows, the tests check recovery."""
+"""Fitted models. Recursions, an autoregressive candidate, its coefficient table and the key sets of forecasts have
+SQL counterparts; fits by search and trees are checked by tests of recovery."""
 
 from __future__ import annotations
 
@@ -6,19 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.catalog.base import SKU_DAILY, demand, query, sku_daily, total_daily
+from tidemark.catalog.base import DEMAND, PART_DEMAND, SKU_DAILY, daily_sql, demand, part_demand, query, sku_daily, total_daily
 from tidemark.operators import linear as ln
 from tidemark.operators import nonlinear as nl
 from tidemark.operators.align import residuals
 from tidemark.operators.eda import split_by_date
 from tidemark.operators.evaluate import long_scores, model_metrics
+from tidemark.operators.series import daily_series
 from tidemark.operators.stationarity import diagnostics, effective_sample
 from tidemark.plans.forecast import forecast_rows
 from tidemark.plans.train import MODELS, Settings, backtest_one_step, longest, train_hybrid, train_with_regressors
 from tidemark.session import ensure_checkpoint_dir
 
 SPLIT, AS_OF = "2001-07-01", "2001-12-15"
-QUICK = Settings(rounds=4, depth=3)
+QUARTERS = 4
 
 
 def split(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,14 +35,49 @@ def trained(spark: SparkSession, sf: str) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
-        train_hybrid(*split(total_daily(spark, sf)), folder, QUICK)
+        train_hybrid(*split(total_daily(spark, sf)), folder)
         _TRAINED[key] = folder
     return _TRAINED[key]
 
 
 @query("m01_search_orders", digits=2)
 def m01(spark, sf):
-    return ln.search_orders(sku_daily(spark, sf)).select("series_id", "d", "sd", "p", "q", "sp", "sq", "n", "aic", "admissible")
+    return ln.search_orders(sku_daily(spark, sf)).select(
+        "series_id", "d", "sd", "p", "q", "sp", "sq", "n", "aic", "admissible", "fallback")
+
+
+# A first-order autoregression of the level, on the days that every candidate is compared on.
+AR1 = SKU_DAILY + f""", x as (select series_id, cast(total_units as double) as y,
+  cast(lag(total_units) over (partition by series_id order by date) as double) as x,
+  row_number() over (partition by series_id order by date) as t from daily),
+r as (select series_id, count(*) as n, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept,
+  regr_syy(y, x) - regr_sxy(y, x) ** 2 / regr_sxx(y, x) as sse, regr_sxx(y, x) as sxx, avg(x) as mean_x
+  from x where t > {ln.Grid().start_up} group by series_id)"""
+
+
+@query("m01_autoregressive_candidate", AR1 + """ select series_id, n, slope as ar1, intercept, sse,
+  n * ln(sse / n) + 2 * 3 as aic from r where abs(slope) < 1""", floats="ar1 intercept sse aic", digits=4)
+def m01_candidate(spark, sf):
+    """One given order among all candidates: coefficients, residual sum and criterion."""
+    return _first_order(sku_daily(spark, sf)).select(
+        "series_id", "n", F.col("ar")[0].alias("ar1"), "intercept", "sse", "aic")
+
+
+def _first_order(daily):
+    return ln.candidate_models(daily).filter("d = 0 and sd = 0 and p = 1 and q = 0 and sp = 0 and sq = 0")
+
+
+@query("m03_coefficient_table", AR1 + """, s as (select *, sse / n as sigma2 from r where abs(slope) < 1),
+terms as (
+  select series_id, 'intercept' as term, intercept as estimate, sqrt(sigma2 * (1.0 / n + mean_x ** 2 / sxx)) as std_error from s
+  union all select series_id, 'ar.L1', slope, sqrt(sigma2 / sxx) from s
+  union all select series_id, 'sigma2', sigma2, sigma2 * sqrt(2.0 / n) from s)
+select *, estimate / std_error as z, estimate - 1.959963984540054 * std_error as low,
+  estimate + 1.959963984540054 * std_error as high from terms""", floats="estimate std_error z low high", digits=3)
+def m03_table(spark, sf):
+    daily = sku_daily(spark, sf)
+    given = _first_order(daily).withColumn("fallback", F.lit(False))
+    return ln.coefficient_table(daily, given).drop("p_value")
 
 
 @query("m02_search_plain_orders", digits=2)
@@ -62,6 +99,20 @@ def m04(spark, sf):
     return ln.forecast_linear(train, ln.search_orders(train), test)
 
 
+@query("m04_forecast_linear_parts", f"""with {PART_DEMAND},\n{daily_sql(by='sku_id')},
+ends as (select max(date) as hi from daily)
+select series_id, count(*) as days, min(date) as first_day, max(date) as last_day, count(*) as predicted
+from daily where date >= date '{SPLIT}' and series_id in (select series_id from daily where date < date '{SPLIT}')
+group by series_id""", dates="first_day last_day")
+def m04_parts(spark, sf):
+    """A catalog of many short series: a forecast for every product and test day, whatever the product's history."""
+    train, test = split(daily_series(part_demand(spark, sf), "sku_id").select("series_id", "date", "total_units"))
+    forecast = ln.forecast_linear(train, ln.search_orders(train), test.join(train.select("series_id").distinct(), "series_id"))
+    return forecast.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.count("predicted_units").alias("predicted"))
+
+
 @query("m05_apply_linear", digits=3)
 def m05(spark, sf):
     daily = sku_daily(spark, sf)
@@ -95,16 +146,45 @@ select w.series_id, w.date, w.x - rec.e[7] as fitted from w left join rec
 def m05_given(spark, sf):
     """The residual recursion alone, with coefficients that are not fitted."""
     daily = sku_daily(spark, sf)
-    given = daily.select("series_id").distinct().selectExpr(
-        "series_id", *[f"{value} as {name}" for name, value in GIVEN.items()])
-    return ln.apply_linear(daily, given)
+    return ln.apply_linear(daily, _given(daily))
+
+
+@query("m04_forecast_given_coefficients", f"""{SKU_DAILY.replace("with demand", "with recursive demand", 1)},
+w as (select series_id, date, total_units as x, row_number() over s as i, count(*) over (partition by series_id) as n,
+  cast(total_units - lag(total_units, 1) over s - lag(total_units, 7) over s + lag(total_units, 8) over s as double) as w
+  from daily where date < date '{SPLIT}' window s as (partition by series_id order by date)),
+known as (select series_id, max(n) as n, max(date) as last, list(cast(x as double) order by i)[-8:] as x from w group by series_id),
+rec as (
+  select series_id, 8 as i, 0.0::double as w, [0, 0, 0, 0, 0, 0, 0]::double[] as e from known
+  union all
+  select rec.series_id, rec.i + 1, n.w, list_append(rec.e[2:7], n.w - (0.3 * rec.w - 0.4 * rec.e[7] - 0.3 * rec.e[1]))
+  from rec join w n on n.series_id = rec.series_id and n.i = rec.i + 1),
+ahead as (
+  select known.series_id, 0 as k, known.last as date, known.x, rec.w, rec.e from known join rec
+    on rec.series_id = known.series_id and rec.i = known.n
+  union all
+  select series_id, k + 1, cast(date + interval 1 day as date),
+    list_append(x[2:8], x[8] + x[2] - x[1] + (0.3 * w - 0.4 * e[7] - 0.3 * e[1])),
+    0.3 * w - 0.4 * e[7] - 0.3 * e[1], list_append(e[2:7], 0.0)
+  from ahead where k < 120)
+select series_id, date, x[8] as predicted_units from ahead where k > 0""", dates="date", floats="predicted_units", digits=4)
+def m04_given(spark, sf):
+    """120 days past the end of the training days, with coefficients that are not fitted."""
+    train, _ = split(sku_daily(spark, sf))
+    ends = train.groupBy("series_id").agg(F.max("date").alias("hi"))
+    future = ends.select("series_id", F.explode(F.sequence(F.date_add("hi", 1), F.date_add("hi", 120))).alias("date"))
+    return ln.forecast_linear(train, _given(train), future)
+
+
+def _given(daily):
+    return daily.select("series_id").distinct().selectExpr("series_id", *[f"{value} as {name}" for name, value in GIVEN.items()])
 
 
 @query("m06_fit_nonlinear", digits=3)
 def m06(spark, sf):
     """Test error of each output step of the trees, trained on the pooled brands."""
     train, test = split(sku_daily(spark, sf))
-    model = nl.fit_nonlinear(train, "total_units", rounds=2, depth=3)
+    model = nl.fit_nonlinear(train, "total_units")
     predicted = nl.predict_one_step(model, test)
     return model_metrics(test.select("series_id", "date", F.col("total_units").alias("actual")).join(
         predicted.withColumnRenamed("predicted_units", "predicted"), ["series_id", "date"]), ("series_id",))
@@ -126,7 +206,7 @@ def m09(spark, sf):
     folder = trained(spark, sf)
     daily = total_daily(spark, sf)
     known = residuals(daily, ln.apply_linear(daily, spark.read.parquet(f"{folder}/linear")))
-    return nl.forecast_future(nl.NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals"), known, 28)
+    return nl.forecast_future(nl.NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals"), known, 91 * QUARTERS)
 
 
 @query("m11_hybrid", digits=3)
@@ -137,9 +217,28 @@ def m11(spark, sf):
 
 @query("m12_run_forecast")
 def m12(spark, sf):
-    return forecast_rows(demand(spark, sf), 1, AS_OF, trained(spark, sf)).sku_daily
+    return _forecast(spark, sf).sku_daily
+
+
+def _forecast(spark, sf):
+    return forecast_rows(demand(spark, sf), QUARTERS, AS_OF, trained(spark, sf))
+
+
+# Days of the forecast: the quarters' days less those before the first full month.
+HORIZON = f"""horizon as (select cast(unnest(generate_series(first_day, last_day, interval 1 day)) as date) as date from (
+  select cast(date_trunc('month', date '{AS_OF}') + interval 1 month as date) as first_day,
+    greatest(max(date), date '{AS_OF}' - 1) + {91 * QUARTERS} as last_day from demand))"""
+
+
+@query("m12_run_forecast_keys", f"""with {DEMAND}, {HORIZON} select sku_id, count(*) as days, min(date) as first_day,
+  max(date) as last_day, true as positive from horizon, (select distinct sku_id from demand) group by sku_id""",
+       dates="first_day last_day")
+def m12_keys(spark, sf):
+    return _forecast(spark, sf).sku_daily.groupBy("sku_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.bool_and(F.col("predicted_units") >= 0).alias("positive"))
 
 
 @query("m12_run_forecast_quarterly")
 def m12_quarterly(spark, sf):
-    return forecast_rows(demand(spark, sf), 1, AS_OF, trained(spark, sf)).sku_quarterly
+    return _forecast(spark, sf).sku_quarterly

@@ -30,12 +30,11 @@ def a10(spark, sf):
 @query("a11_weekday_means", FORECAST + """, days as (select sku_id, unnest(range(0, 7)) as weekday
   from (select distinct sku_id from forecast)),
 means as (select sku_id, (dayofweek(date) + 6) % 7 as weekday, avg(predicted_units) as m from forecast
-          where date > (select max(date) from forecast) - interval 5 day group by all)
+          group by all)
 select sku_id, cast(weekday as integer) as weekday, coalesce(m, 0.0) as mean_units
-from days left join means using (sku_id, weekday)
-where sku_id in (select sku_id from means)""", floats="mean_units")
+from days left join means using (sku_id, weekday)""", floats="mean_units")
 def a11(spark, sf):
-    return rp.weekday_means(rp.recent_window(sku_forecast(spark, sf), 5))
+    return rp.weekday_means(sku_forecast(spark, sf))
 
 
 def _histogram_sql(source: str) -> str:
@@ -78,9 +77,10 @@ edges as (select sku_id, b, cast(trunc(b * step) as bigint) as s, least(cast(tru
 big as (select r.sku_id, b, s, t, i, date, predicted_units, ma7, ma14 from r join edges
         on r.sku_id = edges.sku_id and i >= s and i < t)
 select sku_id, max(case when i = s + (t - s) // 2 then date end) as date, max(predicted_units) as predicted_units,
-  round_even(avg(ma7), 1) as ma7, round_even(avg(ma14), 1) as ma14 from big group by sku_id, b
+  case when count(*) = 1 then max(ma7) else round_even(avg(ma7), 1) end as ma7,
+  case when count(*) = 1 then max(ma14) else round_even(avg(ma14), 1) end as ma14 from big group by sku_id, b
 union all
-select sku_id, date, predicted_units, round_even(ma7, 1), round_even(ma14, 1) from r where n <= 500""",
+select sku_id, date, predicted_units, ma7, ma14 from r where n <= 500""",
        dates="date", floats="predicted_units ma7 ma14")
 def a15(spark, sf):
     return rp.downsample(rp.centred_averages(sku_forecast(spark, sf)))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import (BRANDS, DAILY_FLOATS, DEMAND, PART_DEMAND, SKU_DAILY, TOTAL_DAILY, daily_sql, demand,
-                                   part_demand, query, sku_daily, table, total_daily, variants)
+from tidemark.catalog.base import (BRANDS, DAILY_FLOATS, DEMAND, MESSY, MESSY_DAY, PART_DEMAND, SKU_DAILY, TOTAL_DAILY,
+                                   daily_sql, demand, messy_report, part_demand, query, sku_daily, table, total_daily,
+                                   variants)
 from tidemark.operators import eda
 from tidemark.operators.horizon import sku_shares
 from tidemark.operators.series import daily_aggregate, daily_series, daily_total, with_series
+from tidemark.plans.explore import explore
+from tidemark.plans.ingest import raw_rows
 
 
 @query("a01_daily_aggregate", f"with {DEMAND} select 'ALL' as series_id, date, cast(sum(units_sold) as bigint) as "
@@ -87,7 +90,7 @@ _BRAND_AVG = ", ".join(f"avg(units_sold) filter (where sku_id = '{b}') as \"{b}\
   ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][(dayofweek(date) + 6) % 7 + 1] as day, {_BRAND_AVG}
 from demand group by all""", floats=" ".join(BRANDS))
 def a05_matrix(spark, sf):
-    return eda.weekday_matrix(demand(spark, sf), BRANDS)
+    return eda.weekday_matrix(demand(spark, sf))
 
 
 @query("a06_promo_matrix", f"with {DEMAND} select sku_id, {NO} as no_promo, {YES} as promo from demand group by sku_id",
@@ -117,6 +120,36 @@ def a08(spark, sf):
     return eda.profile(demand(spark, sf))
 
 
+MESSY_RAW = MESSY + ", raw as (select " + MESSY_DAY + """ as date, category as sku_id, try_cast(qty_txt as double) as units_sold,
+  try_cast(nullif(amount_txt, '') as double) as price,
+  case when promo_txt is not null then cast(length(promo_txt) > 0 as integer) end as promotion_flag, status from messy)"""
+_RAW_COLS = [*_PROFILE_COLS, "status"]
+
+
+@query("a08_profile_messy", f"""with {MESSY_RAW}, s as (select count(*) as rows, 6 as columns, min(date) as min_date,
+  max(date) as max_date, count(*) filter (where units_sold < 0) as negative_units,
+  {', '.join(f'count(*) - count({c}) as nulls_{c}' for c in _RAW_COLS)} from raw)
+select unnest(['rows', 'columns', 'min_date', 'max_date', 'negative_units',
+               {', '.join(f"'nulls_{c}'" for c in _RAW_COLS)}]) as measure,
+       unnest([cast(rows as varchar), cast(columns as varchar), cast(min_date as varchar), cast(max_date as varchar),
+               cast(negative_units as varchar), {', '.join(f'cast(nulls_{c} as varchar)' for c in _RAW_COLS)}]) as value from s""")
+def a08_messy(spark, sf):
+    return explore(raw_rows(messy_report(spark, sf)))["profile"]
+
+
+@query("a02_per_sku_summary_messy", f"with {MESSY_RAW} select sku_id, {SUMMARY} from raw where date is not null group by sku_id",
+       floats="mean_units std_units mean_price promo_frac", digits=3)
+def a02_messy(spark, sf):
+    return explore(raw_rows(messy_report(spark, sf)))["per_sku_summary"]
+
+
+@query("a03_promo_summary_messy", f"""with {MESSY_RAW} select sku_id, round_even({NO}, 3) as mean_no_promo,
+  round_even({YES}, 3) as mean_promo, round_even(({YES} - {NO}) / nullif({NO}, 0), 3) as relative_lift
+  from raw where date is not null group by sku_id""", floats="mean_no_promo mean_promo relative_lift", digits=3)
+def a03_messy(spark, sf):
+    return explore(raw_rows(messy_report(spark, sf)))["promo_summary"]
+
+
 @query("a14_sku_shares", f"""with {DEMAND}, cut as (select max(date) - interval 28 day as cut from demand),
 sums as (select sku_id, coalesce(sum(units_sold) filter (where date > cut), 0) as recent, sum(units_sold) as ever
          from demand, cut group by sku_id)
@@ -153,9 +186,8 @@ def a17(spark, sf):
 @query("u02_concat_variants", f"with {DEMAND} select variant, count(*) as n, cast(sum(units_sold) as bigint) as units "
        "from demand group by variant")
 def u02(spark, sf):
-    rows = variants(spark, sf)
-    parts = {v: rows.filter(F.col("variant") == v).drop("variant") for v in ("A", "N", "R")}
-    return eda.label_variants(parts).groupBy("variant").agg(
+    rows = variants(spark, sf).withColumnRenamed("variant", "flag")
+    return eda.label_variants(rows, "flag").groupBy("variant").agg(
         F.count(F.lit(1)).alias("n"), F.sum("units_sold").alias("units"))
 
 

@@ -66,21 +66,25 @@ def w07(spark, sf):
     return sr.seasonal_difference(sku_daily(spark, sf)).select("series_id", "date", "w")
 
 
+# All columns of the windows as whole millionths.
+_MILLIONTHS = " || ':' || ".join(f"cast(floor({c} * 1000000 + 0.5) as bigint)" for c in ft.feature_columns())
+
+
 @query("w08_supervised_windows", SKU_DAILY + f""", pairs as (select series_id, date,
-  list(total_units || ':' || promo_any) over ({W_SERIES} rows between 30 preceding and 1 preceding) as x,
+  list({_MILLIONTHS}) over ({W_SERIES} rows between 30 preceding and 1 preceding) as x,
   list(total_units) over ({W_SERIES} rows between current row and 6 following) as y from daily)
-select series_id, date, array_to_string(x, ',') as x, array_to_string(y, ',') as y from pairs
+select series_id, date, md5(array_to_string(x, ',')) as x, array_to_string(y, ',') as y from pairs
 where len(x) = 30 and len(y) = 7""", dates="date")
 def w08(spark, sf):
-    pairs = ft.supervised_windows(sku_daily(spark, sf), ["total_units", "promo_any"])
+    pairs = ft.supervised_windows(sku_daily(spark, sf), ft.feature_columns())
 
-    def whole(v):
-        return v.cast("bigint").cast("string")
+    def millionths(v):
+        return F.floor(v * 1000000 + 0.5).cast("string")
 
+    days = F.transform("x", lambda d: F.array_join(F.transform(d, millionths), ":"))
     return pairs.select(
-        "series_id", "date",
-        F.array_join(F.transform("x", lambda d: F.concat(whole(d[0]), F.lit(":"), whole(d[1]))), ",").alias("x"),
-        F.array_join(F.transform("y", whole), ",").alias("y"))
+        "series_id", "date", F.md5(F.array_join(days, ",")).alias("x"),
+        F.array_join(F.transform("y", lambda v: v.cast("bigint").cast("string")), ",").alias("y"))
 
 
 @query("w09_validation_split", SKU_DAILY + f""", pairs as (select series_id, date,
@@ -88,8 +92,8 @@ def w08(spark, sf):
   count(*) over ({W_SERIES} rows between current row and 6 following) as ny from daily),
 n as (select series_id, date, count(*) over (partition by series_id) as n, row_number() over ({W_SERIES}) as i
       from pairs where nx = 30 and ny = 7)
-select series_id, i > n - greatest(1, cast(floor(0.1 * n) as bigint)) as is_val, count(*) as windows,
-       min(date) as first_day, max(date) as last_day from n where n >= 20 group by all""", dates="first_day last_day")
+select series_id, n >= 20 and i > n - greatest(1, cast(floor(0.1 * n) as bigint)) as is_val, count(*) as windows,
+       min(date) as first_day, max(date) as last_day from n group by all""", dates="first_day last_day")
 def w09(spark, sf):
     split = ft.validation_split(ft.supervised_windows(sku_daily(spark, sf), ["total_units"]))
     return split.groupBy("series_id", "is_val").agg(

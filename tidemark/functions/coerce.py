@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.let import let
-from tidemark.schema import (BOOL_TOKENS, DEFAULT_PRICE, DEFAULT_UNITS, NAMED_DAY,
-                             NUMERIC_DAY, NUMERIC_PATTERN, TIME_SUFFIX)
+from tidemark.schema import (BOOL_TOKENS, DEFAULT_PRICE, DEFAULT_UNITS, FIRST_DAY, LAST_DAY, NAMED_DAY,
+                             NUMERIC_DAY, NUMERIC_PATTERN, TIME_SUFFIX, WEEKDAY_PREFIX)
 
 
 def is_text(df: DataFrame, name: str) -> bool:
@@ -76,31 +76,52 @@ def date_of(text: Column, pivot_year: int = 2075) -> Column:
     """
     trimmed = F.trim(text)
     body = F.when(F.contains(trimmed, F.lit(":")), F.regexp_replace(trimmed, TIME_SUFFIX, "")).otherwise(trimmed)
-    return let(body, lambda b: F.when(b.rlike(NUMERIC_DAY), _numeric_day(b, pivot_year))
-               .when(b.rlike(NAMED_DAY), _named_day(b)))
+    named = F.when(body.rlike("^[A-Za-z]"), F.regexp_replace(body, WEEKDAY_PREFIX, "")).otherwise(body)
+    return let(named, lambda b: F.when(b.rlike(NUMERIC_DAY), _numeric_day(b, pivot_year))
+               .when(b.rlike(NAMED_DAY), _named_day(b, pivot_year)))
+
+
+def _full_year(year: Column, pivot_year: int) -> Column:
+    return F.when(F.length(year) == 4, year).when(year.try_cast("int") + 2000 > pivot_year, F.concat(F.lit("19"), year)) \
+        .otherwise(F.concat(F.lit("20"), year))
 
 
 def _numeric_day(body: Column, pivot_year: int) -> Column:
     def arranged(parts: Column) -> Column:
         first, second, last = (F.get(parts, F.lit(i)) for i in range(3))
         day_first = (F.length(first) == 2) & (first > "12")
-        century = F.when(F.length(last) == 4, "").when(last.try_cast("int") + 2000 > pivot_year, "19").otherwise("20")
         eight = F.array(F.substring(first, 1, 4), F.substring(first, 5, 2), F.substring(first, 7, 2))
-        return (F.when(F.size(parts) == 1, eight).when(F.length(first) == 4, parts)
-                .when(day_first, F.array(F.concat(century, last), second, first))
-                .otherwise(F.array(F.concat(century, last), first, second)))
+        return (F.when(F.size(parts) == 1, eight).when(F.size(parts) == 2, F.array(first, second, F.lit("01")))
+                .when(F.length(first) == 4, parts)
+                .when(day_first, F.array(_full_year(last, pivot_year), second, first))
+                .otherwise(F.array(_full_year(last, pivot_year), first, second)))
 
-    parts = F.split(F.translate(body, "/", "-"), "-")
+    parts = F.split(F.translate(body, "/.", "--"), "-")
     return F.concat_ws("-", let(parts, arranged)).try_cast("date")
 
 
-def _named_day(body: Column) -> Column:
-    short = F.initcap(F.regexp_replace(body, r"([A-Za-z]{3})[A-Za-z]*,?|,", "$1"))
-    return let(short, lambda s: F.coalesce(*[
-        F.try_to_timestamp(s, F.lit(p)) for p in ("MMM d yyyy", "d MMM yyyy")])).cast("date")
+# Fixed value: places of the month names.
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+
+
+def _named_day(body: Column, pivot_year: int) -> Column:
+    parts = F.split(F.translate(body, "-,", " "), " +")
+
+    def arranged(parts: Column) -> Column:
+        first, second, year = (F.get(parts, F.lit(i)) for i in range(3))
+        month_first = first.rlike("^[A-Za-z]")
+        name = F.lower(F.substring(F.when(month_first, first).otherwise(second), 1, 3))
+        place = F.position(name, F.lit(MONTHS))
+        return F.when(place > 0, F.array(
+            _full_year(year, pivot_year), ((place + 3) / 4).cast("int").cast("string"),
+            F.when(month_first, second).otherwise(first)))
+
+    return let(let(parts, arranged), lambda day: F.when(day.isNotNull(), F.concat_ws("-", day).try_cast("date")))
 
 
-def parse_dates(df: DataFrame, name: str = "date", pivot_year: int = 2075) -> DataFrame:
-    """Truncate to the day and drop rows without a readable date."""
+def parse_dates(df: DataFrame, name: str = "date", pivot_year: int = 2075, keep_unreadable: bool = False) -> DataFrame:
+    """Truncate to the day and drop rows without a readable date, or keep them with NULL."""
     day = date_of(F.col(name), pivot_year) if is_text(df, name) else F.col(name).cast("date")
-    return df.withColumn(name, day).filter(F.col(name).isNotNull())
+    first, last = (F.lit(d).cast("date") for d in (FIRST_DAY, LAST_DAY))
+    read = df.withColumn(name, let(day, lambda d: F.when(d.between(first, last), d)))
+    return read if keep_unreadable else read.filter(F.col(name).isNotNull())

@@ -29,8 +29,9 @@ def residuals(daily: DataFrame, fitted: DataFrame, name: str = "total_units") ->
     return daily.join(fitted.select(*KEY, "fitted"), KEY, "left").withColumn("residuals", gap).drop("fitted")
 
 
-def hybrid_sum(linear: DataFrame, residual: DataFrame) -> DataFrame:
-    """Linear plus residual forecast on the days both cover."""
+def hybrid_sum(linear: DataFrame, residual: DataFrame, only_both: bool = False) -> DataFrame:
+    """Linear plus residual forecast. A day without residual forecast keeps its linear one, or is
+    left out with ``only_both``."""
     both = linear.select(*KEY, F.col("predicted_units").alias("_a")).join(
-        residual.select(*KEY, F.col("predicted_units").alias("_b")), KEY)
-    return both.select(*KEY, (F.col("_a") + F.col("_b")).alias("predicted_units"))
+        residual.select(*KEY, F.col("predicted_units").alias("_b")), KEY, "inner" if only_both else "left")
+    return both.select(*KEY, (F.col("_a") + F.coalesce("_b", F.lit(0.0))).alias("predicted_units"))

@@ -61,14 +61,14 @@ def best_of(metrics: DataFrame, keys: tuple[str, ...] = ("run_id",)) -> DataFram
         F.min("rmse").alias("lowest_rmse"), F.min("mape").alias("lowest_mape"))
 
 
-def compare_runs(metrics: DataFrame, base: str, other: str) -> DataFrame:
-    """Metrics of two runs side by side and their change."""
-    wide = metrics.filter(F.col("run_id").isin(base, other)).groupBy("model").pivot(
-        "run_id", [base, other]).agg(F.first("rmse").alias("rmse"), F.first("mape").alias("mape"))
+def compare_runs(metrics: DataFrame, runs: list[str]) -> DataFrame:
+    """Metrics of several runs side by side, and the change of each against the first."""
+    wide = metrics.filter(F.col("run_id").isin(runs)).groupBy("model").pivot("run_id", runs).agg(
+        F.first("rmse").alias("rmse"), F.first("mape").alias("mape"))
 
     def pick(run: str, c: str) -> Column:
         return F.col(f"`{run}_{c}`")
 
-    return wide.select("model", *[e for c in ("rmse", "mape") for e in (
-        pick(base, c).alias(f"base_{c}"), pick(other, c).alias(f"other_{c}"),
-        (pick(other, c) - pick(base, c)).alias(f"delta_{c}"))])
+    values = [pick(run, c).alias(f"{c}_{run}") for c in ("rmse", "mape") for run in runs]
+    changes = [(pick(run, c) - pick(runs[0], c)).alias(f"delta_{c}_{run}") for c in ("rmse", "mape") for run in runs[1:]]
+    return wide.select("model", *values, *changes)

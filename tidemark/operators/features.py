@@ -38,14 +38,13 @@ def input_windows(daily: DataFrame, columns: list[str], n_in: int = N_IN) -> Dat
 
 
 def validation_split(windows: DataFrame, share: float = 0.1, least: int = 20) -> DataFrame:
-    """Flag the last tenth (at least one) of the windows of each series as ``is_val``; a series
-    with fewer than ``least`` windows is left out."""
+    """Flag the last tenth (at least one) of the windows of each series as ``is_val``. A series with
+    fewer than ``least`` windows has none to spare: all of them train."""
     whole = Window.partitionBy("series_id")
     n = F.count(F.lit(1)).over(whole)
     held = F.greatest(F.lit(1), (F.lit(share) * F.col("_n")).cast("bigint"))
     return (windows.withColumns({"_n": n, "_i": F.row_number().over(by_day())})
-            .filter(F.col("_n") >= least)
-            .withColumn("is_val", F.col("_i") > F.col("_n") - held).drop("_n", "_i"))
+            .withColumn("is_val", (F.col("_n") >= least) & (F.col("_i") > F.col("_n") - held)).drop("_n", "_i"))
 
 
 def last_rows(daily: DataFrame, n: int = N_IN) -> DataFrame:

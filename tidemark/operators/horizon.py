@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.calendar import calendar_features
 from tidemark.schema import DAYS_PER_QUARTER
+from tidemark.session import ensure_checkpoint_dir
 
 
 def plan_horizon(history_end: DataFrame, as_of: str | Column, quarters: int | Column) -> DataFrame:
@@ -50,9 +51,12 @@ def bridge_gap(daily: DataFrame, as_of: str | Column) -> DataFrame:
 
 def sku_shares(rows: DataFrame, recent_days: int = 28) -> DataFrame:
     """Share of each product in the units of the last days; all-time share when those sold
-    nothing, equal shares when nothing was ever sold."""
-    cut = rows.agg(F.date_sub(F.max("date"), recent_days).alias("cut")).scalar()
-    sums = rows.groupBy("sku_id").agg(
+    nothing, equal shares when nothing was ever sold. The rows are read once: their sums per product
+    and day are stored, and the last day and both totals come from those."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    per_day = rows.groupBy("sku_id", "date").agg(F.sum("units_sold").alias("units_sold")).checkpoint()
+    cut = per_day.agg(F.date_sub(F.max("date"), recent_days).alias("cut")).scalar()
+    sums = per_day.groupBy("sku_id").agg(
         F.coalesce(F.sum(F.when(F.col("date") > cut, F.col("units_sold"))), F.lit(0)).alias("recent"),
         F.coalesce(F.sum("units_sold"), F.lit(0)).alias("ever"))
     # Totals as a scalar subquery, not an unpartitioned window: the product list may be long.

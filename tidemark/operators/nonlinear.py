@@ -19,6 +19,7 @@ from pyspark.storagelevel import StorageLevel
 from tidemark.operators.features import (apply_scaler, feature_columns, fit_minmax, future_features, input_windows,
                                          invert_scaler, last_rows, seed_statistics, supervised_windows,
                                          validation_split)
+from tidemark.operators.series import by_day
 from tidemark.schema import N_IN, N_OUT
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.registry import load_models, save_models, save_table
@@ -128,9 +129,21 @@ def roll_forward(model: NonlinearModel, seed: DataFrame, future: DataFrame, days
 
     long = state.select("series_id", F.explode(F.arrays_zip(
         F.slice("days", 1, days).alias("date"), F.col("done").alias("y"))).alias("r"))
-    return long.filter("r.date is not null").join(model.scaler, "series_id").select(
+    followed = long.filter("r.date is not null").join(model.scaler, "series_id").select(
         "series_id", F.col("r.date").alias("date"),
         invert_scaler(F.col("r.y"), model.target).alias("predicted_units"))
+    return followed.unionByName(without_window(model, seed, future, days))
+
+
+def without_window(model: NonlinearModel, seed: DataFrame, future: DataFrame, days: int) -> DataFrame:
+    """Forecast of the series that the trees cannot follow: fewer days than a window, or unknown to
+    the scaler. Their residual is taken to be zero, their units to be the mean of the days they have."""
+    known = seed.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.avg(model.target).alias("mean"))
+    scaled = model.scaler.select("series_id", F.lit(True).alias("scaled"))
+    left = known.join(scaled, "series_id", "left").filter((F.col("n") < model.n_in) | F.col("scaled").isNull())
+    value = F.lit(0.0) if model.target == "residuals" else F.col("mean").cast("double")
+    ahead = future.select("series_id", "date").withColumn("_i", F.row_number().over(by_day())).filter(F.col("_i") <= days)
+    return ahead.join(left, "series_id").select("series_id", "date", value.alias("predicted_units"))
 
 
 def forecast_blocks(model: NonlinearModel, train: DataFrame, test: DataFrame, days: int) -> DataFrame:

@@ -112,7 +112,8 @@ def summary_stats(forecast: DataFrame, quarters: int, days: int) -> DataFrame:
 
 
 def downsample(daily: DataFrame, max_points: int = 500) -> DataFrame:
-    """At most ``max_points`` rows per product, peaks kept.
+    """At most ``max_points`` rows per product, peaks kept. A row that is alone in its bucket (all rows of
+    a product with few enough) comes back unchanged; averages over several are rounded.
 
     Row ``i`` belongs to the bucket whose floating-point edges enclose it, found by looking at
     the three candidates around ``i / step``; a row outside all buckets is dropped, as the
@@ -136,11 +137,12 @@ def downsample(daily: DataFrame, max_points: int = 500) -> DataFrame:
     middle = F.when(few, F.col("i")).otherwise(start + F.floor((end - start) / 2))
     return placed.withColumn("mid", middle).groupBy("sku_id", "b").agg(
         F.max(F.when(F.col("i") == F.col("mid"), F.col("date"))).alias("date"),
-        F.max("predicted_units").alias("predicted_units"),
-        half_even(F.avg("ma7"), 1).alias("ma7"), half_even(F.avg("ma14"), 1).alias("ma14")).drop("b")
+        F.max("predicted_units").alias("predicted_units"), *[
+            F.when(F.count(F.lit(1)) == 1, F.max(c)).otherwise(half_even(F.avg(c), 1)).alias(c)
+            for c in ("ma7", "ma14")]).drop("b")
 
 
-def comparison_matrix(daily: DataFrame, skus: list[str]) -> DataFrame:
-    """Dates by products: the 14-day mean, or the units where it is missing."""
+def comparison_matrix(daily: DataFrame, skus: list[str] | None = None) -> DataFrame:
+    """Dates by products (the given ones, or all): the 14-day mean, or the units where it is missing."""
     return daily.groupBy("date").pivot("sku_id", skus).agg(
         F.first(F.coalesce("ma14", "predicted_units")))

@@ -35,14 +35,16 @@ ADF_SCHEMA = ("series_id string, stat double, pvalue double, used_lag int, n_obs
 def autocorrelations(series: DataFrame, name: str, max_lag: int,
                      keys: tuple[str, ...] = ("series_id",)) -> DataFrame:
     """One row per series: ``n`` and ``acf``, the array r0..r(max_lag). Lags are shifted columns
-    of one ordered pass and the products are summed in one aggregation."""
+    of one ordered pass and the products are summed in one aggregation. A constant series has
+    NULL at every lag but 0, where it has 1."""
     by = ", ".join(keys)
     lags = range(1, max_lag + 1)
     centred = series.selectExpr(*keys, "date", f"{centre(name, by)} as _c")
     shifted = centred.selectExpr(*keys, "_c", *lag_columns("_c", lags, by))
     products = ["sum(_c * _c)"] + [f"coalesce(sum(_c * _c_{k}), 0D)" for k in lags]
     sums = shifted.groupBy(*keys).agg(F.expr("count(1) as n"), F.expr(f"array({', '.join(products)}) as _s"))
-    return sums.filter("_s[0] > 0").selectExpr(*keys, "n", "transform(_s, v -> v / _s[0]) as acf")
+    return sums.selectExpr(
+        *keys, "n", "transform(_s, (v, k) -> case when k = 0 then 1D when _s[0] > 0 then v / _s[0] end) as acf")
 
 
 def centre(name: str, by: str) -> str:
@@ -68,11 +70,13 @@ def acf(series: DataFrame, name: str = "total_units", max_lag: int = 40) -> Data
 
 
 def pacf(series: DataFrame, name: str = "total_units", max_lag: int = 40) -> DataFrame:
-    """Partial autocorrelation per lag from the Yule-Walker equations (biased moments)."""
-    table = autocorrelations(series, name, max_lag).filter(F.col("n") > max_lag)
+    """Partial autocorrelation per lag from the Yule-Walker equations (biased moments), for the lags
+    that a series is long enough for."""
+    table = autocorrelations(series, name, max_lag)
     values = F.concat(F.array(F.lit(1.0)), levinson(F.col("acf"), max_lag)["pacf"])
-    return table.select("series_id", "n", F.posexplode(values).alias("lag", "pacf")).select(
-        "series_id", "lag", "pacf",
+    long = table.select("series_id", "n", F.get("acf", F.lit(1)).isNull().alias("constant"), F.posexplode(values).alias("lag", "pacf"))
+    return long.filter(F.col("lag") < F.col("n")).select(
+        "series_id", "lag", F.when(~F.col("constant") | (F.col("lag") == 0), F.col("pacf")).alias("pacf"),
         F.when(F.col("lag") > 0, Z95 / F.sqrt("n")).otherwise(0.0).alias("band"))
 
 
@@ -141,11 +145,14 @@ def _adf_p(stat: float) -> float:
 
 def differencing_choice(series: DataFrame, name: str = "total_units") -> DataFrame:
     """Level or first difference for further work, with the advised order of differencing."""
-    level = adf_test(series, name).select("series_id", F.col("stationary").alias("level_ok"),
-                                          F.col("stat").alias("level_stat"))
     change = first_difference(series, name).select("series_id", "date", F.col("diff").cast("double"))
-    diff = adf_test(change, "diff").select("series_id", F.col("stationary").alias("diff_ok"),
-                                           F.col("stat").alias("diff_stat"))
+    return choose_differencing(adf_test(series, name), adf_test(change, "diff"))
+
+
+def choose_differencing(of_level: DataFrame, of_change: DataFrame) -> DataFrame:
+    """The choice from the unit-root tests of the level and of its first difference."""
+    level = of_level.select("series_id", F.col("stationary").alias("level_ok"), F.col("stat").alias("level_stat"))
+    diff = of_change.select("series_id", F.col("stationary").alias("diff_ok"), F.col("stat").alias("diff_stat"))
     both = level.join(diff, "series_id", "left")
     return both.select(
         "series_id", "level_stat", "diff_stat",

@@ -7,19 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators import eda, stationarity
 from tidemark.operators.report import trailing_average
 from tidemark.operators.series import daily_total, densify_calendar, daily_aggregate, first_difference, with_series
+from tidemark.session import ensure_checkpoint_dir
 
 
 def explore(rows: DataFrame) -> dict[str, DataFrame]:
-    """Everything the exploratory report shows for canonical sales rows."""
+    """Everything the exploratory report shows for the rows of a file (see ``raw_rows``).
+
+    Profile and sample read the rows; all else comes from one stored table of sums per product,
+    day and promotion flag.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    dated = rows.filter("date is not null")
+    sums = eda.day_partials(dated).checkpoint()
+    lift = eda.promo_lift_of(sums)
     return {
         "profile": eda.profile(rows),
-        "per_sku_summary": eda.per_sku_summary(rows),
-        "promo_summary": eda.promo_summary(rows),
-        "daily_total": daily_total(rows),
-        "trailing_average": trailing_average(rows),
-        "weekday_profile": eda.weekday_profile(rows),
-        "promo_matrix": eda.promo_matrix(rows),
-        "price_sample": eda.sample_per_sku(rows, rows.columns),
+        "per_sku_summary": eda.per_sku_summary_of(sums),
+        "promo_summary": eda.rounded_lift(lift),
+        "daily_total": daily_total(sums),
+        "trailing_average": trailing_average(sums),
+        "weekday_profile": eda.weekday_profile_of(sums),
+        "promo_matrix": lift.select("sku_id", F.col("mean_no_promo").alias("no_promo"), F.col("mean_promo").alias("promo")),
+        "price_sample": eda.sample_per_sku(dated, dated.columns, copy=F.monotonically_increasing_id().cast("string")),
     }
 
 
@@ -32,17 +41,20 @@ def explore_variants(variants: dict[str, DataFrame], split_day: str) -> dict[str
 
 def stationarity_report(rows: DataFrame, by: str | None = None, max_lag: int = 40) -> dict[str, DataFrame]:
     """Unit-root tests of level and difference, and the correlations of the chosen series."""
-    dense = densify_calendar(daily_aggregate(with_series(rows, by))).select("series_id", "date", "total_units")
+    ensure_checkpoint_dir(rows.sparkSession)
+    dated = rows.filter("date is not null")
+    dense = densify_calendar(daily_aggregate(with_series(dated, by))).select("series_id", "date", "total_units").checkpoint()
     change = first_difference(dense).select("series_id", "date", F.col("diff").cast("double").alias("value"))
-    choice = stationarity.differencing_choice(dense)
+    of_level, of_change = stationarity.adf_test(dense).checkpoint(), stationarity.adf_test(change, "value").checkpoint()
+    choice = stationarity.choose_differencing(of_level, of_change)
     level = dense.select("series_id", "date", F.col("total_units").cast("double").alias("value"))
     use = choice.select("series_id", (F.col("use") == "level").alias("as_level"))
     both = level.withColumn("is_level", F.lit(True)).unionByName(change.withColumn("is_level", F.lit(False)))
     chosen = both.join(use, "series_id").filter(F.col("is_level") == F.col("as_level")).select(
         "series_id", "date", "value")
     return {
-        "adf_level": stationarity.adf_test(dense),
-        "adf_difference": stationarity.adf_test(change, "value"),
+        "adf_level": of_level,
+        "adf_difference": of_change,
         "choice": choice,
         "acf": stationarity.acf(chosen, "value", max_lag),
         "pacf": stationarity.pacf(chosen, "value", max_lag),

@@ -9,7 +9,8 @@ from tidemark.functions.coerce import (coerce_price, coerce_promo, coerce_units,
                                        reads_as_flag, reads_as_number)
 from tidemark.operators.clean import cap_at, filter_sku, filter_status, iqr_cap, is_sold, keep_positive
 from tidemark.operators.series import daily_series
-from tidemark.sources.sales import canonical_columns, history_columns, read_sales
+from tidemark.sources.sales import (apply_aliases, canonical_columns, fill_default_columns, history_columns,
+                                    normalize_headers, read_sales, require_columns)
 
 
 def table_facts(named: DataFrame) -> tuple[float | None, bool | None]:
@@ -54,6 +55,16 @@ def ingest(raw: DataFrame, sku: str | None = None, by: str | Column | None = Non
     return daily_series(clean_sales(raw, sku, cap), by)
 
 
+def raw_rows(raw: DataFrame) -> DataFrame:
+    """Typed rows of a file as it is: all its columns, nothing filled in, no row left out. A missing or
+    unreadable date, quantity, price or flag is NULL."""
+    named = fill_default_columns(require_columns(apply_aliases(normalize_headers(raw)), ["date"]))
+    flagged = coerce_promo(named.withColumn("_given", F.col("promotion_flag")))
+    flag = F.when(F.col("_given").isNotNull(), F.col("promotion_flag"))
+    typed = flagged.withColumns({"promotion_flag": flag, "units_sold": number(named, "units_sold"), "price": number(named, "price")})
+    return parse_dates(typed.drop("_given"), keep_unreadable=True).withColumn("sku_id", F.col("sku_id").cast("string"))
+
+
 def load_series(spark: SparkSession, path: str, sku: str | None = None,
                 by: str | Column | None = None) -> DataFrame:
     return ingest(read_sales(spark, path), sku, by)

@@ -10,9 +10,10 @@ from tidemark.functions.rounding import units_from_forecast
 from tidemark.operators.align import KEY, align, hybrid_sum, require_regressors, residuals
 from tidemark.operators.evaluate import long_scores, model_metrics
 from tidemark.operators.features import apply_scaler, fit_standard
-from tidemark.operators.linear import Grid, apply_linear, forecast_linear, run_model, search_orders
+from tidemark.operators.linear import (Grid, apply_linear, coefficient_table, forecast_linear, run_model,
+                                       search_orders)
 from tidemark.operators.nonlinear import NonlinearModel, fit_nonlinear, forecast_blocks, predict_one_step
-from tidemark.operators.series import validate_length
+from tidemark.operators.series import MIN_TRAIN, short_series, validate_length
 from tidemark.plans.ingest import ingest, load_series
 from tidemark.schema import LINEAR_REGRESSORS
 from tidemark.sources.registry import record_run, save_table
@@ -35,15 +36,20 @@ def longest(daily: DataFrame) -> int:
 
 def train_hybrid(train: DataFrame, test: DataFrame, folder: str, settings: Settings = Settings()) -> DataFrame:
     """Fit all models on daily series, store them under ``folder`` and return the test forecasts,
-    one column per model next to the actual units."""
+    one column per model next to the actual units.
+
+    Series that are too short for a good model are kept and listed in the table ``short_series``; a single
+    series, or a catalog without any series that is long enough, is refused.
+    """
     train = save_table(train, f"{folder}/series/train")
     test = save_table(test, f"{folder}/series/test")
     validate_length(train, test)
+    save_table(short_series(train, MIN_TRAIN), f"{folder}/short_series")
     days = longest(test)
 
     coefficients = save_table(search_orders(train, grid=settings.grid), f"{folder}/linear")
     run = save_table(run_model(train, coefficients, test.select(*KEY)), f"{folder}/series/linear_run")
-    fitted = run.filter("not is_future").select(*KEY, F.nanvl("fitted", F.lit(None).cast("double")).alias("fitted"))
+    fitted = run.filter("not is_future").select(*KEY, "fitted")
     linear = run.filter("is_future").select(*KEY, F.col("fitted").alias("predicted_units"))
 
     known = residuals(train, fitted)
@@ -64,24 +70,64 @@ def train_hybrid(train: DataFrame, test: DataFrame, folder: str, settings: Setti
 
 def train(spark: SparkSession, train_path: str, test_path: str, folder: str, run_id: str, ts: str,
           settings: Settings = Settings(), by: str | None = None) -> DataFrame:
-    """Train on two sales files, record the run and return its metrics per model."""
+    """Train on two sales files, record the run and return its metrics per model. The metrics of
+    each series are stored as the table ``series/metrics``."""
     train_rows, test_rows = load_series(spark, train_path, by=by), load_series(spark, test_path, by=by)
     forecasts = train_hybrid(train_rows, test_rows, folder, settings)
-    metrics = model_metrics(long_scores(forecasts, MODELS))
+    scored = long_scores(forecasts, MODELS)
+    metrics = model_metrics(scored)
+    save_table(model_metrics(scored, ("series_id", "model")), f"{folder}/series/metrics")
     sizes = [longest(spark.read.parquet(f"{folder}/series/{part}")) for part in ("train", "test")]
     record_run(metrics, run_id, ts, settings.seed, *sizes, f"{folder}/runs")
     return metrics.withColumn("run_id", F.lit(run_id)).select("run_id", "model", "rmse", "mape")
 
 
 def train_with_regressors(train: DataFrame, test: DataFrame, regressors: list[str] = LINEAR_REGRESSORS,
-                          grid: Grid = Grid()) -> tuple[DataFrame, DataFrame]:
-    """Linear model with scaled regressors: coefficients and the forecast of the test days."""
+                          grid: Grid = Grid(), folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Linear model with scaled regressors: coefficients and the forecast of the test days. With a
+    ``folder`` coefficients and scaler are stored there, for :func:`forecast_with_regressors`."""
     require_regressors(test.select(*KEY), test.dropna(subset=regressors).select(*KEY))
     scaler = fit_standard(train, regressors)
-    scaled_train = apply_scaler(train, scaler, regressors)
-    scaled_test = apply_scaler(test, scaler, regressors)
-    coefficients = search_orders(scaled_train, exog=tuple(regressors), grid=grid)
-    return coefficients, forecast_linear(scaled_train, coefficients, scaled_test, exog=tuple(regressors))
+    coefficients = search_orders(apply_scaler(train, scaler, regressors), exog=tuple(regressors), grid=grid)
+    if folder is not None:
+        scaler = save_table(scaler, f"{folder}/scaler")
+        coefficients = save_table(coefficients, f"{folder}/linear")
+    return coefficients, _with_regressors(train, test, coefficients, scaler, regressors)
+
+
+def forecast_with_regressors(history: DataFrame, future: DataFrame, folder: str,
+                             regressors: list[str] = LINEAR_REGRESSORS) -> DataFrame:
+    """Forecast the days of ``future`` with stored coefficients and their stored scaler."""
+    spark = history.sparkSession
+    return _with_regressors(history, future, spark.read.parquet(f"{folder}/linear"),
+                            spark.read.parquet(f"{folder}/scaler"), regressors)
+
+
+def _with_regressors(history: DataFrame, future: DataFrame, coefficients: DataFrame, scaler: DataFrame,
+                     regressors: list[str]) -> DataFrame:
+    scaled = [apply_scaler(days, scaler, regressors) for days in (history, future)]
+    return forecast_linear(scaled[0], coefficients, scaled[1], exog=tuple(regressors))
+
+
+def compare_models(train: DataFrame, test: DataFrame, folder: str, settings: Settings = Settings(),
+                   store_models: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The linear model with regressors against the nonlinear model alone on the test days: metrics
+    per model, and the summary table of the linear coefficients."""
+    train = save_table(train, f"{folder}/series/train")
+    test = save_table(test, f"{folder}/series/test")
+    validate_length(train, test)
+    coefficients, linear = train_with_regressors(train, test, grid=settings.grid, folder=folder)
+    linear = save_table(linear, f"{folder}/series/linear_forecast")
+    alone = fit_nonlinear(train, "total_units", rounds=settings.rounds, depth=settings.depth, seed=settings.seed)
+    if store_models:
+        alone.save(f"{folder}/nonlinear")
+    units = forecast_blocks(alone, train, test, longest(test))
+    forecasts = linear.select(*KEY, F.col("predicted_units").alias("linear_regressors")).join(
+        units.select(*KEY, F.col("predicted_units").alias("nonlinear_only")), KEY)
+    forecasts = save_table(align(test.select(*KEY, "total_units"), forecasts), f"{folder}/series/forecasts")
+    metrics = model_metrics(long_scores(forecasts, ["linear_regressors", "nonlinear_only"]))
+    scaled = apply_scaler(train, train.sparkSession.read.parquet(f"{folder}/scaler"), LINEAR_REGRESSORS)
+    return metrics, coefficient_table(scaled, coefficients, exog=tuple(LINEAR_REGRESSORS), grid=settings.grid)
 
 
 def backtest_one_step(raw: DataFrame, folder: str, by: str | None = None) -> DataFrame:
@@ -91,5 +137,6 @@ def backtest_one_step(raw: DataFrame, folder: str, by: str | None = None) -> Dat
     fitted = apply_linear(daily, spark.read.parquet(f"{folder}/linear"))
     known = residuals(daily, fitted)
     model = NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals")
-    parts = hybrid_sum(fitted.withColumnRenamed("fitted", "predicted_units"), predict_one_step(model, known))
+    parts = hybrid_sum(fitted.withColumnRenamed("fitted", "predicted_units"), predict_one_step(model, known),
+                       only_both=True)
     return parts.withColumn("predicted_units", units_from_forecast("predicted_units"))

@@ -55,11 +55,16 @@ BOOL_TOKENS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 # A time of day behind a date; only the day is kept.
-TIME_SUFFIX = r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?$"
+TIME_SUFFIX = r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AaPp][Mm])?\s*(Z|[+-]\d{2}:?\d{2})?$"
 
-# Accepted notations of a day: numeric with the year first or last, eight digits, named month.
-NUMERIC_DAY = r"^(\d{4}([-/])\d{1,2}\2\d{1,2}|\d{1,2}([-/])\d{1,2}\3(\d{4}|\d{2})|\d{8})$"
-NAMED_DAY = r"^([A-Za-z]{3,9} \d{1,2},? \d{4}|\d{1,2} [A-Za-z]{3,9} \d{4})$"
+# Accepted notations of a day: numeric with the year first or last, year and month, eight digits, named
+# month with or without a weekday before it.
+NUMERIC_DAY = r"^(\d{4}([-/.])\d{1,2}\2\d{1,2}|\d{1,2}([-/.])\d{1,2}\3(\d{4}|\d{2})|\d{4}-\d{2}|\d{8})$"
+WEEKDAY_PREFIX = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? +"
+NAMED_DAY = r"^([A-Za-z]{3,9}[- ]\d{1,2},?[- ](\d{4}|\d{2})|\d{1,2}[- ][A-Za-z]{3,9},?[- ](\d{4}|\d{2}))$"
+
+# Days outside the range of 64-bit nanoseconds count as missing.
+FIRST_DAY, LAST_DAY = "1677-09-22", "2262-04-11"
 
 LINEAR_REGRESSORS = ["avg_price", "promo_any", "dow_sin", "doy_sin"]
 CALENDAR_FEATURES = ["dow_sin", "dow_cos", "doy_sin", "doy_cos"]
