@@ -15,7 +15,10 @@ VERSION = "WARC/1.1"
 HIDDEN = ("script", "style", "noscript", "template", "head")
 BREAKS = ("p", "br", "div", "li", "ul", "ol", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section",
           "nav", "header", "footer", "blockquote", "pre", "title", "hr", "dd", "dt", "figure", "main", "aside")
-NAMED = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+NAMED = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"),
+         ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"),
+         ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"),
+         ("&raquo;", "»"), ("&euro;", "€"), ("&deg;", "°"), ("&times;", "×"), ("&amp;", "&"))
 
 
 def record_id(*parts: Column) -> Column:
