@@ -11,14 +11,18 @@ compared and linked; documents get their class's component at the end, whatever
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.shipping import ship_with_tasks
-from tidemark.llm.common import SPACED, constants, mixed, stage, text_blocks, word_hashes, word_spans
+from tidemark.llm.common import (SPACED, constants, document_key, mixed, stage, text_blocks, word_hashes, word_spans,
+                                 wrapped)
 from tidemark.llm.components import components
 
 ship_with_tasks(__name__)
@@ -26,7 +30,11 @@ ship_with_tasks(__name__)
 SHINGLE = 5
 PERMUTATIONS = 48
 ROWS = 4
+# A document among documents: its id and its text.
+DOCUMENT = ["known_id", "no_id", "text_hash"]
 SMALL_BUCKET = 6
+# Values of the longer signature, for classes of large buckets.
+SKETCH_VALUES = 1_024
 # Of 192 signature bits a pair of similarity 0.8 or more shares 148 on average or more, with a deviation of
 # about 4.7. A pair with more different bits than this lies over six deviations below the threshold.
 MOST_DIFFERENT_BITS = 50
@@ -130,6 +138,19 @@ def _sets(batches):
             yield out.filter(out.column(1).is_valid())
 
 
+def _sketch(batches):
+    """Long signatures of whole sets, two bits a value."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            part = batch.slice(first, 500)
+            members = [np.frombuffer(packed.as_buffer(), np.uint64) for packed in part.column("shingles")]
+            bounds = np.concatenate(([0], np.cumsum([len(m) for m in members])))
+            bits = signature_bits(min_max(np.concatenate(members), bounds, SKETCH_VALUES // 2)).T.astype(np.int64, order="C")
+            at = pa.array(np.arange(len(members) + 1, dtype=np.int32) * bits.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), pa.ListArray.from_arrays(at, pa.array(bits.reshape(-1)))], names=["key", "sketch"])
+
+
 def _linked(percent: int):
     def run(batches):
         for batch in batches:
@@ -156,12 +177,22 @@ def _plausible(n_a: Column, n_b: Column, bits_a: Column, bits_b: Column, percent
     return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (different <= MOST_DIFFERENT_BITS)
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, which: str) -> DataFrame:
-    """Distinct plausible pairs (a < b) of classes that share a bucket and fulfil ``which``."""
-    x, y = left.alias("x"), right.alias("y")
+def _pairs(small: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs (a < b) of classes that share a bucket."""
+    x, y = small.alias("x"), small.alias("y")
     wanted = _plausible(F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"), percent)
-    return x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & F.expr(which) & wanted).select(
-        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    return x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & F.expr("x.key < y.key") & wanted).select(
+        F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+
+
+def _star_pairs(large: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of each member of a large bucket with the bucket's most central class."""
+    weights = members.groupBy("key").agg(F.sum("held").alias("weight"))
+    pivots = stage(large.join(weights, "key").groupBy("bucket").agg(
+        F.max(F.struct("weight", "key", "n", "bits")).alias("pivot")).select("bucket", "pivot"), "pivots")
+    wanted = _plausible(F.col("n"), F.col("pivot.n"), F.col("bits"), F.col("pivot.bits"), percent)
+    return large.join(pivots, "bucket").where(F.expr("key <> pivot.key") & wanted).select(
+        F.least("key", "pivot.key").alias("a"), F.greatest("key", "pivot.key").alias("b"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,29 +213,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     are kept. Other columns are ignored. An empty table gives an empty result.
 
     Buckets of up to ``SMALL_BUCKET`` classes are compared within; in a larger one each class is compared
-    with the bucket's smallest. What is then still in different components of a bucket is compared too,
-    the members outside the bucket's largest component with all others, so no link is lost to the bucket's
-    size and large groups of copies cost a comparison a member.
+    with the one that stands in the most and largest buckets, the likely origin of its copies. What is then
+    still in different components of a bucket is compared too, where a longer signature allows it (see
+    :func:`_straggler_pairs`), so no link is lost to the bucket's size, and large groups of copies cost a
+    comparison a member.
     """
     rows = stage(signed(docs), "signed")
     classes = stage(rows.where("key is not null").groupBy("key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash",
                        F.col("n_shingles").alias("n"), "bands", "bits")).alias("one")).select("key", "one.*"), "classes")
     spread = classes.select("key", F.explode("bands").alias("bucket"))
-    buckets = stage(spread.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("held"), F.min("key").alias("pivot")).where("held > 1"), "buckets")
+    buckets = stage(spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "buckets")
     members = stage(
         spread.join(buckets, "bucket").join(classes.select("key", "n", "bits"), "key"), "members")
 
     small = members.where(F.col("held") <= SMALL_BUCKET)
     large = members.where(F.col("held") > SMALL_BUCKET)
-    pairs = stage(_pairs(small, small, percent, "x.key < y.key").unionByName(
-        _pairs(large.where("key = pivot"), large, percent, "x.key <> y.key")).distinct(), "pairs")
+    pairs = stage(_pairs(small, percent).unionByName(_star_pairs(large, members, percent)).distinct(), "pairs")
     sets = stage(_needed_sets(docs, classes, members.select("key").distinct()), "sets")
     links = stage(_verified(pairs, sets, percent), "links")
     roots = components(links, "a", "b")
 
-    more = _stragglers(large, roots, percent)
+    more = _straggler_pairs(large, classes, sets, roots, percent)
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         links = stage(links.unionByName(_verified(more, sets, percent)), "all-links")
@@ -224,22 +254,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def _needed_sets(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     """Whole shingle sets of one document of each class that shares a bucket."""
     chosen = classes.join(keys, "key", "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "key")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    return texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select(
-        "text", "key").mapInArrow(_sets, "key binary, shingles binary")
+        *document_key(), "text_hash", "key")
+    texts = docs.select(*document_key(), "text", F.xxhash64("text").alias("text_hash"))
+    return texts.join(chosen, DOCUMENT).dropDuplicates(DOCUMENT).select("text", "key").mapInArrow(_sets, "key binary, shingles binary")
+
 
+def _straggler_pairs(large: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs across the components of a large bucket, once each, in the first bucket that both are in.
 
-def _stragglers(large: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs across the components of a large bucket that its smallest class did not settle."""
-    labelled = large.select("bucket", "key", "n", "bits").join(
-        roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    Classes outside a bucket's largest component are paired with all its members, as far as set sizes and signatures of
+    1,024 values (two bits each, made for these classes only) allow the similarity. A pair whose first common bucket
+    is a small one was compared there.
+    """
+    keys = large.select("key").distinct()
+    sketches = sets.join(keys, "key", "left_semi").mapInArrow(_sketch, "key binary, sketch array<long>")
+    known = stage(sketches.join(classes.select("key", "n", "bands"), "key").join(
+        roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "crowded")
+    labelled = stage(large.select("bucket", "key").join(known.select("key", "root"), "key"), "labelled")
     counts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("held"))
-    main = counts.groupBy("bucket").agg(
+    main = stage(counts.groupBy("bucket").agg(
         F.max(F.struct("held", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(
-        "bucket", F.col("top.root").alias("main"))
-    open_buckets = stage(labelled.join(main, "bucket"), "open")
-    return _pairs(open_buckets.where("root <> main"), open_buckets, percent, "x.root <> y.root")
+        "bucket", F.col("top.root").alias("main")), "main")
+    open_ = stage(labelled.select("bucket", "key").join(main, "bucket").join(known, "key"), "open")
+    x, y = open_.where("root <> main").alias("x"), open_.alias("y")
+    different = reduce(add, [F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_VALUES // 32)])
+    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    first = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.bucket")
+    once = F.expr("x.root <> y.root and (y.root = y.main or x.key < y.key)")
+    return x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & once & sizes & (different <= most_different(percent)) & first).select(
+        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+
+
+def most_different(percent: int) -> int:
+    """Different bits of two long signatures at the threshold, and six deviations more."""
+    miss = 1 - percent / 100
+    return int(SKETCH_VALUES * miss + 6 * math.sqrt(SKETCH_VALUES * (1.5 * miss - miss * miss))) + 1
 
 
 def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -247,12 +296,8 @@ def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     Of rows that repeat doc_id and text one stays. A component without any doc_id keeps one row.
     """
-    found = near_duplicates(docs, percent).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("root").alias("_root"), "n_shingles")
-    texts = found.where("n_shingles > 0").groupBy("_root").agg(F.min(F.struct("_id", "_hash")).alias("one")).select(
-        "one.*", "_root")
-    wordless = found.where("n_shingles = 0").select("_id", "_hash", "_root").distinct()
-    chosen = texts.unionByName(wordless)
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    return hashed.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")),
-                       "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    found = near_duplicates(docs, percent).where("kept").select(*document_key(), "text_hash", "root", "n_shingles")
+    texts = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(*DOCUMENT)).alias("one")).select("one.*")
+    chosen = stage(texts.unionByName(found.where("n_shingles = 0").select(*DOCUMENT).distinct()), "chosen")
+    rows = docs.select(wrapped(docs), *document_key(), F.xxhash64("text").alias("text_hash"))
+    return rows.join(chosen, DOCUMENT, "left_semi").dropDuplicates(DOCUMENT).select("row.*")
