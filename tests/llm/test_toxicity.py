@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm.toxicity import KINDS, PRIOR, Scanner, grammar, logistic, reject_toxic, toxicity
+from tidemark.llm.toxicity import KINDS, PRIOR, Scanner, cores_only, grammar, kind_prior, logistic, reject_toxic, toxicity
 
 
 def label(text, insults=("idiot",)):
@@ -38,10 +38,12 @@ def test_logistic_regression_finds_the_optimum():
     rng = np.random.default_rng(1)
     x = rng.random((400, len(KINDS)))
     y = (rng.random(400) < 1 / (1 + np.exp(-(3 * x[:, 0] - 2 * x[:, 1])))).astype(float)
-    w = logistic(x, y, np.ones(400), PRIOR)
+    prior = kind_prior(*PRIOR)
+    w = logistic(x, y, np.ones(400), prior)
     z = np.column_stack((np.ones(400), x))
-    gradient = z.T @ (1 / (1 + np.exp(-z @ w)) - y) + 0.1 * (w - PRIOR)
+    gradient = z.T @ (1 / (1 + np.exp(-z @ w)) - y) + 0.1 * (w - prior)
     assert np.abs(gradient).max() < 1e-6
+    assert cores_only(np.eye(len(KINDS))).sum(axis=1).tolist() == [1.0] * len(KINDS)
 
 
 @pytest.fixture(scope="module")

@@ -23,7 +23,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
-    """``node, root`` for every node of the links; ``root`` is the smallest node of its component.
+    """``node, root`` for every node of the links but the roots; a root is the smallest node of its component.
 
     Links are rows (a, b) in any order and number. Each step is a fixed number of shuffles of rows
     (node, node), and each pair of steps is written, so that lineage stays short. Stars shrink, so the

@@ -108,10 +108,21 @@ def grammar() -> Transducer:
 
 
 KINDS = [k for k in product(("insult", "threat"), ("", "target"), ("", "negated"), ("", "reported"))]
-# What each kind of clause is taken to weigh before any label is seen.
-PRIOR = np.array([-3.0] + [(4.0 if core == "insult" else 0.5) + (2.0 if target else 0.0)
-                           - (2.0 if negated else 0.0) - (2.0 if reported else 0.0)
-                           for core, target, negated, reported in KINDS])
+# What no clause, an insult and a threat are taken to weigh before any label is seen.
+PRIOR = np.array([-3.0, 5.0, 2.0])
+
+
+def kind_prior(bias: float, insult: float, threat: float) -> np.ndarray:
+    """Weights of all kinds of clauses from those of their cores: a target adds, negation and reported speech take off a third."""
+    return np.array([bias] + [
+        (insult if core == "insult" else threat if target else threat / 4) * (1.0 - 0.35 * bool(negated) - 0.35 * bool(reported))
+        + (1.0 if target else 0.0) for core, target, negated, reported in KINDS])
+
+
+def cores_only(features: np.ndarray) -> np.ndarray:
+    """Strength of all insults and of all threats of each row, whatever stands around them."""
+    of = np.array([core for core, *_ in KINDS])
+    return np.column_stack([1.0 - np.prod(1.0 - features[:, of == c], axis=1) for c in ("insult", "threat")])
 
 
 class Scanner:
@@ -299,10 +310,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[
         _featured(sc.broadcast(insults)), "toxic int, features array<double>").groupBy("toxic", "features").agg(
         F.count(F.lit(1)).alias("n")).collect()
     if not found:
-        return insults, PRIOR
+        return insults, kind_prior(*PRIOR)
     features = np.array([r.features for r in found])
     labels_, counts = np.array([float(r.toxic) for r in found]), np.array([float(r.n) for r in found])
-    return insults, logistic(features, labels_, counts, PRIOR)
+    # First what the cores weigh, then each kind near its core's weight: a kind that the sample lacks keeps it.
+    cores = logistic(cores_only(features), labels_, counts, PRIOR)
+    return insults, logistic(features, labels_, counts, kind_prior(*cores))
 
 
 # ------------------------------------------------------------------ scoring
