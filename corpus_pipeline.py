@@ -16,8 +16,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id."""
-    return minhash.keep_first(docs)
+    """One document of each group of near-duplicates: the one with the smallest doc_id. Near means a similarity of 0.8."""
+    return minhash.keep_first(docs, percent=80)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
