@@ -89,3 +89,18 @@ def test_a_given_layout_and_its_rewritten_files(spark, make_docs, tmp_path):
     assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
     assert Counter((r.shard, r.slot) for r in back.collect()) == Counter((r.shard, r.slot) for r in plan.collect())
     assert set(docs.columns) <= set(back.columns)
+
+
+def test_shrinking_layout_leaves_no_old_rows(spark, make_docs, tmp_path):
+    rows = [(i, "text %d " % i * (1 + i % 7)) for i in range(120)]
+    docs, folder = make_docs(rows), str(tmp_path / "shards")
+    first = reshard(docs, shards=5, old_shards=1, old=F.lit(0)).persist()
+    rewrite(docs, first, folder)
+    places = {r.doc_id: r.shard for r in first.collect()}
+    assert set(places.values()) == set(range(5))
+    old = F.element_at(F.create_map(*[F.lit(x) for p in places.items() for x in p]), F.col("doc_id"))
+    plan = reshard(docs, shards=3, old_shards=5, old=old).persist()
+    rewrite(docs, plan, folder)
+    back = spark.read.parquet(folder).collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(rows)
+    assert Counter((r.doc_id, r.shard, r.slot) for r in back) == Counter((r.doc_id, r.shard, r.slot) for r in plan.collect())

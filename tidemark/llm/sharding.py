@@ -162,7 +162,7 @@ def rewrite(docs: DataFrame, plan: DataFrame, folder: str) -> None:
     """Write the shards that gain or lose rows, each as a folder ``shard=N`` of ``folder`` ordered by slot.
 
     ``plan`` is the result of :func:`reshard` over the same rows (doc_id, text_crc32, shard, slot are used). Shards whose
-    rows all stay, and which get none, keep their files.
+    rows all stay, and which get none, keep their files. Folders of shards that lose all their rows are removed in the end.
     """
     moved = plan.where("shard <> old_shard")
     touched = moved.select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
@@ -175,3 +175,10 @@ def rewrite(docs: DataFrame, plan: DataFrame, folder: str) -> None:
     own.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("crc") == F.col("text_crc32"))
              & (F.col("copy") == F.col("_copy"))).select("row.*", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions(
         "shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
+    # The overwrite replaces only the folders that get rows.
+    left = {r.shard for r in plan.select("shard").distinct().collect()}
+    gone = [r.shard for r in touched.collect() if r.shard not in left]
+    path = docs.sparkSession._jvm.org.apache.hadoop.fs.Path
+    for shard in gone:
+        at = path(folder, f"shard={shard}")
+        at.getFileSystem(docs.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
