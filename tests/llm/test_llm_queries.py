@@ -11,7 +11,10 @@ COLUMNS = {
     3: ["doc_id", "n_shingles", "component_id", "kept"], 4: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     5: ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], 6: ["doc_id", "size", "source_size", "target", "taken"],
     7: ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
-    8: ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], 9: ["doc_id", "held_out", "score", "predicted"]}
+    8: ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], 9: ["doc_id", "held_out", "score", "predicted"],
+    11: ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    12: ["page_id", "host", "path", "rule", "verdict"],
+    13: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]}
 
 
 def number(name):
@@ -19,7 +22,7 @@ def number(name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(map(number, QUERIES)) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(map(number, QUERIES)) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES, key=number))
