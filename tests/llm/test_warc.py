@@ -1,9 +1,11 @@
 import hashlib
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm.warc import BREAKS, derivatives, plain_text, responses, title_of, write_warc
+from tidemark.llm.warc import BREAKS, characters, derivatives, plain_text, responses, title_of, write_warc
 
 
 class Reader(HTMLParser):
@@ -43,7 +45,8 @@ def read(html):
 PAGES = [(1, "http://a.example/", "<html><head><title> A  title </title></head><body><p>One<br>two &amp; three</p><!-- no --><div>4 &lt; 5</div></body>"),
          (2, None, "<p>no url</p><a href='/x'>x</a> <a class=c href=\"/y\">y</a><a href='/x'>again</a>"), (3, "u", None), (4, "u", ""),
          (5, "u", "<script>var t='<p>';</script>plain\n\ntext &nbsp; end<STYLE >p{}</STYLE>"), (None, "u", "<ul><li>a<li>b</ul>"),
-         (6, "u", "a < b and c > d"), (7, "é", "<p title='x'>é</p>"), (7, "é", "<p title='x'>é</p>")]
+         (6, "u", "a < b and c > d"), (8, "u", "caf&eacute; &#8217; &#x2014; &#X1F600; &#128; &ngE; &#0; &unknown; &amp;lt; &; & &#xZ; R&D; x&nbsp;y &NewLine; z&#65279;"),
+         (9, "u", "<script>a<!-- </script>kept<!-- <script> -->this<a href=/p/1?a=1&amp;b=2>1</a><a\nclass=x href = 'q r'>2</a><a data-href=no>3</a>"), (7, "é", "<p title='x'>é</p>"), (7, "é", "<p title='x'>é</p>")]
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +79,25 @@ def test_records_are_linked_and_whole(pages):
     assert [x for x in links.split("\r\n") if x.startswith("outlink")] == ["outlink: /x", "outlink: /y"]
 
 
+def test_a_very_long_page(spark):
+    html = "<p>" + "caf&eacute; <b>x</b>\n<br>" * 200_000 + "</p>"
+    got = derivatives(responses(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")))
+    assert got.where("warc_type = 'conversion'").first().block == "\n".join(["caf\u00e9 x"] * 200_000)
+
+
+def test_every_named_reference(spark):
+    """All names of the standard library's table, in one page."""
+    names = [n for n, c in html5.items() if n.endswith(";") and c not in ("\xa0", "\n")]
+    page = "|".join(f"&{n}" for n in names)
+    got = spark.createDataFrame([(page,)], "html string").select(characters(F.col("html")).alias("t")).first().t
+    assert got == "|".join(html5[n] for n in names)
+
+
+def test_links(pages):
+    links = next(r.block for r in derivatives(responses(pages)).collect() if r.page_id == 9 and r.warc_type == "metadata")
+    assert [x for x in links.split("\r\n") if x.startswith("outlink")] == ["outlink: /p/1?a=1&b=2", "outlink: q r"]
+
+
 def test_empty_table(spark, pages):
     assert derivatives(responses(pages.where("false"))).collect() == []
 

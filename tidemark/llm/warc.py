@@ -7,18 +7,28 @@ payload digest. DataFrame functions only; records can be written as WARC text fi
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.let import let
+
 CRLF = "\r\n"
 VERSION = "WARC/1.1"
-# Elements without running text, elements that end a line, and named characters.
+# Elements without running text, and elements that end a line.
 HIDDEN = ("script", "style", "noscript", "template", "head")
 BREAKS = ("p", "br", "div", "li", "ul", "ol", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section",
           "nav", "header", "footer", "blockquote", "pre", "title", "hr", "dd", "dt", "figure", "main", "aside")
-NAMED = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"),
-         ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"),
-         ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"),
-         ("&raquo;", "»"), ("&euro;", "€"), ("&deg;", "°"), ("&times;", "×"), ("&amp;", "&"))
+# Named characters in daily use, looked up first; a no-break space and a line end are read as a space.
+FREQUENT = ("amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "trade", "middot", "bull", "hellip", "ndash", "mdash", "lsquo",
+            "rsquo", "ldquo", "rdquo", "laquo", "raquo", "euro", "deg", "times")
+NAMES = {name[:-1]: char.replace("\xa0", " ").replace("\n", " ") for name, char in html5.items() if name.endswith(";")}
+# Numbers 128 to 159 mean the characters of windows-1252, where it has one.
+WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+SPACES = (10, 13, 160)
+UNKNOWN = "\ufffd"
+REFERENCE = r"^(#0*[0-9]{1,7}|#[xX]0*[0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def record_id(*parts: Column) -> Column:
@@ -33,34 +43,69 @@ def digest(text: Column) -> Column:
 
 
 def title_of(html: Column) -> Column:
-    return F.trim(_named(_spaces(F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)</title", 1))))
+    return F.trim(characters(_spaces(F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)</title", 1))))
 
 
 def links_of(html: Column) -> Column:
-    """Targets of the links in their order, each once."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit(r"(?i)<a [^>]*href=[\"']([^\"'<>]+)[\"']"), F.lit(1)))
+    """Targets of the links in their order, each once: quoted or not, character references read."""
+    found = F.regexp_extract_all(html, F.lit(LINK), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: characters(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
+
+
+LINK = r"""(?i)<a[ \t\r\n\f](?:[^>]*?[ \t\r\n\f])?href[ \t\r\n\f]*=[ \t\r\n\f]*("[^"]*"|'[^']*'|[^ \t\r\n\f"'>]+)"""
+
+
+def _lookup(names: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
+
+def _named(name: Column) -> Column:
+    frequent = {n: NAMES[n] for n in FREQUENT}
+    every = F.from_json(F.lit(json.dumps(NAMES)), "map<string,string>")  # folded to one constant
+    return F.coalesce(F.try_element_at(_lookup(frequent), name), F.try_element_at(every, name))
+
+
+def _numbered(name: Column) -> Column:
+    digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
+
+    def char(n: Column) -> Column:
+        # The byte order mark in front keeps the decoder from reading a character as one.
+        plain = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(n), 8, "0"))), "UTF-32")
+        return F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit(UNKNOWN)).when(
+            n.between(128, 159), F.try_element_at(_lookup(WINDOWS), n)).when(n.isin(*SPACES), F.lit(" ")).otherwise(plain)
+
+    return let(digits.cast("int"), char)
+
+
+def characters(text: Column) -> Column:
+    """Character references read once: decimal, hexadecimal and all named ones, each with its semicolon. Unknown ones stay."""
+    def meant(piece: Column) -> Column:
+        def read(name: Column) -> Column:
+            char = F.when(name.startswith("#"), _numbered(name)).when(name != "", _named(name))
+            return let(char, lambda c: F.when(c.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+                F.concat(c, F.substr(piece, F.length(name) + 2))))
+        return let(F.regexp_extract(piece, REFERENCE, 1), read)
 
+    def joined(pieces: Column) -> Column:
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), meant), ""))
 
-def _named(text: Column) -> Column:
-    for name, char in NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), let(F.split(t, "&"), joined)).otherwise(t))
 
 
 def _spaces(text: Column) -> Column:
-    return F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
+    # A single space is left alone.
+    return F.regexp_replace(text, r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]", " ")
 
 
 def plain_text(html: Column) -> Column:
-    """Running text: hidden elements and comments go, block elements end lines, other tags go, named characters are
-    read, white space is folded, empty lines go."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for name in HIDDEN:
-        text = F.regexp_replace(text, rf"(?is)<{name}(?:\s[^>]*)?>.*?</{name}\s*>", "")
+    """Running text: hidden elements and comments go, block elements end lines, other tags go, character references are
+    read, white space is folded, empty lines go. Comments and hidden elements are told apart where they begin: a comment
+    that begins inside a script belongs to the script."""
+    text = F.regexp_replace(html, rf"(?is)<!--.*?-->|<({'|'.join(HIDDEN)})(?:\s[^>]*)?>.*?</\1\s*>", "")
     text = F.regexp_replace(text, r"[\r\n]+", " ")
     text = F.regexp_replace(text, rf"(?i)</?(?:{'|'.join(BREAKS)})(?:\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"<[A-Za-z/!?][^>]*>", "")
-    text = F.regexp_replace(_spaces(_named(text)), r" ?\n[ \n]*", "\n")
+    text = F.regexp_replace(_spaces(characters(text)), r" ?\n[ \n]*", "\n")
     return F.trim(F.trim(text, F.lit("\n")))
 
 
@@ -82,7 +127,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     block_digest, content_length, block. The metadata block names the source's identifier, its HTTP headers, title,
     distinct links and sizes as header lines; the conversion block is the plain text. Empty or null payloads give
     an empty conversion; a null target or date stays null. Responses that repeat have equal derivatives; other columns
-    are ignored. An empty table gives an empty result. No shuffle.
+    are ignored. Very long payloads are read whole. An empty table gives an empty result. No shuffle.
     """
     source = records.select(
         "page_id", "record_id", "target_uri", "date", F.coalesce("http_headers", F.lit("")).alias("http_headers"),
