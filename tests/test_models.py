@@ -262,3 +262,76 @@ def test_stored_regressor_model_is_applied(spark, odd_catalog, tmp_path):
     _, forecast = train_with_regressors(past, test, folder=str(tmp_path))
     again = forecast_with_regressors(past, test, str(tmp_path))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, forecast.collect()))
+
+
+def lag_by_lag(x, grid, d, sd):
+    """Cross products of one order of differencing by plain loops."""
+    w = {t: x[t] - (x[t - 1] if d else 0) - (x[t - 7] if sd else 0) + (x[t - 8] if d and sd else 0)
+         for t in range(d + 7 * sd, len(x))}
+    mean = sum(w.values()) / len(w)
+    c = [v - mean for v in w.values()]
+    r = [sum(a * b for a, b in zip(c[k:], c)) for k in range(grid.long_order + 1)]
+    toeplitz = np.array([[r[abs(i - j)] for j in range(grid.long_order)] for i in range(grid.long_order)])
+    phi = np.linalg.solve(toeplitz, r[1:])
+    first = min(w)
+    e = {t: c[t - first] - sum(phi[k - 1] * c[t - first - k] for k in range(1, grid.long_order + 1))
+         for t in list(w)[grid.long_order:]}
+    rows = [[w[t], 1, *[w[t - k] for k in grid.all_lags], *[e[t - k] for k in grid.all_lags]]
+            for t in w if t >= grid.start_up]
+    return np.array(rows).T @ np.array(rows)
+
+
+@pytest.mark.parametrize("d, sd", [(0, 0), (0, 1), (1, 0), (1, 1)])
+def test_cross_products_are_those_of_plain_loops(d, sd):
+    rng = np.random.default_rng(d + 2 * sd)
+    x = 20 + 5 * np.sin(np.arange(200) * 2 * np.pi / 7) + rng.normal(size=200)
+    grid = ln.Grid()
+    got = {(a, b): full for a, b, _, full in ln.series_products(x, np.zeros((200, 0)), grid)}
+    assert got[d, sd] == pytest.approx(lag_by_lag(list(x), grid, d, sd), rel=1e-8, abs=1e-6)
+
+
+def test_short_and_constant_series_have_no_products():
+    assert list(ln.series_products(np.full(200, 3.0), np.zeros((200, 0)), ln.Grid())) == []
+    assert list(ln.series_products(np.arange(30.0), np.zeros((30, 0)), ln.Grid())) == []
+
+
+def test_root_test_is_that_of_the_companion_matrix():
+    rng = np.random.default_rng(3)
+    c = rng.normal(scale=0.35, size=(3_000, 9)) * (rng.random((3_000, 9)) < 0.6)
+    companion = np.zeros((3_000, 9, 9))
+    companion[:, 0, :] = c
+    companion[:, np.arange(1, 9), np.arange(8)] = 1
+    largest = np.abs(np.linalg.eigvals(companion)).max(axis=1)
+    for limit in (0.98, 1.0):
+        clear = np.abs(largest - limit) > 1e-6
+        assert (ln.roots_within(c, limit) == (largest < limit))[clear].all() and 0.1 < (largest < limit).mean() < 0.9
+
+
+def test_series_side_by_side_are_followed_as_one_by_one():
+    """Different lengths, gaps, differencing, missing models and regressors in one step."""
+    rng = np.random.default_rng(4)
+    models = [{"d": 1, "sd": 1, "intercept": 0.5, "ar": [0.3, 0.1], "ma": [-0.4], "beta": [2.0]}, {"intercept": 4.0},
+              {"d": 0, "sd": 1, "intercept": 0.0, "ar": [0.2] * 9, "ma": [0.1] * 9, "beta": [None]}, {"intercept": None}]
+    series = [rng.normal(10, 2, n) for n in (60, 12, 40, 5)]
+    series[0][[20, 21, 55]], series[3][:] = np.nan, np.nan
+    regressors = [rng.normal(size=(len(x), 1)) for x in series]
+    together = ln.follow(series, regressors, models, 7)
+    for x, z, m, got in zip(series, regressors, models, together):
+        known, w, e = [], [], []
+        beta = (m.get("beta") or [0.0])[0] or 0.0
+        level = [beta * v for v in z[:, 0]]
+        for t, value in enumerate(x):
+            def taken(values):
+                parts = ([values[t - 1]] if m.get("d") and t >= 1 else [None] if m.get("d") else []) + \
+                    ([values[t - 7]] if m.get("sd") and t >= 7 else [None] if m.get("sd") else []) + \
+                    ([-values[t - 8]] if m.get("d") and m.get("sd") and t >= 8 else [None] if m.get("d") and m.get("sd") else [])
+                return None if any(p is None or p != p for p in parts) else sum(parts)
+            base, off = taken(known), taken(level)
+            guess = (np.nan if m["intercept"] is None else m["intercept"]) + level[t] - (off or 0.0)
+            guess += sum(a * v for a, v in zip(m.get("ar") or [], w[::-1])) + sum(a * v for a, v in zip(m.get("ma") or [], e[::-1]))
+            fitted = np.nan if base is None else base + guess
+            assert got[t] == pytest.approx(fitted, nan_ok=True)
+            now = fitted if value != value else value
+            known.append(now)
+            w.append(0.0 if base is None or now != now else now - base)
+            e.append(0.0 if now != now or fitted != fitted else now - fitted)

@@ -46,7 +46,8 @@ def test_matches_sql(name, spark, sf, tables):
 
 
 # Queries that solve small linear systems (a matrix or a series a row) in Arrow batches, or run on trained trees.
-SOLVES_IN_PYTHON = {"t01_adf_test_no_lags", "m01_autoregressive_candidate", "m03_coefficient_table", "m04_forecast_linear_parts"}
+SOLVES_IN_PYTHON = {"t01_adf_test_no_lags", "m01_autoregressive_candidate", "m03_coefficient_table", "m04_forecast_linear_parts",
+                    "m04_forecast_given_coefficients", "m05_apply_given_coefficients"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -55,7 +56,7 @@ def test_plan_has_no_product_join_and_no_python(name, spark, sf):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
     if name not in SOLVES_IN_PYTHON:
-        for bad in ("BatchEvalPython", "ArrowEvalPython", "InPandas"):
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow"):
             assert bad not in plan
 
 

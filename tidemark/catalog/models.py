@@ -18,6 +18,7 @@ from tidemark.operators.stationarity import diagnostics, effective_sample
 from tidemark.plans.forecast import forecast_rows
 from tidemark.plans.train import MODELS, Settings, backtest_one_step, longest, train_hybrid, train_with_regressors
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.registry import save_table
 
 SPLIT, AS_OF = "2001-07-01", "2001-12-15"
 QUARTERS = 4
@@ -106,7 +107,9 @@ from daily where date >= date '{SPLIT}' and series_id in (select series_id from
 group by series_id""", dates="first_day last_day")
 def m04_parts(spark, sf):
     """A catalog of many short series: a forecast for every product and test day, whatever the product's history."""
-    train, test = split(daily_series(part_demand(spark, sf), "sku_id").select("series_id", "date", "total_units"))
+    daily = daily_series(part_demand(spark, sf), "sku_id").select("series_id", "date", "total_units")
+    # Fit, forecast and the list of series read the days; they are made once.
+    train, test = split(save_table(daily, f"{ensure_checkpoint_dir(spark)}/part-days-{uuid.uuid4().hex}"))
     forecast = ln.forecast_linear(train, ln.search_orders(train), test.join(train.select("series_id").distinct(), "series_id"))
     return forecast.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
