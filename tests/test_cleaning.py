@@ -3,6 +3,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.functions import coerce
 from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, parse_dates
 from tidemark.functions.quantiles import exact_quantiles
 from tidemark.functions.rounding import half_even, units_from_forecast
@@ -98,3 +99,16 @@ def test_rounding(spark):
     assert column(df.select(half_even("x").alias("x")), "x")[:3] == [0.0, 2.0, 2.0]
     assert column(df.select(units_from_forecast("x").alias("x")), "x") == [0, 2, 2, 0]
     assert df.select(half_even(F.lit(0.25), 1)).first()[0] == 0.2
+
+
+def test_numbers_beyond_their_type_count_as_unreadable(spark):
+    rows = [("1e30", "3e12", "5", "2024-01-01"), ("3", "1", "x", "junk"), (None, "0", None, None), ("2.9", "1", "1e400", "2024-02-30")]
+    df = spark.createDataFrame(rows, "units_sold string, promotion_flag string, price string, date string")
+    assert [r.units_sold for r in coerce.coerce_units(df).collect()] == [1, 3, 1, 2]
+    assert [r.promotion_flag for r in coerce.coerce_promo(df).collect()] == [0, 1, 0, 1]
+    doubles = spark.createDataFrame([(1e30,), (2.5,), (None,)], "units_sold double")
+    assert [r.units_sold for r in coerce.coerce_units(doubles).collect()] == [1, 2, 1]
+    assert [r.promotion_flag for r in coerce.coerce_promo(doubles.withColumnRenamed("units_sold", "promotion_flag")).collect()] == [0, 2, 0]
+    listed = sorted(tuple(r) for r in coerce.unreadable_cells(df).collect())
+    assert listed == [("date", "2024-02-30", 1), ("date", "junk", 1), ("price", "x", 1), ("promotion_flag", "3e12", 1), ("units_sold", "1e30", 1)]
+    assert coerce.unreadable_cells(df.select(df.date.alias("other"))).collect() == []

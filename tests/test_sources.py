@@ -108,3 +108,10 @@ def test_variant_sets(spark, tmp_path):
     sinks.write_variant_sets(rows.filter("date < '2024-01-01'"), rows.filter("date >= '2024-01-01'"), str(tmp_path))
     assert spark.read.option("header", True).csv(str(tmp_path / "full")).count() == 2
     assert spark.read.option("header", True).csv(str(tmp_path / "train")).first()["variant"] == "A"
+
+
+def test_quoted_line_ends_do_not_split_a_record(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text('date,sku,note,qty\n2024-01-01,a,"two\nlines",3\n2024-01-02,b,"say ""x""",4\n')
+    rows = sales.read_sales(spark, str(tmp_path / "sales.csv")).collect()
+    assert [tuple(r) for r in rows] == [("2024-01-01", "a", "two\nlines", "3"), ("2024-01-02", "b", 'say "x"', "4")]
+    assert sales.read_sales(spark, str(tmp_path / "sales.csv"), multi_line=False).count() == 3

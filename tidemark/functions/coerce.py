@@ -26,11 +26,10 @@ def number(df: DataFrame, name: str) -> Column:
 
 
 def coerce_units(df: DataFrame, name: str = "units_sold") -> DataFrame:
-    """Missing or non-numeric quantities count as one sale; fractions are cut toward zero."""
+    """Missing or non-numeric quantities, and those beyond whole numbers, count as one sale; fractions are cut toward zero."""
     if df.schema[name].dataType == T.LongType():
         return df.withColumn(name, F.coalesce(F.col(name), F.lit(DEFAULT_UNITS).cast("bigint")))
-    value = F.coalesce(number(df, name), F.lit(float(DEFAULT_UNITS)))
-    return df.withColumn(name, value.cast("bigint"))
+    return df.withColumn(name, F.coalesce(number(df, name).try_cast("bigint"), F.lit(DEFAULT_UNITS).cast("bigint")))
 
 
 def coerce_price(df: DataFrame, name: str = "price") -> DataFrame:
@@ -53,21 +52,47 @@ def coerce_promo(df: DataFrame, name: str = "promotion_flag", as_label: bool | N
     """0/1 (or integer) promotion flag.
 
     Whether a text column holds labels or numbers belongs to the whole column: one label makes
-    every non-empty cell a promotion. Pass ``as_label`` when it was decided on a larger frame.
+    every non-empty cell a promotion. Pass ``as_label`` when it was decided on a larger frame. Numbers beyond an
+    integer are no promotion.
     """
     col = F.col(name)
     if not is_text(df, name):
         value = col.cast("int") if isinstance(df.schema[name].dataType, T.BooleanType) \
-            else number(df, name).cast("int")
+            else number(df, name).try_cast("int")
         return df.withColumn(name, F.coalesce(value, F.lit(0)))
     labels = F.lit(as_label) if as_label is not None else df.agg(
         (~(reads_as_number(name) | reads_as_flag(name))).alias("labels")).scalar()
     label = (col.isNotNull() & (F.length(col) > 0)).cast("int")
     value = F.when(F.lower(col) == "true", 1).when(F.lower(col) == "false", 0) \
-        .otherwise(F.coalesce(number(df, name).cast("int"), F.lit(0)))
+        .otherwise(F.coalesce(number(df, name).try_cast("int"), F.lit(0)))
     return df.withColumn(name, F.when(labels, label).otherwise(value))
 
 
+def unreadable_cells(df: DataFrame) -> DataFrame:
+    """Cells that stand in the file but are not read as what their column holds: column, cell, rows.
+
+    Dates that are none, quantities and prices that are no numbers, quantities and numeric promotions beyond whole
+    numbers. Missing cells are not listed. Columns are the canonical ones, as far as ``df`` has them.
+    """
+    def cell(name: str, value: Column) -> Column:
+        return F.when(F.col(name).isNotNull() & value.isNull(), F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("cell")))
+
+    found = []
+    if "date" in df.columns and is_text(df, "date"):
+        found.append(cell("date", date_of(F.col("date"))))
+    if "units_sold" in df.columns:
+        found.append(cell("units_sold", number(df, "units_sold").try_cast("bigint")))
+    if "price" in df.columns:
+        found.append(cell("price", number(df, "price")))
+    if "promotion_flag" in df.columns and not isinstance(df.schema["promotion_flag"].dataType, T.BooleanType):
+        value = number(df, "promotion_flag")
+        # Labels are read as they are; only numbers can be too large.
+        found.append(cell("promotion_flag", F.when(value.isNull(), 0).otherwise(value.try_cast("int"))))
+    if not found:
+        return df.select(F.lit("").alias("column"), F.lit("").alias("cell"), F.lit(0).cast("long").alias("rows")).limit(0)
+    return df.select(F.inline(F.array_compact(F.array(*found)))).groupBy("column", "cell").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def date_of(text: Column, pivot_year: int = 2075) -> Column:
     """Calendar day of a text, NULL when it is none.
 

@@ -13,11 +13,15 @@ def _quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header (every column text, no inference pass) or a Parquet folder."""
+def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header (every column text, no inference pass) or a Parquet folder.
+
+    Quoted cells may hold line ends; a file is then read by one task, and files side by side. ``multi_line=False`` splits
+    large files that are known to hold none.
+    """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return blank_missing(raw)
 
 
