@@ -28,7 +28,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     # Rows that repeat doc_id, source and text are interchangeable: the mix says how many of them come twice or once.
-    key = F.xxhash64("doc_id", "source", "text").alias("key")
+    # Each part is told apart from null and from the next one.
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in ("doc_id", "source", "text")]
+    key = F.unhex(F.substring(F.sha2(F.concat(*parts), 256), 1, 32)).alias("key")
     taken = mixing.mix(docs.select("doc_id", "source", "text", key), columns=("doc_id", "source", "key")).where("taken > 0")
     copies = (F.col("taken") / F.col("size")).cast("int")
     picks = stage(taken.groupBy("key").agg(
