@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from tidemark.llm import minhash
 from tidemark.llm.components import components
 from tidemark.llm.minhash import band_keys, keep_first, min_max, near_duplicates, signature_bits
 
@@ -132,3 +133,24 @@ def test_components_of_random_links(spark, n, m):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     assert got == {i: root(i) for i in parent if root(i) != i}
+
+
+def test_many_texts_with_a_common_passage(make_docs, monkeypatch):
+    """Large buckets of small components, compared by blocks: no link is lost, and texts with much of their own drop out."""
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    rng = random.Random(6)
+    passage = ["p%d" % i for i in range(80)]
+    rows = []
+    for i in range(120):
+        own = ["q%d" % rng.randrange(10 ** 6) for _ in range(rng.choice([4, 6, 30]))]
+        rows.append((i, " ".join(edited(rng, passage, rng.choice([0, 1, 2])) + own)))
+        if rng.random() < 0.2:
+            rows.append((1_000 + i, " ".join(edited(rng, rows[-1][1].split(), 1))))
+    assert found(make_docs(rows)) == brute(rows)
+
+
+def test_thresholds_that_the_bands_do_not_cover_are_refused(make_docs):
+    for percent in (50, 79, 101):
+        with pytest.raises(ValueError, match="percent"):
+            near_duplicates(make_docs([]), percent)
+    assert minhash.most_different(80, 96) == 50 and minhash.most_different(100) == 1

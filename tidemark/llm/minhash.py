@@ -13,8 +13,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +33,10 @@ DOCUMENT = ["known_id", "no_id", "text_hash"]
 SMALL_BUCKET = 6
 # Values of the longer signature, for classes of large buckets.
 SKETCH_VALUES = 1_024
-# Of 192 signature bits a pair of similarity 0.8 has 19 different ones on average, with a deviation of about 5. A pair with more different bits than this lies over six deviations below the threshold.
-MOST_DIFFERENT_BITS = 50
+# Stragglers and members of a large bucket are compared in blocks of about this many.
+BLOCK = 256
+# The bands are set for this similarity in percent; below it they would lose links.
+LEAST_PERCENT = 80
 
 
 # ------------------------------------------------------------------ inside tasks
@@ -137,17 +137,89 @@ def _sets(batches):
             yield out.filter(out.column(1).is_valid())
 
 
+def _postings(batches):
+    """Every shingle of every set, with the set's key."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            part = batch.slice(first, 500)
+            members = [np.frombuffer(packed.as_buffer(), np.int64) for packed in part.column("shingles")]
+            owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
+            yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(owner)), pa.array(np.concatenate(members))],
+                                             names=["key", "shingle"])
+
+
 def _sketch(batches):
-    """Long signatures of whole sets, two bits a value."""
+    """Sizes, bands and long signatures of whole sets, two bits a value."""
+    half = SKETCH_VALUES // 2
     for batch in batches:
         for first in range(0, batch.num_rows, 500):
             part = batch.slice(first, 500)
             members = [np.frombuffer(packed.as_buffer(), np.uint64) for packed in part.column("shingles")]
             bounds = np.concatenate(([0], np.cumsum([len(m) for m in members])))
-            bits = signature_bits(min_max(np.concatenate(members), bounds, SKETCH_VALUES // 2)).T.astype(np.int64, order="C")
-            at = pa.array(np.arange(len(members) + 1, dtype=np.int32) * bits.shape[1])
+            values = min_max(np.concatenate(members), bounds, half)
+            # The permutations of the short signature are the first of these.
+            bands = band_keys(np.concatenate((values[:PERMUTATIONS], values[half:half + PERMUTATIONS])))
+
+            def lists(words):
+                words = words.T.astype(np.int64, order="C")
+                at = pa.array(np.arange(len(members) + 1, dtype=np.int32) * words.shape[1])
+                return pa.ListArray.from_arrays(at, pa.array(words.reshape(-1)))
+
             yield pa.RecordBatch.from_arrays(
-                [part.column("key"), pa.ListArray.from_arrays(at, pa.array(bits.reshape(-1)))], names=["key", "sketch"])
+                [part.column("key"), part.column("n"), part.column("common"), lists(bands), lists(signature_bits(values))],
+                names=["key", "n", "common", "bands", "sketch"])
+
+
+def _across(percent: int):
+    """Plausible pairs of a block of stragglers with a block of members, for rows that are sorted by pair of blocks."""
+    limit = most_different(percent)
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        left = rows.column("left").to_numpy(zero_copy_only=False)
+        keys = np.array(rows.column("key").to_pylist(), object)
+        _, roots = np.unique(np.array(rows.column("root").to_pylist(), object), return_inverse=True)
+        _, order = np.unique(keys, return_inverse=True)
+        n, common = rows.column("n").to_numpy(), rows.column("common").to_numpy()
+        straggler = rows.column("straggler").to_numpy(zero_copy_only=False)
+        bands, bits = (rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(keys), -1)
+                       for c in ("bands", "sketch"))
+        x, y = np.flatnonzero(left), np.flatnonzero(~left)
+        most = np.minimum(common[x][:, None], common[y][None, :])
+        wanted = 100 * most >= percent * (n[x][:, None] + n[y][None, :] - most)
+        wanted &= roots[x][:, None] != roots[y][None, :]
+        # Two stragglers meet twice.
+        wanted &= ~straggler[y][None, :] | (order[x][:, None] < order[y][None, :])
+        i, j = np.nonzero(wanted)
+        i, j = x[i], y[j]
+        near = np.concatenate([np.bitwise_count(bits[i[k:k + BLOCK * BLOCK]] ^ bits[j[k:k + BLOCK * BLOCK]]).sum(axis=1) <= limit
+                               for k in range(0, len(i), BLOCK * BLOCK)] or [np.zeros(0, bool)])
+        i, j = i[near], j[near]
+        # Once a pair: in the first bucket that both are in. If that is a small one, they were compared there.
+        same = bands[i] == bands[j]
+        once = bands[i, same.argmax(axis=1)] == np.uint64(rows.column("bucket")[0].as_py() & (2 ** 64 - 1))
+        i, j = i[once], j[once]
+        swap = order[i] > order[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return pa.RecordBatch.from_arrays([pa.array(list(keys[i]), pa.binary()), pa.array(list(keys[j]), pa.binary())], names=["a", "b"])
+
+    def run(batches):
+        held, now = [], None
+        for batch in batches:
+            bucket, i, j = (batch.column(c).to_numpy() for c in ("bucket", "i", "j"))
+            new = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            for first, last in zip([0, *new], [*new, batch.num_rows]):
+                if first == last:
+                    continue
+                group = (bucket[first], i[first], j[first])
+                if group != now and held:
+                    yield compared(pa.Table.from_batches(held))
+                    held = []
+                now = group
+                held.append(batch.slice(first, last - first))
+        if held:
+            yield compared(pa.Table.from_batches(held))
+
+    return run
 
 
 def _linked(percent: int):
@@ -173,7 +245,7 @@ def signed(docs: DataFrame) -> DataFrame:
 def _plausible(n_a: Column, n_b: Column, bits_a: Column, bits_b: Column, percent: int) -> Column:
     """Set sizes that allow the similarity, and signatures that do not exclude it."""
     different = sum((F.bit_count(bits_a[k].bitwiseXOR(bits_b[k])) for k in range(3)), F.lit(0))
-    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (different <= MOST_DIFFERENT_BITS)
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (different <= most_different(percent, 2 * PERMUTATIONS))
 
 
 def _pairs(small: DataFrame, percent: int) -> DataFrame:
@@ -215,8 +287,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     with the one that stands in the most and largest buckets, the likely origin of its copies. What is then
     still in different components of a bucket is compared too, where a longer signature allows it (see
     :func:`_straggler_pairs`), so no link is lost to the bucket's size, and large groups of copies cost a
-    comparison a member.
+    comparison a member. ``percent`` is 80 at least: the bands are set for that, and would lose links below. Very long texts are
+    read whole; a text's signature and set (8 bytes a shingle) must fit in a task.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be {LEAST_PERCENT} to 100")
     rows = stage(signed(docs), "signed")
     classes = stage(rows.where("key is not null").groupBy("key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash",
@@ -233,7 +308,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = stage(_verified(pairs, sets, percent), "links")
     roots = components(links, "a", "b")
 
-    more = _straggler_pairs(large, classes, sets, roots, percent)
+    more = _straggler_pairs(large, sets, roots, percent)
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         links = stage(links.unionByName(_verified(more, sets, percent)), "all-links")
@@ -258,36 +333,50 @@ def _needed_sets(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFr
     return texts.join(chosen, DOCUMENT).dropDuplicates(DOCUMENT).select("text", "key").mapInArrow(_sets, "key binary, shingles binary")
 
 
-def _straggler_pairs(large: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs across the components of a large bucket, once each, in the first bucket that both are in.
+def _straggler_pairs(large: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs across the components of a large bucket, as far as set sizes and long signatures allow the similarity.
 
-    Classes outside a bucket's largest component are paired with all its members, as far as set sizes and signatures of
-    1,024 values (two bits each, made for these classes only) allow the similarity. A pair whose first common bucket
-    is a small one was compared there.
+    Classes outside a bucket's largest component (stragglers) are paired with all its members. First those classes go
+    that can have no partner: a set shares at most the shingles that also stand in another such class (``common``), so texts
+    with a common passage and much of their own are never paired. The rest is compared by blocks of stragglers and blocks
+    of members, a pair of blocks at a time, by the same bound and by signatures of 1,024 values (two bits each).
     """
-    keys = large.select("key").distinct()
-    sketches = sets.join(keys, "key", "left_semi").mapInArrow(_sketch, "key binary, sketch array<long>")
-    known = stage(sketches.join(classes.select("key", "n", "bands"), "key").join(
-        roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "crowded")
-    labelled = stage(large.select("bucket", "key").join(known.select("key", "root"), "key"), "labelled")
+    labelled = stage(large.select("bucket", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+        "bucket", "key", F.coalesce("root", "key").alias("root")), "labelled")
     counts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("held"))
-    main = stage(counts.groupBy("bucket").agg(
-        F.max(F.struct("held", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select(
-        "bucket", F.col("top.root").alias("main")), "main")
-    open_ = stage(labelled.select("bucket", "key").join(main, "bucket").join(known, "key"), "open")
-    x, y = open_.where("root <> main").alias("x"), open_.alias("y")
-    different = reduce(add, [F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_VALUES // 32)])
-    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    first = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.bucket")
-    once = F.expr("x.root <> y.root and (y.root = y.main or x.key < y.key)")
-    return x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & once & sizes & (different <= most_different(percent)) & first).select(
-        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-
-
-def most_different(percent: int) -> int:
-    """Different bits of two long signatures at the threshold, and six deviations more."""
+    parted = counts.groupBy("bucket").agg(
+        F.max(F.struct("held", "root")).alias("top"), F.sum("held").alias("members"), F.count(F.lit(1)).alias("parts")).where(
+        "parts > 1").select("bucket", F.col("top.root").alias("main"), "members", (F.col("members") - F.col("top.held")).alias("stragglers"))
+    open_ = stage(labelled.join(parted, "bucket").withColumn("straggler", F.expr("root <> main")), "open")
+
+    own = sets.join(open_.select("key").distinct(), "key", "left_semi")
+    alone = own.mapInArrow(_postings, "key binary, shingle long").groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("held"), F.min("key").alias("key")).where("held = 1").groupBy("key").agg(
+        F.count(F.lit(1)).alias("alone"))
+    n = (F.octet_length("shingles") / 8).cast("long")
+    shared = own.join(alone, "key", "left").select("key", "shingles", n.alias("n"), (n - F.coalesce("alone", F.lit(0))).alias(
+        "common")).where("100 * common >= {} * n".format(percent))
+    known = stage(shared.mapInArrow(_sketch, "key binary, n long, common long, bands array<long>, sketch array<long>"), "crowded")
+
+    rows = open_.join(known, "key")
+    blocks = {side: F.ceil(F.col(held) / BLOCK).cast("int") for side, held in (("i", "stragglers"), ("j", "members"))}
+    place = {side: F.pmod(F.xxhash64("key", F.lit(side)), n).cast("int") for side, n in blocks.items()}
+
+    def dealt(frame: DataFrame, own_side: str, other: str, left: bool) -> DataFrame:
+        return frame.select("bucket", place[own_side].alias(own_side),
+                            F.explode(F.sequence(F.lit(0), blocks[other] - 1)).alias(other), F.lit(left).alias("left"),
+                            "key", "n", "common", "root", "straggler", "bands", "sketch")
+
+    both = dealt(rows.where("straggler"), "i", "j", True).unionByName(dealt(rows, "j", "i", False))
+    group = ["bucket", "i", "j"]
+    return both.repartition(*group).sortWithinPartitions(*group).mapInArrow(
+        _across(percent), "a binary, b binary")
+
+
+def most_different(percent: int, values: int = SKETCH_VALUES) -> int:
+    """Different bits of two signatures of so many values (two bits each) at the threshold, and six deviations more."""
     miss = 1 - percent / 100
-    return int(SKETCH_VALUES * miss + 6 * math.sqrt(SKETCH_VALUES * (1.5 * miss - miss * miss))) + 1
+    return int(values * miss + 6 * math.sqrt(values * (1.5 * miss - miss * miss))) + 1
 
 
 def keep_first(docs: DataFrame, percent: int = 85) -> DataFrame:
