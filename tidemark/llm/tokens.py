@@ -3,12 +3,15 @@
 A document's pre-tokens lie in the leaves of a segment tree: runs of whole pre-tokens with their length
 and their number of tokens, and above them the sums. An edit touches the leaves its range (and two code
 points around it, as far as the splitting pattern looks) lies in: only these are put together, changed,
-cut and encoded again, and the sums above them are renewed. The rest of the text is never read.
+cut and encoded again, and the sums above them are renewed. The other leaves, their texts included, are not
+touched. New pieces take the places of the old ones; only where one would grow beyond ``SLACK`` leaves is the
+tree laid out anew, from the known counts.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterable, Sequence
 
@@ -26,6 +29,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 1_000
 CONTEXT = 2
+SLACK = 4  # a leaf may grow to this many times its size
 # A pre-token always ends between a visible character and a single space before another visible one.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # A longer piece without such a place (one word, or white space only) stays one leaf.
@@ -87,13 +91,8 @@ class Tree:
                 node += 1
         return node - self.size, begin
 
-    def replace(self, first: int, last: int, lengths: list[int], tokens: list[int]) -> None:
-        """Leaves first..last-1 become the given ones. As many as before: only the sums above them are renewed."""
-        if len(lengths) != last - first:
-            own = slice(self.size, self.size + self.n)
-            old_lengths, old_tokens = self.length[own], self.tokens[own]
-            self.build(old_lengths[:first] + lengths + old_lengths[last:], old_tokens[:first] + tokens + old_tokens[last:])
-            return
+    def replace(self, first: int, lengths: list[int], tokens: list[int]) -> None:
+        """The leaves from ``first`` become the given ones; only the sums above them are renewed."""
         touched = set()
         for k, (n, t) in enumerate(zip(lengths, tokens)):
             node = self.size + first + k
@@ -105,53 +104,94 @@ class Tree:
             touched = {node // 2 for node in touched if node > 1}
 
 
+def digest_of(text: str) -> int:
+    """64 bits that tell whether a stored tree belongs to a text."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 class Counted:
-    """A text with its tree. ``encoded`` counts the code points that were encoded so far."""
+    """A text as the leaves of its tree. ``encoded`` counts the code points that were encoded so far."""
 
     def __init__(self, text: str, vocabulary: str = VOCABULARY, leaf: int = LEAF, state: tuple[list[int], list[int]] | None = None):
-        self.text, self.leaf, self.encoded = text, leaf, 0
+        self.leaf, self.encoded = leaf, 0
         self.encode = encoder(vocabulary).encode_ordinary
         if state is None:
-            pieces = cut(text, leaf)
-            state = [len(p) for p in pieces], self._count(pieces)
-        self.tree = Tree(*state)
+            self.leaves = cut(text, leaf)
+            self.tree = Tree([len(p) for p in self.leaves], self._count(self.leaves))
+        else:
+            self.leaves, at = [], 0
+            for n in state[0]:
+                self.leaves.append(text[at:at + n])
+                at += n
+            self.tree = Tree(*state)
 
     def _count(self, pieces: list[str]) -> list[int]:
         self.encoded += sum(map(len, pieces))
         return [len(self.encode(p)) for p in pieces]
 
+    @property
+    def text(self) -> str:
+        return "".join(self.leaves)
+
     @property
     def tokens(self) -> int:
         return self.tree.tokens[1]
 
+    @property
+    def state(self) -> tuple[list[int], list[int]]:
+        own = slice(self.tree.size, self.tree.size + self.tree.n)
+        return self.tree.length[own], self.tree.tokens[own]
+
     def edit(self, at: int, deleted: int, inserted: str) -> int:
-        """Replace ``deleted`` code points from ``at`` by ``inserted``; returns the leaves encoded again."""
-        at = max(0, min(at, len(self.text)))
-        end = max(at, min(at + deleted, len(self.text)))
-        old = self.text
-        self.text = old[:at] + inserted + old[end:]
-        if not self.tree.n:
-            first = last = begin = stop = 0
-        else:
-            first, begin = self.tree.find(max(0, at - CONTEXT))
-            last, stop = self.tree.find(min(len(old), end + CONTEXT))
-            stop += self.tree.length[self.tree.size + last]
-            last += 1
-        pieces = cut(old[begin:at] + inserted + old[end:stop], self.leaf)
-        self.tree.replace(first, last, [len(p) for p in pieces], self._count(pieces))
-        return len(pieces)
+        """Replace ``deleted`` code points from ``at`` by ``inserted``; returns the pieces encoded again."""
+        whole = self.tree.length[1]
+        at = max(0, min(at, whole))
+        end = max(at, min(at + deleted, whole))
+        if not whole:
+            pieces = cut(inserted, self.leaf)
+            self.leaves = pieces
+            self.tree.build([len(p) for p in pieces], self._count(pieces))
+            return len(pieces)
+        first, begin = self.tree.find(max(0, at - CONTEXT))
+        last, _ = self.tree.find(min(whole, end + CONTEXT))
+        last += 1
+        old = "".join(self.leaves[first:last])
+        pieces = cut(old[:at - begin] + inserted + old[end - begin:], self.leaf)
+        lengths, tokens = [len(p) for p in pieces], self._count(pieces)
+        places, n = last - first, len(pieces)
+        if n > places and sum(lengths[places - 1:]) > SLACK * self.leaf:
+            old_lengths, old_tokens = self.state
+            self.leaves[first:last] = pieces
+            self.tree.build(old_lengths[:first] + lengths + old_lengths[last:], old_tokens[:first] + tokens + old_tokens[last:])
+            return n
+        # Pieces meet where a pre-token begins, so their counts add up. Places that are left over stay empty.
+        spare = [0] * (places - n)
+        cutoff = min(places, n) - 1
+        if n:
+            pieces = pieces[:cutoff] + ["".join(pieces[cutoff:])]
+            lengths, tokens = lengths[:cutoff] + [sum(lengths[cutoff:])], tokens[:cutoff] + [sum(tokens[cutoff:])]
+        self.leaves[first:last] = pieces + [""] * len(spare)
+        self.tree.replace(first, lengths + spare, tokens + spare)
+        return n
+
+
+def _edited(counted: Counted, edits) -> int:
+    return sum(counted.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "") for e in edits or [] if e is not None)
+
+
+_STATE_KINDS = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64()]
 
 
 def _count(vocabulary: str, leaf: int):
     def run(batches):
         for batch in batches:
-            found = [Counted(t or "", vocabulary, leaf) for t in batch.column("text").to_pylist()]
-            leaves = [slice(c.tree.size, c.tree.size + c.tree.n) for c in found]
+            out = []
+            for text in batch.column("text").to_pylist():
+                counted = Counted(text or "", vocabulary, leaf)
+                out.append((counted.tokens, *counted.state, digest_of(text or "")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([c.tokens for c in found], pa.int64()),
-                 pa.array([c.tree.length[s] for c, s in zip(found, leaves)], pa.list_(pa.int64())),
-                 pa.array([c.tree.tokens[s] for c, s in zip(found, leaves)], pa.list_(pa.int64()))],
-                names=["row", "n_tokens", "leaf_chars", "leaf_tokens"])
+                [batch.column("row"), *[pa.array([o[k] for o in out], kind) for k, kind in enumerate(_STATE_KINDS)]],
+                names=["row", *STATE])
     return run
 
 
@@ -159,19 +199,18 @@ def _apply(vocabulary: str, leaf: int):
     def run(batches):
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("text", "leaf_chars", "leaf_tokens", "edits")]
-            for text, lengths, tokens, edits in zip(*columns):
-                counted = Counted(text or "", vocabulary, leaf, (lengths or [], tokens or []))
-                touched = 0
-                for e in edits or []:
-                    if e is not None:
-                        touched += counted.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                own = slice(counted.tree.size, counted.tree.size + counted.tree.n)
-                out.append((counted.text, counted.tokens, counted.tree.length[own], counted.tree.tokens[own], touched, counted.encoded))
-            kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+            columns = [batch.column(c).to_pylist() for c in ("text", "leaf_chars", "leaf_tokens", "tree_digest", "edits")]
+            for text, lengths, tokens, digest, edits in zip(*columns):
+                text = text or ""
+                own = lengths is not None and tokens is not None and len(lengths) == len(tokens) and digest == digest_of(text)
+                counted = Counted(text, vocabulary, leaf, (lengths, tokens) if own else None)
+                touched = _edited(counted, edits)
+                new = counted.text
+                out.append((new, counted.tokens, *counted.state, digest_of(new), touched, counted.encoded))
+            kinds = [pa.string(), *_STATE_KINDS, pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), *[pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]],
-                names=["row", "text", "n_tokens", "leaf_chars", "leaf_tokens", "n_leaves_encoded", "n_chars_encoded"])
+                names=["row", "text", *STATE, "n_leaves_encoded", "n_chars_encoded"])
     return run
 
 
@@ -181,34 +220,36 @@ def _kept(docs: DataFrame, without: Iterable[str], wanted: Sequence[str]) -> Dat
     return docs.select(wrapped(docs, own) if own else F.struct(F.lit(0).alias("_")).alias("row"), *wanted)
 
 
-STATE = ("n_tokens", "leaf_chars", "leaf_tokens")
+STATE = ("n_tokens", "leaf_chars", "leaf_tokens", "tree_digest")
+STATE_TYPES = "n_tokens long, leaf_chars array<long>, leaf_tokens array<long>, tree_digest long"
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
-    """All columns of ``docs`` but ``text``, with the tree of each text: n_tokens, leaf_chars, leaf_tokens.
+    """All columns of ``docs``, ``text`` among them, with the tree of each text: n_tokens, leaf_chars, leaf_tokens, tree_digest.
 
     A null text counts as empty and has 0 tokens and no leaves. Columns with the names of the added ones are replaced.
-    Rows that repeat a text have equal trees. ``vocabulary`` is a file that every executor can read. An empty table
-    gives an empty result.
+    Rows that repeat a text have equal trees. A leaf ends at a single space between visible characters; a very long text
+    without one is one leaf. ``vocabulary`` is a file that every executor can read. An empty table gives an empty result.
     """
-    rows = _kept(docs, {"text", *STATE}, ["text"])
+    rows = _kept(docs, set(STATE), ["text"])
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_count(vocabulary, leaf), f"row {kind}, n_tokens long, leaf_chars array<long>, "
-                           "leaf_tokens array<long>").select("row.*", *STATE)
+    return rows.mapInArrow(_count(vocabulary, leaf), f"row {kind}, {STATE_TYPES}").select("row.*", *STATE)
 
 
 def apply_edits(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
-    """Rows with text, leaf_chars, leaf_tokens and ``edits`` (array of at, deleted, inserted; applied in order) to the
-    changed text with its tree, and how much was encoded again: n_leaves_encoded, n_chars_encoded.
+    """Rows of :func:`count_tokens` with ``edits`` (array of at, deleted, inserted; applied in order) to the changed text with its
+    tree, and how much was encoded again: n_leaves_encoded, n_chars_encoded.
 
-    A null or empty ``edits`` changes nothing; null fields are 0 or empty; places beyond the text mean its end.
+    ``tree_digest`` ties a tree to its text. Where it differs (a tree of another row or of an earlier text) or a part of the
+    tree is null, the text is counted anew, which n_chars_encoded then shows. A null or empty ``edits`` changes nothing;
+    null fields are 0 or empty; places beyond the text mean its end. Repeated rows are changed alike; an empty table gives an
+    empty result.
     """
     added = {*STATE, "text", "edits", "n_leaves_encoded", "n_chars_encoded"}
-    rows = _kept(docs, added, ["text", "leaf_chars", "leaf_tokens", "edits"])
+    rows = _kept(docs, added, ["text", "leaf_chars", "leaf_tokens", "tree_digest", "edits"])
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(
-        _apply(vocabulary, leaf), f"row {kind}, text string, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>, "
-        "n_leaves_encoded long, n_chars_encoded long").select(
+        _apply(vocabulary, leaf), f"row {kind}, text string, {STATE_TYPES}, n_leaves_encoded long, n_chars_encoded long").select(
         "row.*", "text", *STATE, "n_leaves_encoded", "n_chars_encoded")
 
 
@@ -219,10 +260,7 @@ def _both(vocabulary: str, leaf: int):
             for text, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):
                 counted = Counted(text or "", vocabulary, leaf)
                 tokens, leaves, whole = counted.tokens, counted.tree.n, counted.encoded
-                touched = 0
-                for e in edits or []:
-                    if e is not None:
-                        touched += counted.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
+                touched = _edited(counted, edits)
                 out.append((tokens, leaves, counted.tokens, touched, counted.encoded - whole))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array([o[k] for o in out], pa.int64()) for k in range(5)]],
@@ -231,7 +269,12 @@ def _both(vocabulary: str, leaf: int):
 
 
 def count_before_and_after(docs: DataFrame, vocabulary: str = VOCABULARY, leaf: int = LEAF) -> DataFrame:
-    """doc_id, n_tokens and n_leaves of each text, and after its ``edits`` n_tokens_edited and what was encoded again, in one pass."""
+    """doc_id, n_tokens and n_leaves of each text, and after its ``edits`` n_tokens_edited and what was encoded again, in one pass.
+
+    A null text counts as empty; null or empty ``edits`` change nothing. Every row has its row in the result: repeated ids and
+    texts, and null ids too. Other columns are ignored, whatever their names. Very long texts are counted whole. An empty
+    table gives an empty result.
+    """
     return docs.select(F.col("doc_id").cast("long"), "text", "edits").mapInArrow(
         _both(vocabulary, leaf), "doc_id long, n_tokens long, n_leaves long, n_tokens_edited long, n_leaves_encoded long, "
         "n_chars_encoded long")
