@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from tidemark.llm.pii import KINDS, base_spans, emails, personal_data, redact, train
+from tidemark.llm.pii import KINDS, Model, base_spans, emails, personal_data, redact, train
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
             "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -153,3 +153,10 @@ def test_every_number_of_a_long_run_is_a_candidate():
         at += len(number) + 2
     spoken = "jane.doe [at] " + " [dot] ".join(["mail"] * 30)
     assert [spoken[a:b] for a, b in regions(spoken)] == [spoken]
+
+
+def test_overlapping_spans_are_replaced_as_one(spark, make_docs, monkeypatch):
+    docs = make_docs([(1, "mail +123456789-0@ex.com now"), (2, None), (3, "nothing")])
+    monkeypatch.setattr(Model, "spans", lambda self, text: ([], [("phone", 5, 17), ("email", 15, 24), ("ip", 25, 28)] if "mail" in text else []))
+    got = {r.doc_id: r.text for r in redact(docs, train([])).collect()}
+    assert got == {1: "mail <phone/email> <ip>", 2: None, 3: "nothing"}

@@ -340,7 +340,8 @@ def personal_data(docs: DataFrame, model: Model | None = None, rows: int = FIT_R
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """All columns of ``docs``, with every span of the text replaced by its kind in angle brackets."""
+    """All columns of ``docs``, with every span of the text replaced by its kind in angle brackets. Spans that overlap are
+    replaced as one, by all their kinds. A null text stays null; very long texts are read whole."""
     model = model or fit(docs)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.transition))
     at = docs.columns.index("text")
@@ -351,11 +352,17 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
             out = []
             for text in batch.column(at).to_pylist():
                 if text:
-                    free, parts = 0, []
+                    joined = []
                     for kind, a, b in sorted(known.spans(text)[1], key=lambda s: s[1:]):
-                        if a >= free:
-                            parts += [text[free:a], f"<{kind}>"]
-                            free = b
+                        if joined and a < joined[-1][2]:
+                            kinds, first, last = joined[-1]
+                            joined[-1] = (kinds if kind in kinds else [*kinds, kind], first, max(last, b))
+                        else:
+                            joined.append(([kind], a, b))
+                    free, parts = 0, []
+                    for kinds, a, b in joined:
+                        parts += [text[free:a], f"<{'/'.join(kinds)}>"]
+                        free = b
                     text = "".join([*parts, text[free:]])
                 out.append(text)
             yield batch.set_column(at, batch.schema.field(at).name, pa.array(out, pa.string()))
