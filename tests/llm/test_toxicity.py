@@ -17,7 +17,10 @@ def label(text, insults=("idiot",)):
     ("he is not an idiot", ["insult+target+negated"]), ("they called them an idiot", ["insult+target+reported"]),
     ("not now. idiot", ["insult"]), ("said he. idiot", ["insult"]), ("idiots", []), ("anidiot", []), ("grober klotz", ["insult"]),
     ("I will kill you", ["threat+target"]), ("to kill time", ["threat"]), ("never kill them", ["threat+target+negated"]),
-    ("not a b c d e f idiot", ["insult"]), ("idiot not", ["insult"]), ("", [])])
+    ("not a b c d e f idiot", ["insult"]), ("idiot not", ["insult"]), ("", []),
+    ("he said " + "a" * 230 + " idiot", ["insult+target+reported"]), ("not " + "b" * 204 + " an idiot", ["insult+negated"]),
+    ("idiot " + "c" * 300 + " you", ["insult+target"]), ("not " + "w " * 8 + "idiot " + "x " * 4 + "you", ["insult"]),
+    ("word " * 50_000 + "you idiot " + "word " * 50_000, ["insult+target"])])
 def test_clauses(text, kinds):
     assert label(text) == kinds
 

@@ -160,20 +160,18 @@ def scan(docs: DataFrame, least: float = LEAST, texts: dict[str, list[str]] = TE
     template (the licence's best), score.
 
     Size bounds: two sets reach a Dice coefficient d only if the smaller has at least d / (2 - d) times the larger's size.
-    Before a unit is split into words its characters are bounded too: at least two for each word, and at most four times
-    the longest template's in the same proportion; longer units (most whole documents) match nothing. The sizes also say how many
+    Before a unit is split into words its characters are bounded from below: at least two for each word. Bigrams are
+    distinct, so a very long unit that repeats a licence or pads it matches like the licence itself. The sizes also say how many
     bigrams a match shares at least, so texts without any of a few words (see :func:`cue_words`) are left out first. Null and empty texts have no unit that matches. Repeated rows give repeated matches; of templates
     of one licence with equal scores the first counts. Other columns are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     known = [(r.template, r.license, list(r.grams)) for r in templates(spark, texts).collect()]
     sizes = [len(g) for _, _, g in known]
-    longest = max(len(t) for all_ in texts.values() for t in all_)
     ratio = least / (2.0 - least) * (1 - 1e-9)  # a size at the bound stays
     cues = cue_words([g for _, _, g in known], least)
     rows = units(docs.where(has_any(F.col("text"), cues)).select(wrapped(docs, columns), "text"))
-    plausible = rows.where(F.length("text").between(int(2 * ratio * min(sizes) - 1), int(4 * longest / ratio))).where(
-        has_any(F.col("text"), cues))
+    plausible = rows.where(F.length("text") >= int(2 * ratio * min(sizes) - 1)).where(has_any(F.col("text"), cues))
     grams = plausible.select("row", "unit", "place", F.monotonically_increasing_id().alias("id"),
                              bigrams_of(F.col("text")).alias("grams"))
     # The generator comes first, so that the bigrams are made once; the size is counted from its rows' array.

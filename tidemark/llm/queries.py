@@ -139,20 +139,34 @@ def _identifier(parts: str) -> str:
         f"substring({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
 
 
-def _named_sql(text: str) -> str:
-    for name, char in warc.NAMED:
-        text = "replace({}, '{}', '{}')".format(text, name, char.replace("'", "''"))
-    return text
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+NAMES_SQL = "map {" + ", ".join(f"{_quoted(n)}: {_quoted(c)}" for n, c in warc.NAMES.items()) + "}"
+WINDOWS_SQL = "map {" + ", ".join(f"{n}: {_quoted(c)}" for n, c in warc.WINDOWS.items()) + "}"
+
+
+def _characters_sql(text: str) -> str:
+    name = f"regexp_extract(p, '{warc.REFERENCE}', 1)"
+    number = f"(case when lower({name}[2:2]) = 'x' then cast('0x' || {name}[3:] as int) else cast({name}[2:] as int) end)"
+    char = (f"case when {name} = '' then null when {name}[1:1] <> '#' then {NAMES_SQL}[{name}] "
+            f"when {number} = 0 or {number} between 55296 and 57343 or {number} > 1114111 then '{warc.UNKNOWN}' "
+            f"when {number} between 128 and 159 then {WINDOWS_SQL}[{number}] when {number} in {warc.SPACES} then ' ' else chr({number}) end")
+    return (f"(string_split({text}, '&')[1] || array_to_string(list_transform(string_split({text}, '&')[2:], "
+            f"lambda p: coalesce(({char}) || p[length({name}) + 2:], '&' || p)), ''))")
 
 
 def _plain_sql(html: str) -> str:
-    out = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
-    for name in warc.HIDDEN:
-        out = f"regexp_replace({out}, '(?is)<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>', '', 'g')"
+    hidden = "|".join(f"<{name}(?:\\s[^>]*)?>.*?</{name}\\s*>" for name in warc.HIDDEN)
+    out = f"regexp_replace({html}, '(?is)<!--.*?-->|{hidden}', '', 'g')"
     out = f"regexp_replace({out}, '[\r\n]+', ' ', 'g')"
     out = f"regexp_replace({out}, '(?i)</?(?:{'|'.join(warc.BREAKS)})(?:\\s[^>]*)?/?>', chr(10), 'g')"
-    out = f"regexp_replace({out}, '<[A-Za-z/!?][^>]*>', '', 'g')"
-    out = f"regexp_replace({_named_sql(out)}, '[ \t\r\f\x0B]+', ' ', 'g')"
+    return f"regexp_replace({out}, '<[A-Za-z/!?][^>]*>', '', 'g')"
+
+
+def _folded_sql(text: str) -> str:
+    out = f"regexp_replace({text}, '[ \t\r\f\x0B]+', ' ', 'g')"
     return f"trim(trim(regexp_replace({out}, ' ?\n[ \n]*', chr(10), 'g'), chr(10)))"
 
 
@@ -166,11 +180,14 @@ with captured as (
     'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
       || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) as http
   from pages),
-plain as (
-  select *, {_plain_sql("html")} as plain,
-    trim({_named_sql(TITLE_SQL)}) as title,
-    regexp_extract_all(html, '(?i)<a [^>]*href=["'']([^"''<>]+)["'']', 1) as links
+bare as (
+  select *, {_plain_sql("html")} as bare, {TITLE_SQL} as bare_title,
+    list_transform(regexp_extract_all(html, {_quoted(warc.LINK)}, 1), lambda x: regexp_replace(x, '^["'']|["'']$', '', 'g')) as raw_links
   from captured),
+plain as (
+  select *, {_folded_sql(_characters_sql("bare"))} as plain, trim({_characters_sql("bare_title")}) as title,
+    list_transform(raw_links, lambda x: {_characters_sql("x")}) as links
+  from bare),
 linked as (
   select *, coalesce((select string_agg('outlink: ' || l || chr(13) || chr(10), '' order by first) from (
       select l, min(i) as first from (select unnest(links) as l, generate_subscripts(links, 1) as i) group by l)), '') as out

@@ -160,11 +160,22 @@ class Scanner:
                     continue
                 if first not in best or strength > best[first][0]:
                     best[first] = (strength, symbol, last + 1)
+        if not best:
+            return sums
+        # Words and clause ends of the whole text, each looked for once.
+        words = [m.span() for m in WORD.finditer(text)]
+        starts, stops = [a for a, _ in words], [b for _, b in words]
+        ends = [m.start() for m in CLAUSE_END.finditer(text)]
         for first, (strength, symbol, end) in best.items():
             while end < len(text) and text[end].isalpha():
                 end += 1
-            left = CLAUSE_END.split(text[max(0, first - 200):first])[-1]
-            right = CLAUSE_END.split(text[end:end + 100], maxsplit=1)[0]
+            clause = bisect_left(ends, first)
+            begin = ends[clause - 1] + 1 if clause else 0
+            word = bisect_left(starts, first)
+            left = text[max(begin, starts[max(0, word - LEFT_WORDS - 1)] if word else 0):first]
+            clause = bisect_left(ends, end)
+            word = bisect_left(stops, end) + RIGHT_WORDS + 1
+            right = text[end:min(ends[clause] if clause < len(ends) else len(text), stops[word] if word < len(stops) else len(text))]
             before = [self.symbols.get(w, OTHER) for w in WORD.findall(left)[-LEFT_WORDS:]]
             after = [self.symbols.get(w, OTHER) for w in WORD.findall(right)[:RIGHT_WORDS]]
             sums[self.kind[self.machine.read([*before, symbol, *after])]] += strength

@@ -38,7 +38,9 @@ def path_of(url: Column) -> Column:
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """Rules (host, path, verdict) as a table."""
-    return spark.createDataFrame(rules, "host string, path string, verdict string")
+    rows = [F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(("host", "path", "verdict"), rule)]) for rule in rules]
+    kind = "array<struct<host:string,path:string,verdict:string>>"
+    return spark.range(1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def _key(host: Column, path: Column) -> Column:
