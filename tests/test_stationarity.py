@@ -15,10 +15,10 @@ def frame(spark, **series):
     return spark.createDataFrame(rows, "series_id string, date date, total_units double")
 
 
-def brute_adf(x):
+def brute_adf(x, most=None):
     """The test written out regression by regression."""
     x = np.asarray(x, float)
-    d, most = np.diff(x), math.ceil(12 * (len(x) / 100) ** 0.25)
+    d, most = np.diff(x), math.ceil(12 * (len(x) / 100) ** 0.25) if most is None else most
 
     def fit(lags, start):
         y = d[start:]
@@ -54,6 +54,23 @@ def test_adf(spark):
     assert got["noise"]["crit_5"] == pytest.approx(-2.87, abs=0.01)
 
 
+def test_adf_of_many_short_and_odd_series(spark):
+    """Against the regressions written out, where the first and last days overlap, and without a crash elsewhere."""
+    rng = np.random.default_rng(11)
+    many = {f"s{n}": np.cumsum(rng.normal(size=n)) + 100 for n in (12, 19, 33, 60, 141)}
+    odd = {"one": [5], "two": [5, 6], "trend": np.arange(50), "flips": [1, 2] * 30, "gap": [0] * 30 + [4] + [0] * 30}
+    got = {r["series_id"]: r for r in st.adf_test(frame(spark, **many, **odd), max_lag=3).collect()}
+    assert set(got) == set(many) | set(odd)
+    for name, x in many.items():
+        stat, lag, n = brute_adf(x, 3)
+        assert got[name]["stat"] == pytest.approx(stat, rel=1e-6)
+        assert (got[name]["used_lag"], got[name]["n_obs"]) == (lag, n)
+    assert all(got[k]["stat"] is None for k in ("one", "two", "trend", "flips"))
+    fixed = st.adf_test(frame(spark, **many), max_lag=2, fixed=True).collect()
+    assert {r["used_lag"] for r in fixed} == {2}
+    assert st.adf_test(frame(spark, **many).limit(0)).count() == 0
+
+
 def test_adf_p_values_agree_with_the_critical_values():
     for stat, p in ((-3.43035, 0.01), (-2.86154, 0.05), (-2.56677, 0.10)):
         assert st._adf_p(stat) == pytest.approx(p, abs=0.002)

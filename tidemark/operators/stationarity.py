@@ -15,6 +15,7 @@ from tidemark.operators.series import by_day, first_difference
 ship_with_tasks(__name__)
 
 Z95 = 1.959963984540054
+TOGETHER = 512  # series whose regressions are solved side by side
 
 # Critical values of the test with a constant, one variable
 # (response surface b0 + b1/n + b2/n^2 + b3/n^3, MacKinnon 2010).
@@ -80,58 +81,151 @@ def pacf(series: DataFrame, name: str = "total_units", max_lag: int = 40) -> Dat
         F.when(F.col("lag") > 0, Z95 / F.sqrt("n")).otherwise(0.0).alias("band"))
 
 
-def series_arrays(series: DataFrame, name: str) -> DataFrame:
-    """One row per series with its values in day order: as long as the calendar, no longer."""
-    pairs = F.array_sort(F.collect_list(F.struct("date", F.col(name).cast("double").alias("v"))))
-    return series.groupBy("series_id").agg(F.transform(pairs, lambda p: p["v"]).alias("values"))
-
-
-def adf_test(series: DataFrame, name: str = "total_units", max_lag: int | None = None) -> DataFrame:
-    """Augmented Dickey-Fuller test with a constant, the number of lags chosen by AIC up to
-    ``max_lag`` (by default a bound that grows with the length of the series)."""
-    def test(batches):
-        for batch in batches:
-            rows = [_adf(np.asarray(v, dtype=float), max_lag) for v in batch["values"]]
-            yield pd.concat([batch[["series_id"]].reset_index(drop=True), pd.DataFrame(rows)], axis=1)
-
-    return series_arrays(series, name).mapInPandas(test, ADF_SCHEMA)
-
-
-def _adf(x: np.ndarray, max_lag: int | None = None) -> dict:
-    empty = dict.fromkeys(["stat", "pvalue", "used_lag", "n_obs", *ADF_CRITICAL, "stationary"])
-    n = len(x)
-    most = min(math.ceil(12 * (n / 100) ** 0.25) if max_lag is None else max_lag, n // 2 - 2)
-    if most < 0 or np.ptp(x) == 0:
-        return empty
-    step = np.diff(x)
-
-    def sample(lags: int, first: int):
-        shifted = [step[first - k:len(step) - k] for k in range(1, lags + 1)]
-        return np.column_stack([np.ones(len(step) - first), x[first:-1], *shifted]), step[first:]
-
-    # All nested lag choices at once: the tail of the rotated target holds each residual sum.
-    design, target = sample(most, most)
-    size = len(target)
-    rotated = np.linalg.qr(np.column_stack([design, target]), mode="r")[:, -1]
-    left = np.cumsum((rotated ** 2)[::-1])[::-1]
-    with np.errstate(divide="ignore"):
-        aic = [size * np.log(left[2 + k] / size) + 2 * (2 + k) for k in range(most + 1)]
-    lag = int(np.argmin(aic))
-
-    design, target = sample(lag, lag)
-    inverse = np.linalg.pinv(design.T @ design)
-    beta = inverse @ design.T @ target
-    error = target - design @ beta
-    variance = error @ error / max(len(target) - design.shape[1], 1)
-    spread = math.sqrt(variance * inverse[1, 1])
-    if not spread > 0:
-        return empty
-    stat = float(beta[1] / spread)
-    size = len(target)
-    crit = {k: sum(b / size ** i for i, b in enumerate(bs)) for k, bs in ADF_CRITICAL.items()}
-    p = _adf_p(stat)
-    return {"stat": stat, "pvalue": p, "used_lag": lag, "n_obs": size, **crit,
-            "stationary": p < 0.05 and stat < crit["crit_5"]}
+def longest_lag(days: int) -> int:
+    """Most lags of the unit-root test for a series of so many days."""
+    return math.ceil(12 * (days / 100) ** 0.25)
+
+
+def adf_sums(series: DataFrame, name: str, most: int) -> DataFrame:
+    """What the unit-root test reads of a series, one row each: with ``d`` the steps between days and ``v`` the level
+    before a step, the sums of ``d`` and ``v``, of ``d[t] d[t-k]`` and ``v[t] d[t-k]`` for k = 0..``most``, and the
+    first and last ``most`` steps. Every cross product of a lagged regression follows from these (:func:`lag_matrix`).
+    Lags are shifted columns of one ordered pass, sums one aggregation; the level is centred to keep digits."""
+    by, lags = "series_id", range(1, most + 1)
+    centred = series.filter(F.col(name).isNotNull()).selectExpr("series_id", "date", f"{centre(name, by)} as _c")
+    steps = centred.selectExpr("series_id", "date", *lag_columns("_c", [1], by), "_c").selectExpr(
+        "series_id", "date", "_c_1 as v", "_c - _c_1 as d",
+        f"row_number() over (partition by {by} order by date) - 2 as j", f"count(1) over (partition by {by}) - 1 as steps")
+    shifted = steps.selectExpr("series_id", "j", "steps", "v", "d", "d as d_0", *lag_columns("d", lags, by))
+    products = {w: ", ".join(f"coalesce(sum({w} * d_{k}), 0D)" for k in range(most + 1)) for w in "dv"}
+    edge = f"j >= 0 and (j < {most} or j >= steps - {most})"
+    return shifted.groupBy("series_id").agg(
+        F.expr("max(steps) as steps"), F.expr("coalesce(sum(d), 0D) as d"), F.expr("coalesce(sum(v), 0D) as v"),
+        F.expr("coalesce(sum(v * v), 0D) as vv"), F.expr(f"array({products['d']}) as dd"), F.expr(f"array({products['v']}) as vd"),
+        F.expr(f"collect_list(struct(j, v, d)) filter (where {edge}) as edges"))
+
+
+def adf_test(series: DataFrame, name: str = "total_units", max_lag: int | None = None, fixed: bool = False) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant, the number of lags chosen by AIC up to ``max_lag`` (by default a
+    bound that grows with the length of the series), or ``max_lag`` itself if it is ``fixed``.
+
+    The regressions run on sums (:func:`adf_sums`): a task sees some 100 numbers a series. A series that is constant,
+    too short or perfectly explained by its lags has no statistic; days without a value are passed over. The longest series is one number for the driver."""
+    if max_lag is None:
+        days = series.groupBy("series_id").count().agg(F.max("count")).first()[0]
+        most = longest_lag(days or 0)
+    else:
+        most = max_lag
+    return adf_sums(series, name, most).mapInPandas(lambda batches: _adf_batches(batches, most, max_lag, fixed), ADF_SCHEMA)
+
+
+def _adf_batches(batches, most: int, max_lag: int | None, fixed: bool):
+    for batch in batches:
+        for first in range(0, len(batch), TOGETHER):
+            yield _adf(batch.iloc[first:first + TOGETHER], most, max_lag, fixed)
+
+
+def _adf(rows: pd.DataFrame, most: int, max_lag: int | None, fixed: bool) -> pd.DataFrame:
+    steps = rows["steps"].to_numpy()
+    bound = np.array([longest_lag(n + 1) if max_lag is None else max_lag for n in steps])
+    lags = np.minimum(bound, (steps + 1) // 2 - 2)
+    sums = {c: np.array(rows[c].to_list(), float) for c in ("d", "v", "vv", "dd", "vd")}
+    used = (lags >= 0) & (sums["dd"][:, 0] > 0)
+    head_d, head_v, tail = np.zeros((3, len(rows), most))
+    for i, edges in enumerate(rows["edges"]):
+        for edge in edges if edges is not None else ():
+            j = edge["j"]
+            if j < most:
+                head_d[i, j], head_v[i, j] = edge["d"], edge["v"]
+            if j >= steps[i] - most:
+                tail[i, j - steps[i]] = edge["d"]
+    lags = np.where(used, lags, 0)
+    if not fixed:
+        left = eliminate(*lag_matrix(sums, head_d, head_v, tail, steps, lags, most), 2 + lags)[1]
+        size = np.maximum(steps - lags, 1)[:, None]
+        k = np.arange(most + 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            aic = size * np.log(left[:, 2:] / size) + 2 * (2 + k)
+        used &= np.isfinite(np.where(k <= lags[:, None], aic, 0.0)).all(axis=1)
+        lags = np.argmin(np.where((k <= lags[:, None]) & used[:, None], aic, np.inf), axis=1)
+    matrix, scale = lag_matrix(sums, head_d, head_v, tail, steps, lags, most)
+    swept, left = eliminate(matrix, scale, 2 + lags)
+    size = steps - lags
+    variance = left[np.arange(len(rows)), 2 + lags] / np.maximum(size - 2 - lags, 1)
+    spread = np.sqrt(variance * swept[:, 1, 1])  # coefficient and error share the unit of the level
+    used &= spread > 0
+    out = []
+    for i, name in enumerate(rows["series_id"]):
+        if not used[i]:
+            out.append({"series_id": name})
+            continue
+        stat = float(swept[i, 1, -1] * scale[i, -1] / spread[i])
+        crit = {c: sum(b / size[i] ** k for k, b in enumerate(bs)) for c, bs in ADF_CRITICAL.items()}
+        p = _adf_p(stat)
+        out.append({"series_id": name, "stat": stat, "pvalue": p, "used_lag": int(lags[i]), "n_obs": int(size[i]), **crit,
+                    "stationary": p < 0.05 and stat < crit["crit_5"]})
+    names = [c.split(" ")[0] for c in ADF_SCHEMA.split(", ")]
+    return pd.DataFrame(out, columns=names).astype({"used_lag": "Int32", "n_obs": "Int32", "stationary": "boolean"})
+
+
+def lag_matrix(sums: dict, head_d: np.ndarray, head_v: np.ndarray, tail: np.ndarray, steps: np.ndarray, first: np.ndarray,
+               most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cross products of (1, v, d lagged by 1..``most``, d) over the steps from ``first`` on, one matrix a series, scaled to a
+    unit diagonal, and the scale. Products of whole series lose the steps before ``first``; moving both factors one step back
+    adds the product in front of the sample and takes the last one. Lags beyond ``first`` are not meaningful."""
+    n, cols = len(steps), most + 3
+    at = np.arange(most)
+    before = at < first[:, None]
+    d, v = np.where(before, head_d, 0.0), np.where(before, head_v, 0.0)
+    out = np.zeros((n, cols, cols))
+    # Place of the step lagged by k: the target (lag 0) is the last column.
+    place = np.array([cols - 1, *range(2, cols - 1)])
+    lagged = np.zeros((n, most + 1, most + 1))
+    ones, level = np.zeros((2, n, most + 1))
+    for k in range(most + 1):
+        lagged[:, 0, k] = sums["dd"][:, k] - (d[:, k:] * d[:, :most - k]).sum(axis=1)
+        level[:, k] = sums["vd"][:, k] - (v[:, k:] * d[:, :most - k]).sum(axis=1)
+    ones[:, 0] = sums["d"] - d.sum(axis=1)
+    rows = np.arange(n)[:, None]
+    reach = first[:, None] - 1 - at
+    front = np.where(reach >= 0, head_d[rows, np.maximum(reach, 0)], 0.0) if most else np.zeros((n, 0))
+    back = tail[:, ::-1]
+    for a in range(most):
+        ones[:, a + 1] = ones[:, a] + front[:, a] - back[:, a]
+        lagged[:, a + 1, a + 1:] = lagged[:, a, a:-1] + front[:, a, None] * front[:, a:] - back[:, a, None] * back[:, a:]
+    lagged = np.triu(lagged) + np.transpose(np.triu(lagged, 1), (0, 2, 1))
+    out[:, place[:, None], place[None, :]] = lagged
+    out[:, 0, 0] = np.maximum(steps - first, 1)
+    out[:, 0, 1] = out[:, 1, 0] = sums["v"] - v.sum(axis=1)
+    out[:, 1, 1] = sums["vv"] - (v * v).sum(axis=1)
+    out[:, 0, place] = out[:, place, 0] = ones
+    out[:, 1, place] = out[:, place, 1] = level
+    scale = np.sqrt(np.maximum(np.diagonal(out, axis1=1, axis2=2), 0.0))
+    scale = np.where(scale > 0, scale, 1.0)
+    return out / (scale[:, :, None] * scale[:, None, :]), scale
+
+
+def eliminate(matrix: np.ndarray, scale: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Regress the last column on the first ``columns`` ones, adding one column at a time to the normal equations. Returns
+    the swept matrices (inverse, last column: coefficients) and, in units of the data, the sum of squares left after each
+    column. A column that depends on earlier ones is passed over; what is left of a perfect fit is 0."""
+    matrix = matrix.copy()
+    most = matrix.shape[1] - 1
+    left = np.zeros((len(matrix), most + 1))
+    left[:, 0] = matrix[:, -1, -1]
+    for k in range(most):
+        pivot = matrix[:, k, k]
+        used = (k < columns) & (pivot > 1e-11)
+        pivot = np.where(used, pivot, 1.0)
+        row, column = matrix[:, k, :] / pivot[:, None], matrix[:, :, k].copy()
+        swept = matrix - column[:, :, None] * row[:, None, :]
+        swept[:, k, :] = row
+        swept[:, :, k] = -column / pivot[:, None]
+        swept[:, k, k] = 1 / pivot
+        matrix = np.where(used[:, None, None], swept, matrix)
+        rest = matrix[:, -1, -1]
+        left[:, k + 1] = np.where(rest > 1e-12, rest, 0.0)
+    return matrix, left * scale[:, -1:] ** 2
 
 
 def _adf_p(stat: float) -> float:
