@@ -1,7 +1,7 @@
-"""Nonlinear model: boosted trees on pooled windows, one per day of the output block.
+"""Nonlinear model: boosted trees on pooled windows, one ensemble per day of the output block.
 
-All series are trained together and forecast together; the only loop on the driver runs over
-blocks of the horizon, never over series or rows.
+All series are trained together. They are forecast side by side inside one Arrow map: the fitted trees are flat arrays
+there, and neither the driver nor a checkpoint takes part in the steps of the horizon.
 """
 
 from __future__ import annotations
@@ -9,26 +9,36 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tidemark.operators.features import (apply_scaler, feature_columns, fit_minmax, future_features, input_windows,
-                                         invert_scaler, last_rows, seed_statistics, supervised_windows,
-                                         validation_split)
+from tidemark.functions.shipping import ship_with_tasks
+from tidemark.operators.features import (apply_scaler, feature_columns, fit_minmax, future_features, last_rows,
+                                         seed_statistics, supervised_windows, validation_split)
+from tidemark.operators.linear import TOGETHER, by_series, numbers, whole_series
 from tidemark.operators.series import by_day
+from tidemark.operators.trees import NODE_SCHEMA, follow_blocks, forests, nodes_of
 from tidemark.schema import N_IN, N_OUT
-from tidemark.session import ensure_checkpoint_dir
-from tidemark.sources.registry import load_models, save_models, save_table
+from tidemark.sources.registry import save_table
+
+ship_with_tasks(__name__)
+
+WINDOWS = 4_096  # windows of a series that are spread out at once
+FORECAST_SCHEMA = "series_id string, date date, predicted_units double"
 
 
 @dataclass
 class NonlinearModel:
+    """``trees`` has a row per node (:mod:`tidemark.operators.trees`), ``scaler`` a row per series."""
+
     target: str
-    steps: list[PipelineModel]
+    trees: pd.DataFrame
     scaler: DataFrame
     n_in: int = N_IN
 
@@ -37,12 +47,14 @@ class NonlinearModel:
         return feature_columns(self.target)
 
     def save(self, folder: str) -> None:
-        save_models(self.steps, f"{folder}/steps")
+        save_table(self.scaler.sparkSession.createDataFrame(self.trees, NODE_SCHEMA), f"{folder}/trees")
         save_table(self.scaler, f"{folder}/scaler")
 
     @classmethod
-    def load(cls, spark: SparkSession, folder: str, target: str, n_out: int = N_OUT) -> "NonlinearModel":
-        return cls(target, load_models(f"{folder}/steps", n_out), spark.read.parquet(f"{folder}/scaler"))
+    def load(cls, spark: SparkSession, folder: str, target: str) -> "NonlinearModel":
+        # Nodes: at most output steps x rounds x 2^(depth + 1) rows.
+        trees = spark.read.parquet(f"{folder}/trees").toPandas()
+        return cls(target, trees, spark.read.parquet(f"{folder}/scaler"))
 
 
 def as_vector(windows: DataFrame) -> DataFrame:
@@ -65,90 +77,113 @@ def fit_nonlinear(daily: DataFrame, target: str = "total_units", n_in: int = N_I
         if data.filter("is_val").isEmpty():
             raise ValueError("too few windows to train the nonlinear model")
 
-        def fit(k: int) -> PipelineModel:
-            trees = GBTRegressor(labelCol=f"y{k}", predictionCol=f"p{k}", validationIndicatorCol="is_val",
-                                 maxIter=rounds, maxDepth=depth, seed=seed)
-            return Pipeline(stages=[trees]).fit(data)
+        def fit(k: int) -> pd.DataFrame:
+            trees = GBTRegressor(labelCol=f"y{k}", validationIndicatorCol="is_val", maxIter=rounds, maxDepth=depth, seed=seed)
+            return nodes_of(trees.fit(data).toDebugString, k)
 
         with ThreadPoolExecutor(parallel) as pool:
             steps = list(pool.map(inheritable_thread_target(daily.sparkSession)(fit), range(n_out)))
     finally:
         data.unpersist()
-    return NonlinearModel(target, steps, scaler, n_in)
+    return NonlinearModel(target, pd.concat(steps, ignore_index=True), scaler, n_in)
+
+
+def _scaled(model: NonlinearModel, rows: DataFrame, columns: list[str], ahead: bool) -> DataFrame:
+    """Scaled columns, as many as the model has, next to what brings the target back to its unit."""
+    of_target = [F.col(f"scaler.{model.target}.{part}").alias(part) for part in ("shift", "scale")]
+    scaled = [((F.col(c).cast("double") - F.col(f"scaler.{c}.shift")) / F.col(f"scaler.{c}.scale")
+               if c in columns else F.lit(None).cast("double")).alias(f"c{k}") for k, c in enumerate(model.columns)]
+    return rows.select("series_id", "date", *columns).join(model.scaler, "series_id").select(
+        "series_id", "date", F.lit(ahead).alias("ahead"), *of_target, *scaled)
+
+
+def _forecast_rows(name: str, dates, values: np.ndarray, rows: pa.Table) -> pa.RecordBatch:
+    shift, scale = (numbers(rows, c)[0] for c in ("shift", "scale"))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name] * len(values), pa.string()), dates.combine_chunks(), pa.array(values * scale + shift, from_pandas=True)],
+        names=["series_id", "date", "predicted_units"])
 
 
 def predict_one_step(model: NonlinearModel, daily: DataFrame) -> DataFrame:
     """For every day with a full window before it, the next-day prediction in original units."""
-    scaled = apply_scaler(daily.select("series_id", "date", *model.columns), model.scaler, model.columns)
-    windows = as_vector(input_windows(scaled, model.columns, model.n_in))
-    predicted = model.steps[0].transform(windows).select("series_id", "date", "p0")
-    return predicted.join(model.scaler, "series_id").select(
-        "series_id", "date", invert_scaler(F.col("p0"), model.target).alias("predicted_units"))
+    n_in, names = model.n_in, [f"c{k}" for k in range(len(model.columns))]
+    nodes = model.trees[model.trees["step"] == 0]
+
+    def run(batches):
+        step = forests(nodes)[0]
+        for name, rows in whole_series(batches):
+            days = np.column_stack([numbers(rows, c) for c in names])
+            windows = np.lib.stride_tricks.sliding_window_view(days, n_in, axis=0)[:-1] if len(days) > n_in else ()
+            for first in range(0, len(windows), WINDOWS):
+                part = windows[first:first + WINDOWS]
+                values = step(part.transpose(0, 2, 1).reshape(len(part), -1))
+                yield _forecast_rows(name, rows.column("date").slice(n_in + first, len(part)), values, rows)
+
+    scaled = _scaled(model, daily, model.columns, False)
+    return by_series(scaled, "date").mapInArrow(run, FORECAST_SCHEMA)
 
 
-def roll_forward(model: NonlinearModel, seed: DataFrame, future: DataFrame, days: int,
-                 block: int | None = None, cut_every: int = 4) -> DataFrame:
+def roll_forward(model: NonlinearModel, seed: DataFrame, future: DataFrame, days: int | None = None,
+                 block: int | None = None) -> DataFrame:
     """Forecast block by block, each predicted target entering the next window.
 
-    ``seed`` holds the last days of each series, ``future`` the regressors of the coming ones.
-    The state is one row per series, so a block is a map over series without any shuffle; a
-    reliable checkpoint every few blocks keeps the plan short.
+    ``seed`` holds the last days of each series, ``future`` the regressors of the coming ones, of which the first ``days``
+    are forecast (all by default). Seed and coming days of a series meet in one task, which steps through the horizon
+    of many series side by side; a series is as long as its horizon.
     """
-    spark = seed.sparkSession
-    ensure_checkpoint_dir(spark)
-    block = block or len(model.steps)
-    regressors = model.columns[1:]
-
-    def packed(rows: DataFrame, columns: list[str]):
-        day = F.struct("date", F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
-        return rows.groupBy("series_id").agg(F.array_sort(F.collect_list(day)).alias("d"))
-
-    scaled_seed = apply_scaler(seed.select("series_id", "date", *model.columns), model.scaler, model.columns)
-    scaled_future = apply_scaler(future.select("series_id", "date", *regressors), model.scaler, regressors)
-    start = packed(scaled_seed, model.columns).select("series_id", F.transform("d", lambda d: d["v"]).alias("x"))
-    coming = packed(scaled_future, regressors).select(
-        "series_id", F.transform("d", lambda d: d["date"]).alias("days"),
-        F.transform("d", lambda d: d["v"]).alias("z"))
-    state = (start.filter(F.size("x") == model.n_in).join(coming, "series_id")
-             .withColumn("done", F.array().cast("array<double>")))
-
-    for number, first in enumerate(range(0, days, block)):
-        length = min(block, days - first)
-        state = as_vector(state)
-        for step in model.steps[:length]:
-            state = step.transform(state)
-        guess = F.array(*[F.col(f"p{k}") for k in range(length)])
-        # A series with a shorter horizon repeats its last regressors; those days are dropped below.
-        added = F.zip_with(guess, F.slice("z", first + 1, length), lambda y, z: F.concat(
-            F.array(y), F.coalesce(z, F.element_at("z", -1))))
-        state = state.select(
-            "series_id", F.slice(F.concat("x", added), -model.n_in, model.n_in).alias("x"),
-            "days", "z", F.concat("done", guess).alias("done"))
-        if (number + 1) % cut_every == 0 and first + length < days:
-            state = state.checkpoint()
-
-    long = state.select("series_id", F.explode(F.arrays_zip(
-        F.slice("days", 1, days).alias("date"), F.col("done").alias("y"))).alias("r"))
-    followed = long.filter("r.date is not null").join(model.scaler, "series_id").select(
-        "series_id", F.col("r.date").alias("date"),
-        invert_scaler(F.col("r.y"), model.target).alias("predicted_units"))
+    n_in, names = model.n_in, [f"c{k}" for k in range(len(model.columns))]
+    nodes = model.trees
+
+    def run(batches):
+        steps = forests(nodes)
+        length = block or len(steps)
+        held, size = [], 0
+
+        def followed():
+            longest = max(len(coming) for _, _, _, coming in held)
+            # A shorter horizon is filled up; days that are filled come behind all that count.
+            coming = np.stack([np.pad(c, ((0, longest - len(c)), (0, 0)), mode="edge") for _, _, _, c in held])
+            values = follow_blocks(np.stack([h[2] for h in held]), coming, steps, length)
+            for (name, rows, _, coming), row in zip(held, values):
+                yield _forecast_rows(name, rows.column("date").slice(n_in, len(coming)), row[:len(coming)], rows)
+
+        for name, rows in whole_series(batches):
+            known = int((~rows.column("ahead").to_numpy()).sum())
+            if known != n_in or rows.num_rows == known:
+                continue
+            if days is not None:
+                rows = rows.slice(0, n_in + days)
+            x = np.column_stack([numbers(rows, c) for c in names])
+            held.append((name, rows, x[:n_in], x[n_in:, 1:]))
+            size += len(x)
+            if len(held) >= TOGETHER or size >= WINDOWS * TOGETHER:
+                yield from followed()
+                held.clear()
+                size = 0
+        if held:
+            yield from followed()
+
+    rows = _scaled(model, seed, model.columns, False).unionByName(_scaled(model, future, model.columns[1:], True))
+    followed = by_series(rows, "ahead", "date").mapInArrow(run, FORECAST_SCHEMA)
     return followed.unionByName(without_window(model, seed, future, days))
 
 
-def without_window(model: NonlinearModel, seed: DataFrame, future: DataFrame, days: int) -> DataFrame:
+def without_window(model: NonlinearModel, seed: DataFrame, future: DataFrame, days: int | None = None) -> DataFrame:
     """Forecast of the series that the trees cannot follow: fewer days than a window, or unknown to
     the scaler. Their residual is taken to be zero, their units to be the mean of the days they have."""
     known = seed.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.avg(model.target).alias("mean"))
     scaled = model.scaler.select("series_id", F.lit(True).alias("scaled"))
     left = known.join(scaled, "series_id", "left").filter((F.col("n") < model.n_in) | F.col("scaled").isNull())
     value = F.lit(0.0) if model.target == "residuals" else F.col("mean").cast("double")
-    ahead = future.select("series_id", "date").withColumn("_i", F.row_number().over(by_day())).filter(F.col("_i") <= days)
+    ahead = future.select("series_id", "date")
+    if days is not None:
+        ahead = ahead.withColumn("_i", F.row_number().over(by_day())).filter(F.col("_i") <= days)
     return ahead.join(left, "series_id").select("series_id", "date", value.alias("predicted_units"))
 
 
-def forecast_blocks(model: NonlinearModel, train: DataFrame, test: DataFrame, days: int) -> DataFrame:
+def forecast_blocks(model: NonlinearModel, train: DataFrame, test: DataFrame) -> DataFrame:
     """Forecast the days of ``test`` from the end of ``train`` with the regressors of ``test``."""
-    return roll_forward(model, last_rows(train, model.n_in), test, days)
+    return roll_forward(model, last_rows(train, model.n_in), test)
 
 
 def forecast_future(model: NonlinearModel, history: DataFrame, days: int, block: int | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ class Settings:
 
 
 def longest(daily: DataFrame) -> int:
-    """Days of the longest series: one number for the driver loop over the horizon."""
+    """Days of the longest series: one number for the run record."""
     return daily.groupBy("series_id").count().agg(F.max("count")).first()[0]
 
 
@@ -45,7 +45,6 @@ def train_hybrid(train: DataFrame, test: DataFrame, folder: str, settings: Setti
     test = save_table(test, f"{folder}/series/test")
     validate_length(train, test)
     save_table(short_series(train, MIN_TRAIN), f"{folder}/short_series")
-    days = longest(test)
 
     coefficients = save_table(search_orders(train, grid=settings.grid), f"{folder}/linear")
     run = save_table(run_model(train, coefficients, test.select(*KEY)), f"{folder}/series/linear_run")
@@ -55,10 +54,10 @@ def train_hybrid(train: DataFrame, test: DataFrame, folder: str, settings: Setti
     known = residuals(train, fitted)
     on_residuals = fit_nonlinear(known, "residuals", rounds=settings.rounds, depth=settings.depth, seed=settings.seed)
     on_residuals.save(f"{folder}/nonlinear")
-    residual = forecast_blocks(on_residuals, known, test, days)
+    residual = forecast_blocks(on_residuals, known, test)
 
     alone = fit_nonlinear(train, "total_units", rounds=settings.rounds, depth=settings.depth, seed=settings.seed)
-    units = forecast_blocks(alone, train, test, days)
+    units = forecast_blocks(alone, train, test)
 
     def named(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(*KEY, F.col("predicted_units").alias(name))
@@ -121,7 +120,7 @@ def compare_models(train: DataFrame, test: DataFrame, folder: str, settings: Set
     alone = fit_nonlinear(train, "total_units", rounds=settings.rounds, depth=settings.depth, seed=settings.seed)
     if store_models:
         alone.save(f"{folder}/nonlinear")
-    units = forecast_blocks(alone, train, test, longest(test))
+    units = forecast_blocks(alone, train, test)
     forecasts = linear.select(*KEY, F.col("predicted_units").alias("linear_regressors")).join(
         units.select(*KEY, F.col("predicted_units").alias("nonlinear_only")), KEY)
     forecasts = save_table(align(test.select(*KEY, "total_units"), forecasts), f"{folder}/series/forecasts")

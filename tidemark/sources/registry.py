@@ -1,8 +1,7 @@
-"""Run registry and stored models. All state is Parquet or an MLlib model folder."""
+"""Run registry and stored models. All state is Parquet."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -41,13 +40,3 @@ def save_table(df: DataFrame, folder: str) -> DataFrame:
     """Write and read back: stores fitted coefficients or scalers and cuts the lineage."""
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.parquet(folder)
-
-
-def save_models(models: list[PipelineModel], folder: str) -> None:
-    """One stored pipeline per output step of the nonlinear model."""
-    for step, model in enumerate(models):
-        model.write().overwrite().save(f"{folder}/step={step}")
-
-
-def load_models(folder: str, steps: int) -> list[PipelineModel]:
-    return [PipelineModel.load(f"{folder}/step={step}") for step in range(steps)]
