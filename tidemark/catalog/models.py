@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.base import DEMAND, PART_DEMAND, SKU_DAILY, daily_sql, demand, part_demand, query, sku_daily, total_daily
@@ -13,7 +14,9 @@ from tidemark.operators import nonlinear as nl
 from tidemark.operators.align import residuals
 from tidemark.operators.eda import split_by_date
 from tidemark.operators.evaluate import long_scores, model_metrics
+from tidemark.operators.features import feature_columns, fit_minmax
 from tidemark.operators.series import daily_series
+from tidemark.operators.trees import NODE_COLUMNS
 from tidemark.operators.stationarity import diagnostics, effective_sample
 from tidemark.plans.forecast import forecast_rows
 from tidemark.plans.train import MODELS, Settings, backtest_one_step, longest, train_hybrid, train_with_regressors
@@ -212,6 +215,102 @@ def m09(spark, sf):
     return nl.forecast_future(nl.NonlinearModel.load(spark, f"{folder}/nonlinear", "residuals"), known, 91 * QUARTERS)
 
 
+# A small given model: step k looks at the same weekday of last week, at yesterday, its price and its promotion.
+LAST_WEEK, YESTERDAY, PRICE, PROMO = 0.3512345, 0.5012345, 0.4912345, 0.5
+
+
+def given_trees(target: str, train: DataFrame) -> nl.NonlinearModel:
+    """Three trees a step that are not fitted, with the scaler of the training days."""
+    columns = feature_columns(target)
+
+    def feature(day: int, column: str) -> int:
+        return day * len(columns) + columns.index(column)
+
+    rows = []
+    for k in range(nl.N_OUT):
+        last = nl.N_IN - 1
+        rows += [(k, 0, 1.0, 0, feature(last - 6 + k, target), LAST_WEEK, 1, 2, 0.0), (k, 0, 1.0, 1, -1, 0.0, 1, 1, 0.28),
+                 (k, 0, 1.0, 2, feature(last, target), YESTERDAY, 3, 4, 0.0), (k, 0, 1.0, 3, -1, 0.0, 3, 3, 0.42),
+                 (k, 0, 1.0, 4, -1, 0.0, 4, 4, 0.55),
+                 (k, 1, 0.5, 0, feature(last, "avg_price"), PRICE, 1, 2, 0.0), (k, 1, 0.5, 1, -1, 0.0, 1, 1, -0.06),
+                 (k, 1, 0.5, 2, -1, 0.0, 2, 2, 0.06),
+                 (k, 2, 0.25, 0, feature(last, "promo_any"), PROMO, 1, 2, 0.0), (k, 2, 0.25, 1, -1, 0.0, 1, 1, 0.04 * (k + 1)),
+                 (k, 2, 0.25, 2, -1, 0.0, 2, 2, -0.04)]
+    return nl.NonlinearModel(target, pd.DataFrame(rows, columns=NODE_COLUMNS), fit_minmax(train, columns))
+
+
+def _guess(k: str, x: str, price: str, promo: str) -> str:
+    """The given trees of step ``k`` in SQL; ``x`` is the list of the last 30 scaled targets."""
+    return f"""(case when {x}[24 + {k}] <= {LAST_WEEK} then 0.28 when {x}[30] <= {YESTERDAY} then 0.42 else 0.55 end
+  + 0.5 * case when {price} <= {PRICE} then -0.06 else 0.06 end
+  + 0.25 * case when {promo} <= {PROMO} then 0.04 * ({k} + 1) else -0.04 end)"""
+
+
+def _scaling(known: str, target: str = "total_units") -> str:
+    """Views of the scaled days: ``lim`` has the limits of each series over the view ``known``."""
+    def scaled(column: str, out: str) -> str:
+        return f"(cast({column} as double) - {out}_lo) / {out}_by as {out}"
+
+    limits = ", ".join(f"""cast(min({c}) as double) as {o}_lo,
+  case when max({c}) > min({c}) then cast(max({c}) - min({c}) as double) else 1.0 end as {o}_by"""
+                       for c, o in ((target, "y"), ("avg_price", "price"), ("promo_any", "promo")))
+    return f"""lim as (select series_id, {limits} from {known} group by series_id),
+scaled as (select series_id, date, {scaled(target, "y")}, {scaled("avg_price", "price")}, {scaled("promo_any", "promo")}, y_lo, y_by,
+  row_number() over (partition by series_id order by date) as i from {known} join lim using (series_id)),
+seed as (select series_id, max(date) as hi, list(y order by i)[-30:] as x, arg_max(price, i) as price, arg_max(promo, i) as promo,
+  count(*) as n from scaled group by series_id)"""
+
+
+RECURSIVE = SKU_DAILY.replace("with demand", "with recursive demand", 1)
+BLOCKS = f"""list_transform(range(0, 7), lambda k: {_guess("k", "x", "price", "promo")})"""
+
+
+@query("m08_predict_one_step_given_trees", f"""{SKU_DAILY}, {_scaling("daily")},
+w as (select *, list(y) over s as x, lag(price) over o as price_1, lag(promo) over o as promo_1 from scaled
+  window s as (partition by series_id order by date rows between 30 preceding and 1 preceding), o as (partition by series_id order by date))
+select series_id, date, y_lo + y_by * {_guess("0", "x", "price_1", "promo_1")} as predicted_units from w where len(x) = 30""",
+       dates="date", floats="predicted_units", digits=4)
+def m08_given(spark, sf):
+    """One-step predictions of every brand and day by trees that are not fitted."""
+    daily = sku_daily(spark, sf)
+    return nl.predict_one_step(given_trees("total_units", daily), daily)
+
+
+@query("m07_forecast_blocks_given_trees", f"""{RECURSIVE}, train as (select * from daily where date < date '{SPLIT}'),
+{_scaling("train")},
+test as (select series_id, date, (avg_price - price_lo) / price_by as price, (promo_any - promo_lo) / promo_by as promo,
+  row_number() over (partition by series_id order by date) as i from daily join lim using (series_id) where date >= date '{SPLIT}'),
+rec as (
+  select series_id, 0 as b, x, {BLOCKS} as y from seed where n >= 30
+  union all
+  select series_id, b + 1, x, {BLOCKS} from (select rec.series_id, b, list_concat(rec.x, rec.y)[-30:] as x, test.price, test.promo
+    from rec join test on test.series_id = rec.series_id and test.i = 7 * (b + 1)) as moved)
+select series_id, date, y_lo + y_by * y[(i - 1) % 7 + 1] as predicted_units
+from test join rec using (series_id) join lim using (series_id) where b = (i - 1) // 7""", dates="date", floats="predicted_units", digits=4)
+def m07_given(spark, sf):
+    """The test days of every brand, block after block, by trees that are not fitted."""
+    train, test = split(sku_daily(spark, sf))
+    return nl.forecast_blocks(given_trees("total_units", train), train, test)
+
+
+@query("m09_forecast_future_given_trees", f"""{RECURSIVE}, {_scaling("daily")},
+coming as (select series_id, (cast(avg(promo) > 0.5 as integer) - promo_lo) / promo_by as later from (
+  select series_id, date, promo_any as promo, row_number() over (partition by series_id order by date desc) as r from daily) as d
+  join lim using (series_id) where r <= 30 group by series_id, promo_lo, promo_by),
+rec as (
+  select series_id, 0 as b, x, price, {BLOCKS} as y from seed where n >= 30
+  union all
+  select series_id, b + 1, x, price, {BLOCKS} from (select rec.series_id, b, list_concat(rec.x, rec.y)[-30:] as x, price, later as promo
+    from rec join coming using (series_id) where b < {13 * QUARTERS - 1}) as moved)
+select series_id, cast(hi + cast(7 * b + k as integer) as date) as date, y_lo + y_by * rec.y[k] as predicted_units
+from rec join (select series_id, hi from seed) as s using (series_id) join lim using (series_id), range(1, 8) as r(k)""",
+       dates="date", floats="predicted_units", digits=4)
+def m09_given(spark, sf):
+    """Four quarters past the end of every brand by trees that are not fitted."""
+    daily = sku_daily(spark, sf)
+    return nl.forecast_future(given_trees("total_units", daily), daily, 91 * QUARTERS)
+
+
 @query("m11_hybrid", digits=3)
 def m11(spark, sf):
     forecasts = spark.read.parquet(f"{trained(spark, sf)}/series/forecasts")
