@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from tidemark.sources.registry import current_version
+
 JOBS = Path(__file__).resolve().parents[1] / "jobs"
 
 
@@ -45,7 +47,7 @@ def test_train_forecast_and_predict_per_product(spark, files, monkeypatch):
     models = root / "models"
     start(monkeypatch, "train", "--train", root / "train.csv", "--test", root / "test.csv", "--out", models, "--rounds", 2, "--by", "sku_id")
     assert len(table_of(spark, models / "metrics.csv")) == 3
-    per_series = spark.read.parquet(str(models / "series" / "metrics")).toPandas()
+    per_series = spark.read.parquet(f"{current_version(spark, str(models))}/series/metrics").toPandas()
     assert set(per_series["series_id"]) == {"A", "B", "new"} and len(per_series) == 9
     out = root / "forecast"
     start(monkeypatch, "forecast", "--input", root / "all.csv", "--models", models, "--out", out, "--quarters", 1, "--as-of", "2021-08-10",
@@ -63,7 +65,7 @@ def test_comparison_job(spark, files, monkeypatch):
     out = root / "compare"
     start(monkeypatch, "compare", "--train", root / "train.csv", "--test", root / "test.csv", "--out", out, "--rounds", 2, "--summary")
     assert set(table_of(spark, out / "metrics.csv")["model"]) == {"linear_regressors", "nonlinear_only"}
-    assert "sigma2" in set(table_of(spark, out / "summary.csv")["term"]) and (out / "scaler").exists()
+    assert "sigma2" in set(table_of(spark, out / "summary.csv")["term"]) and current_version(spark, str(out)) != str(out)
 
 
 def test_exploration_takes_the_file_as_it_is(spark, files, monkeypatch):

@@ -3,6 +3,8 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import calendar_features
@@ -11,7 +13,8 @@ from tidemark.operators.features import feature_columns
 from tidemark.plans.forecast import run_forecast
 from tidemark.plans.train import (MODELS, Settings, backtest_one_step, forecast_with_regressors, train, train_hybrid,
                                   train_with_regressors)
-from tidemark.sources.registry import latest_metrics
+from tidemark.operators.trees import Forest, follow_blocks, forests, nodes_of
+from tidemark.sources.registry import commit_version, current_version, latest_metrics, new_version
 from tidemark.sources.sales import read_sales
 
 START = dt.date(2021, 1, 1)
@@ -156,7 +159,7 @@ def test_training_reports_three_models(spark, shop):
     assert all(r["rmse"] > 0 and np.isfinite(r["mape"]) for r in metrics)
     latest = latest_metrics(spark, str(root / "models" / "runs")).first()
     assert latest["train_size"] == 170 and latest["test_size"] == 30 and len(latest["metrics"]) == 6
-    forecasts = spark.read.parquet(str(root / "models" / "series" / "forecasts"))
+    forecasts = spark.read.parquet(f"{current_version(spark, str(root / 'models'))}/series/forecasts")
     assert forecasts.count() == 30 and forecasts.filter("hybrid is null").count() == 0
 
 
@@ -189,8 +192,9 @@ def test_future_forecast(spark, shop):
 
 def test_blocks_of_one_and_seven_agree_on_the_first_day(spark, shop):
     root, _ = shop
-    model = nl.NonlinearModel.load(spark, str(root / "models" / "nonlinear"), "residuals")
-    train_days = spark.read.parquet(str(root / "models" / "series" / "train")).withColumn("residuals", F.lit(1.0))
+    stored = current_version(spark, str(root / "models"))
+    model = nl.NonlinearModel.load(spark, f"{stored}/nonlinear", "residuals")
+    train_days = spark.read.parquet(f"{stored}/series/train").withColumn("residuals", F.lit(1.0))
     assert model.columns == feature_columns("residuals")
     seven = nl.forecast_future(model, train_days, 9).orderBy("date").collect()
     single = nl.forecast_future(model, train_days, 3, block=1).orderBy("date").collect()
@@ -198,6 +202,60 @@ def test_blocks_of_one_and_seven_agree_on_the_first_day(spark, shop):
     assert seven[0]["predicted_units"] == pytest.approx(single[0]["predicted_units"])
 
 
+def test_a_training_that_dies_leaves_the_last_models(spark, shop, monkeypatch):
+    root, _ = shop
+    folder, files = str(root / "models"), [str(root / f"{part}.csv") for part in ("train", "test")]
+    before, version = backtest_one_step(read_sales(spark, files[0]), folder).collect(), current_version(spark, folder)
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("executors lost")
+
+    monkeypatch.setattr("tidemark.plans.train.fit_nonlinear", dies)
+    with pytest.raises(RuntimeError):
+        train(spark, *files, folder, "run-2", "2024-01-02 00:00:00", Settings(rounds=2, depth=2, grid=ln.Grid.plain()))
+    assert current_version(spark, folder) == version
+    assert sorted(backtest_one_step(read_sales(spark, files[0]), folder).collect()) == sorted(before)
+    assert latest_metrics(spark, f"{folder}/runs").first()["run_id"] == "run-1"
+
+
+def test_the_version_committed_last_is_read(spark, tmp_path):
+    folder = str(tmp_path / "store")
+    assert current_version(spark, folder) == folder
+    versions = [new_version(folder) for _ in range(3)]
+    for version in versions[:2]:
+        commit_version(spark, version)
+        assert current_version(spark, folder) == version
+
+
+def test_flat_trees_predict_what_the_fitted_trees_do(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 5))
+    y = np.where(x[:, 1] > 0, x[:, 0], -x[:, 3]) + 0.1 * x[:, 4]
+    data = spark.createDataFrame([(Vectors.dense(row.tolist()), float(v)) for row, v in zip(x, y)], ["features", "y"])
+    fitted = GBTRegressor(labelCol="y", maxIter=6, maxDepth=4, seed=1).fit(data)
+    want = [r["prediction"] for r in fitted.transform(data).collect()]
+    nodes = nodes_of(fitted.toDebugString, 0)
+    assert nodes["tree"].nunique() == 6 and (nodes["feature"] < 0).sum() == sum(t.numNodes // 2 + 1 for t in fitted.trees)
+    assert Forest(nodes)(x) == pytest.approx(want, abs=1e-12)
+
+
+def test_blocks_side_by_side_equal_one_series_after_the_other(spark):
+    """Two output steps, the second one of yesterday's regressor, written out day by day."""
+    first = nodes_of("Tree 0 (weight 1.0):\n If (feature 2 <= 0.5)\n Predict: 0.9\n Else (feature 2 > 0.5)\n Predict: 0.1", 0)
+    second = nodes_of("Tree 0 (weight 2.0):\n If (feature 3 <= 0.0)\n Predict: -1.0E-1\n Else (feature 3 > 0.0)\n Predict: 0.3", 1)
+    steps = forests(pd.concat([first, second]))
+    rng = np.random.default_rng(7)
+    seeds, ahead = rng.random((3, 2, 2)), rng.normal(size=(3, 7, 1))
+    got = follow_blocks(seeds, ahead, steps, 2)
+    for s in range(3):
+        days = [tuple(d) for d in seeds[s]]
+        for b in range(0, 7, 2):
+            y, z = days[-1]
+            guess = [0.9 if y <= 0.5 else 0.1, 2 * (-0.1 if z <= 0 else 0.3)]
+            days += [(guess[k], ahead[s, b + k, 0]) for k in range(min(2, 7 - b))]
+        assert got[s] == pytest.approx([d[0] for d in days[2:]])
+
+
 @pytest.fixture(scope="module")
 def odd_catalog(spark):
     """A constant, a 10-day, a 60-day and a normal product."""

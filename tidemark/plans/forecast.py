@@ -15,6 +15,7 @@ from tidemark.operators.report import (centred_averages, downsample, quarterly_r
 from tidemark.plans.ingest import clean_sales, ingest, raw_history
 from tidemark.schema import ALL_SERIES
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.registry import current_version
 from tidemark.sources.sales import read_sales
 
 
@@ -37,6 +38,7 @@ def forecast_total(history: DataFrame, folder: str, quarters: int, as_of: str, l
     with. ``legacy_shift`` labels the first forecast day with the first day of the next month.
     """
     spark = history.sparkSession
+    folder = current_version(spark, folder)
     ensure_checkpoint_dir(spark)
     history = history.checkpoint()
     ends = history.agg(F.max("date").alias("last_date"))

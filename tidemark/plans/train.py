@@ -16,7 +16,7 @@ from tidemark.operators.nonlinear import NonlinearModel, fit_nonlinear, forecast
 from tidemark.operators.series import MIN_TRAIN, short_series, validate_length
 from tidemark.plans.ingest import ingest, load_series
 from tidemark.schema import LINEAR_REGRESSORS
-from tidemark.sources.registry import record_run, save_table
+from tidemark.sources.registry import commit_version, current_version, new_version, record_run, save_table
 
 MODELS = ["hybrid", "linear_only", "nonlinear_only"]
 
@@ -70,13 +70,17 @@ def train_hybrid(train: DataFrame, test: DataFrame, folder: str, settings: Setti
 def train(spark: SparkSession, train_path: str, test_path: str, folder: str, run_id: str, ts: str,
           settings: Settings = Settings(), by: str | None = None) -> DataFrame:
     """Train on two sales files, record the run and return its metrics per model. The metrics of
-    each series are stored as the table ``series/metrics``."""
+    each series are stored as the table ``series/metrics``.
+
+    All models of a run lie in one version below ``folder``, which is committed when it is complete."""
     train_rows, test_rows = load_series(spark, train_path, by=by), load_series(spark, test_path, by=by)
-    forecasts = train_hybrid(train_rows, test_rows, folder, settings)
+    version = new_version(folder)
+    forecasts = train_hybrid(train_rows, test_rows, version, settings)
     scored = long_scores(forecasts, MODELS)
     metrics = model_metrics(scored)
-    save_table(model_metrics(scored, ("series_id", "model")), f"{folder}/series/metrics")
-    sizes = [longest(spark.read.parquet(f"{folder}/series/{part}")) for part in ("train", "test")]
+    save_table(model_metrics(scored, ("series_id", "model")), f"{version}/series/metrics")
+    sizes = [longest(spark.read.parquet(f"{version}/series/{part}")) for part in ("train", "test")]
+    commit_version(spark, version)
     record_run(metrics, run_id, ts, settings.seed, *sizes, f"{folder}/runs")
     return metrics.withColumn("run_id", F.lit(run_id)).select("run_id", "model", "rmse", "mape")
 
@@ -85,6 +89,16 @@ def train_with_regressors(train: DataFrame, test: DataFrame, regressors: list[st
                           grid: Grid = Grid(), folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Linear model with scaled regressors: coefficients and the forecast of the test days. With a
     ``folder`` coefficients and scaler are stored there, for :func:`forecast_with_regressors`."""
+    if folder is None:
+        return _fit_regressors(train, test, regressors, grid, None)
+    version = new_version(folder)
+    fitted = _fit_regressors(train, test, regressors, grid, version)
+    commit_version(train.sparkSession, version)
+    return fitted
+
+
+def _fit_regressors(train: DataFrame, test: DataFrame, regressors: list[str], grid: Grid,
+                    folder: str | None) -> tuple[DataFrame, DataFrame]:
     require_regressors(test.select(*KEY), test.dropna(subset=regressors).select(*KEY))
     scaler = fit_standard(train, regressors)
     coefficients = search_orders(apply_scaler(train, scaler, regressors), exog=tuple(regressors), grid=grid)
@@ -98,6 +112,7 @@ def forecast_with_regressors(history: DataFrame, future: DataFrame, folder: str,
                              regressors: list[str] = LINEAR_REGRESSORS) -> DataFrame:
     """Forecast the days of ``future`` with stored coefficients and their stored scaler."""
     spark = history.sparkSession
+    folder = current_version(spark, folder)
     return _with_regressors(history, future, spark.read.parquet(f"{folder}/linear"),
                             spark.read.parquet(f"{folder}/scaler"), regressors)
 
@@ -111,11 +126,12 @@ def _with_regressors(history: DataFrame, future: DataFrame, coefficients: DataFr
 def compare_models(train: DataFrame, test: DataFrame, folder: str, settings: Settings = Settings(),
                    store_models: bool = True) -> tuple[DataFrame, DataFrame]:
     """The linear model with regressors against the nonlinear model alone on the test days: metrics
-    per model, and the summary table of the linear coefficients."""
+    per model, and the summary table of the linear coefficients. Models and series lie in one version of ``folder``."""
+    folder = new_version(folder)
     train = save_table(train, f"{folder}/series/train")
     test = save_table(test, f"{folder}/series/test")
     validate_length(train, test)
-    coefficients, linear = train_with_regressors(train, test, grid=settings.grid, folder=folder)
+    coefficients, linear = _fit_regressors(train, test, LINEAR_REGRESSORS, settings.grid, folder)
     linear = save_table(linear, f"{folder}/series/linear_forecast")
     alone = fit_nonlinear(train, "total_units", rounds=settings.rounds, depth=settings.depth, seed=settings.seed)
     if store_models:
@@ -124,6 +140,7 @@ def compare_models(train: DataFrame, test: DataFrame, folder: str, settings: Set
     forecasts = linear.select(*KEY, F.col("predicted_units").alias("linear_regressors")).join(
         units.select(*KEY, F.col("predicted_units").alias("nonlinear_only")), KEY)
     forecasts = save_table(align(test.select(*KEY, "total_units"), forecasts), f"{folder}/series/forecasts")
+    commit_version(train.sparkSession, folder)
     metrics = model_metrics(long_scores(forecasts, ["linear_regressors", "nonlinear_only"]))
     scaled = apply_scaler(train, train.sparkSession.read.parquet(f"{folder}/scaler"), LINEAR_REGRESSORS)
     return metrics, coefficient_table(scaled, coefficients, exog=tuple(LINEAR_REGRESSORS), grid=settings.grid)
@@ -132,6 +149,7 @@ def compare_models(train: DataFrame, test: DataFrame, folder: str, settings: Set
 def backtest_one_step(raw: DataFrame, folder: str, by: str | None = None) -> DataFrame:
     """Stored models on a new file: whole predicted units for every day after the first window."""
     spark = raw.sparkSession
+    folder = current_version(spark, folder)
     daily = ingest(raw, by=by)
     fitted = apply_linear(daily, spark.read.parquet(f"{folder}/linear"))
     known = residuals(daily, fitted)

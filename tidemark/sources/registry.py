@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -40,3 +43,28 @@ def save_table(df: DataFrame, folder: str) -> DataFrame:
     """Write and read back: stores fitted coefficients or scalers and cuts the lineage."""
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def new_version(folder: str) -> str:
+    """A folder of its own below ``folder`` for a set of models. Readers do not see it before :func:`commit_version`."""
+    return f"{folder}/versions/{uuid.uuid4().hex}"
+
+
+def commit_version(spark: SparkSession, version: str) -> None:
+    """Make a complete version the current one, by one row in the manifest. A job that dies before this leaves the last
+    version in force; versions stay until the owner of the folder deletes them."""
+    folder, name = version.rsplit("/versions/", 1)
+    row = spark.range(1).select(F.lit(name).alias("version"), F.current_timestamp().alias("committed_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
+
+
+def current_version(spark: SparkSession, folder: str) -> str:
+    """Folder of the version committed last. A folder without a manifest holds its models itself."""
+    try:
+        manifest = spark.read.parquet(f"{folder}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return folder
+    last = manifest.agg(F.max_by("version", F.struct("committed_at", "version")).alias("v")).first()["v"]
+    return folder if last is None else f"{folder}/versions/{last}"
