@@ -3,9 +3,10 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 
-from tidemark.llm.pii import KINDS, Model, base_spans, emails, personal_data, redact, train
+from tidemark.llm.pii import KINDS, Lattice, Model, base_spans, by_end, emails, personal_data, redact, span_features, train
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
             "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -110,7 +111,7 @@ def test_segmentation_is_the_best_of_all():
     """The dynamic program against every set of segments without overlaps."""
     from tidemark.llm.pii import segments, span_features
     model = learned()
-    model.transition = {("phone", "phone"): -0.5, ("", "card"): 0.25}
+    model = Model(model.weights, model.transition | {("phone", "phone"): -0.5, ("", "card"): 1.25, ("card", "phone"): 2.5})
     for text in ["988 555 2485 4111", "(988) 555-2485 / 100 200 3000", "12 34 56 78 90 12 34 56"]:
         free = sorted(segments(text), key=lambda s: (s[1], s[0]))
         best = [0.0]
@@ -122,8 +123,7 @@ def test_segmentation_is_the_best_of_all():
                 if a >= end:
                     for kind in KINDS:
                         own = model.span_score(kind, span_features(text, a, b))
-                        if own > 0:
-                            extend(k + 1, b, kind, total + own + model.transition.get((last, kind), 0.0))
+                        extend(k + 1, b, kind, total + own + model.transition.get((last, kind), 0.0))
 
         extend(0, 0, "", 0.0)
         found, last, total = model.decode(text, []), "", 0.0
@@ -133,6 +133,71 @@ def test_segmentation_is_the_best_of_all():
         assert total == pytest.approx(best[0])
 
 
+def test_field_against_all_segmentations():
+    """Likelihood, expectations and the gradient of the field against the sum over every segmentation."""
+    text = "tel 988 555 2485 4111 or card 4000/1234/5678/9010 x 12[.]34[.]5[.]6"
+    found = list(by_end(text))
+    names = sorted({f for a, b in found for f in span_features(text, a, b)})
+    features = [tuple(names.index(f) for f in span_features(text, a, b)) for a, b in found]
+    rng = np.random.default_rng(4)
+    weights, transition = rng.normal(size=(len(names), 4)) * 0.4, rng.normal(size=(5, 4))
+    known = [s for s in found if text[s[0]:s[1]] in ("988 555 2485", "12[.]34[.]5[.]6")]
+    right = np.zeros((len(found), 4))
+    for i, (a, b) in enumerate(found):
+        if (a, b) in known:
+            right[i, 3 if a < 10 else 1] = 1
+        elif not any(a < y and x < b for x, y in known):
+            right[i] = i % 2
+    lattice = Lattice(found, features, right, known)
+
+    def every(only_right):
+        def extend(i, end, last, total, chosen):
+            if not only_right or {found[j] for j, _ in chosen} >= set(known):
+                yield total, chosen
+            for j in range(i, len(found)):
+                if found[j][0] >= end:
+                    for c in range(4):
+                        if not only_right or right[j, c]:
+                            score = weights[list(features[j])].sum(axis=0)[c] + transition[last, c]
+                            yield from extend(j + 1, found[j][1], c + 1, total + score, [*chosen, (j, c)])
+        return list(extend(0, 0, 0, 0.0, []))
+
+    def log_sum(only_right):
+        return np.logaddexp.reduce([total for total, _ in every(only_right)])
+
+    for only_right in (False, True):
+        ways = every(only_right)
+        scores = np.array([weights[list(f)].sum(axis=0) for f in features])
+        log, chance, moves = lattice.expectations(scores, transition, only_right)
+        whole = log_sum(only_right)
+        assert len(ways) > 3 and log == pytest.approx(whole)
+        want, want_moves = np.zeros_like(chance), np.zeros_like(moves)
+        for total, chosen in ways:
+            last = 0
+            for j, c in chosen:
+                want[j, c] += np.exp(total - whole)
+                want_moves[last, c] += np.exp(total - whole)
+                last = c + 1
+        assert chance == pytest.approx(want) and moves == pytest.approx(want_moves)
+    # The gradient of the likelihood by a small step of one transition.
+    slope = lattice.expectations(scores, transition, True)[2] - lattice.expectations(scores, transition, False)[2]
+    for p, c in ((0, 3), (4, 1), (2, 2)):
+        ends = []
+        for h in (1e-5, -1e-5):
+            transition[p, c] += h
+            ends.append(log_sum(True) - log_sum(False))
+            transition[p, c] -= h
+        assert slope[p, c] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=1e-6)
+
+
+def test_every_kind_is_added_and_transitions_are_learned():
+    model = learned()
+    text = "host 12[.]34[.]56[.]78 and 4000/1234/5678/9017, phone (988) 555-2485, mail jo [at] mail [dot] org"
+    assert {k for k, _, _ in model.spans(text)[1]} == set(KINDS)
+    assert any(abs(v) > 0.05 for v in model.transition.values())
+    assert train([]).spans(text)[1] == []
+
+
 def test_redaction(make_docs):
     docs = make_docs([(1, "mail a@b.cd or 10.0.0.1"), (2, None), (3, "clean")])
     assert {r.doc_id: r.text for r in redact(docs).collect()} == {1: "mail <email> or <ip>", 2: None, 3: "clean"}

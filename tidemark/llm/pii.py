@@ -1,10 +1,11 @@
-"""Personal data by a semi-Markov dynamic program over segments that a softmax scores one by one.
-
-Candidate segments of a text (addresses, dotted numbers, runs of digits) are scored as whole spans: how
-many digits in which groups, which separators, which word stands before. A dynamic program over the
-segments of a region chooses boundaries and kinds together. Four exact base patterns are always part
-of the result; the model adds spans beside them. It is trained on base spans of a bounded sample: they are
-shown to it in the forms that the base patterns miss (without plus, with other separators).
+"""Personal data by a semi-Markov conditional random field.
+
+Candidate segments of a text (addresses, dotted numbers, runs of digits) are scored as whole spans: how many digits in
+which groups, which separators, which word stands before; transitions score which kind follows which. A dynamic program
+over the segments of a region chooses boundaries and kinds together. Four exact base patterns are always part of the
+result; the field adds spans beside them. Weights and transitions are learned together, by the likelihood of whole
+regions: base spans of a bounded sample are shown in the forms that the base patterns miss (without plus, with other
+separators, spelled out), and digit runs that look like such a form are left open instead of being taught as no kind.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ ship_with_tasks(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_ROWS = 2_000
-# Segments of no kind that one text shows to the model at most, evenly drawn.
-FIT_NONE = 400
+# Of one sample text the field sees at most so many regions without base spans, evenly drawn, and none of more code points.
+FIT_REGIONS, FIT_LENGTH = 40, 1_000
+# Base spans that are shown together at most.
+FIT_GROUP = 6
 # The longest span the model considers, in code points.
 LONGEST = 64
 
@@ -38,6 +41,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SPOKEN = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]{1,40} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,30}(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{1,20})+")
+DEFANGED = re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?(?:[\[(]\.[\])]|[\[(]dot[\])]) ?[0-9]{1,3}){3}(?![0-9])")
 DIGITS = re.compile(r"\(?[0-9](?:[0-9 ().\-/]*[0-9])?")
 WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w\n]{0,3}$")
 # Fixed cue words of the features, by kind.
@@ -99,9 +103,9 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 # ------------------------------------------------------------------ segments and features
 
 def by_end(text: str) -> Iterator[tuple[int, int]]:
-    """Candidate segments by end, then start: spoken addresses, and all that run from one digit group to the same or a
+    """Candidate segments by end, then start: spoken addresses and dotted numbers, and all that run from one digit group to the same or a
     later one of its run, of 7 digits or more and up to LONGEST code points."""
-    spoken = sorted((m.span() for m in SPOKEN.finditer(text)), key=lambda s: (s[1], s[0]))
+    spoken = sorted((m.span() for form in (SPOKEN, DEFANGED) for m in form.finditer(text)), key=lambda s: (s[1], s[0]))
     return heapq.merge(_digit_segments(text), spoken, key=lambda s: (s[1], s[0]))
 
 
@@ -133,12 +137,14 @@ def span_features(text: str, first: int, last: int) -> list[str]:
     span = text[first:last]
     groups = re.findall(r"[0-9]+", span)
     digits = "".join(groups)
-    out = ["bias", f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 6)}",
-           "shape=" + "-".join(str(min(len(g), 9)) for g in groups[:6])]
-    out += [f"sep={s}" for s in sorted(set(re.sub(r"[0-9A-Za-z]", "", span)))[:5]]
-    out.append(f"luhn={13 <= len(digits) <= 19 and luhn(digits)}")
-    if "at" in span:
+    out = ["bias", *[f"sep={s}" for s in sorted(set(re.sub(r"[0-9A-Za-z]", "", span)))[:5]]]
+    if DEFANGED.fullmatch(span):
+        out.append(f"dotted={all(int(g) <= 255 for g in groups)}")
+    elif SPOKEN.fullmatch(span):
         out.append("spoken")
+    else:
+        out += [f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 6)}",
+                "shape=" + "-".join(str(min(len(g), 9)) for g in groups[:6]), f"luhn={13 <= len(digits) <= 19 and luhn(digits)}"]
     before, after = text[max(0, first - 24):first], text[last:last + 1]
     out.append("open" if not before or not (before[-1].isalnum() or before[-1] in "+.-/") else "glued")
     out.append("end" if not after or not (after.isalnum() or after in "-/") else "runs on")
@@ -149,15 +155,25 @@ def span_features(text: str, first: int, last: int) -> list[str]:
     return out
 
 
+def familiar(features: list[str], shapes: set[str]) -> list[str]:
+    """Shapes that no shown span has are one feature, so that what is said of them holds for shapes never seen."""
+    return ["shape=other" if f.startswith("shape=") and f not in shapes else f for f in features]
+
+
 class Model:
-    """Weights by (kind, feature). A segment left out scores 0, so a kind is chosen where its score is positive."""
+    """Weights by (kind, feature) and (kind before, kind). A segment left out scores 0. Of equal segmentations the one stands
+    whose segments end, then start first."""
 
     def __init__(self, weights: dict[tuple[str, str], float] | None = None, transition: dict[tuple[str, str], float] | None = None):
         self.weights = weights or {}
         self.transition = transition or {}
+        self.shapes = {f for _, f in self.weights if f.startswith("shape=")}
+        # What a segment can gain by the transitions around it, by kind: one that loses more is in no best segmentation.
+        to = {k: [self.transition.get((p, k), 0.0) for p in ("", *KINDS)] for k in KINDS}
+        self.slack = {c: max(to[c]) + max(0.0, *(self.transition.get((c, k), 0.0) - min(to[k]) for k in KINDS)) for c in KINDS}
 
     def span_score(self, kind: str, features: list[str]) -> float:
-        return sum(self.weights.get((kind, f), 0.0) for f in features)
+        return sum(self.weights.get((kind, f), 0.0) for f in familiar(features, self.shapes))
 
     def decode(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
         """The best set of segments without overlaps, beside the taken spans: for each segment end the best way to get
@@ -178,7 +194,7 @@ class Model:
                 if len(seen) >= 20_000:
                     seen.clear()
                 features = span_features(text, a, b)
-                seen[sight] = [(kind, own) for kind in KINDS if (own := self.span_score(kind, features)) > 0]
+                seen[sight] = [(kind, own) for kind in KINDS if (own := self.span_score(kind, features)) + self.slack[kind] > 0]
             if not seen[sight]:
                 continue
             if not ends or ends[-1] < b:
@@ -232,16 +248,15 @@ RUN = re.compile(r"[0-9][0-9 ().\-/]{5,}[0-9]")
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around whole runs of digits and spoken addresses, with the context that features look at."""
-    held = heapq.merge(*([m.span() for m in form.finditer(text)] for form in (RUN, SPOKEN)))
+    """Stretches around whole runs of digits and spoken addresses or numbers, with the context that features look at."""
+    held = heapq.merge(*([m.span() for m in form.finditer(text)] for form in (RUN, SPOKEN, DEFANGED)))
     return _merged([(max(0, a - LONGEST), min(len(text), b + LONGEST)) for a, b in held])
 
 
 # ------------------------------------------------------------------ training
 
-def _shown(text: str, kind: str, first: int, last: int) -> list[tuple[str, int, int]]:
-    """A base span in the forms that the base patterns miss: the text around it, and the span's new place."""
-    span, before, after = text[first:last], text[max(0, first - 24):first], text[last:last + 8]
+def _shown(kind: str, span: str) -> list[str]:
+    """A base span in the forms that the base patterns miss."""
     if kind == "phone":
         local = re.sub(r"^\+[0-9]{1,3}[ .-]*", "", span)
         forms = [local, re.sub(r"[()]", "", local), re.sub(r"[ ().-]+", ".", local).strip(".")]
@@ -249,47 +264,164 @@ def _shown(text: str, kind: str, first: int, last: int) -> list[tuple[str, int,
         digits = _only_digits(span)
         forms = [sep.join(digits[i:i + 4] for i in range(0, len(digits), 4)) for sep in ("/", ".")]
     elif kind == "email":
-        forms = [span.replace("@", " [at] ").replace(".", " [dot] "), span.replace("@", "(at)").replace(".", "(dot)")]
+        local, domain = span.rsplit("@", 1)
+        forms = [local + at + domain.replace(".", dot) for at, dot in ((" [at] ", " [dot] "), ("(at)", "(dot)"))]
     else:
-        return []
-    return [(before + form + after, len(before), len(before) + len(form)) for form in forms]
-
-
-def train(texts: list[str], rounds: int = 12, rate: float = 0.2, decay: float = 0.01) -> Model:
-    """Stochastic gradient steps on the likelihood of the right kind of each segment of the shown forms.
-
-    Segments that overlap a shown span with other boundaries, and digit runs of the texts that are no base span, are
-    examples of no kind, so boundaries and kinds are learned together.
-    """
-    examples: list[tuple[list[str], str]] = []
+        forms = [span.replace(".", dot) for dot in ("[.]", " [dot] ", "(dot)")]
+    return [form for form in forms if form]
+
+
+def shown_regions(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
+    """Neighbouring base spans (by start) in three forms that the base patterns miss: the text around them with the new
+    places. Spans less than LONGEST apart, FIT_GROUP at most, are shown together, so that transitions are seen."""
+    groups: list[list[tuple[int, int, str]]] = []
+    for span in spans:
+        if groups and span[0] < groups[-1][-1][1]:
+            continue
+        if groups and span[0] - groups[-1][-1][1] < LONGEST and len(groups[-1]) < FIT_GROUP:
+            groups[-1].append(span)
+        else:
+            groups.append([span])
+    for group in groups:
+        for form in range(3):
+            out, places, free = "", [], max(0, group[0][0] - 24)
+            for a, b, kind in group:
+                forms = _shown(kind, text[a:b])
+                out += text[free:a]
+                if forms:
+                    new = forms[form % len(forms)]
+                    places.append((len(out), len(out) + len(new), kind))
+                    out += new
+                free = b
+            yield out + text[free:free + 8], places
+
+
+class Lattice:
+    """The segmentations of one region: segments with features and places, and what is known about them.
+
+    ``right`` tells for each segment and kind whether a right segmentation may hold it, ``bound`` the ends that lie inside
+    a known span: no right segmentation passes them by."""
+
+    def __init__(self, found: list[tuple[int, int]], features: list[tuple[int, ...]], right: np.ndarray, known: list[tuple[int, int]]):
+        ends = sorted({b for _, b in found})
+        self.size = len(ends) + 1
+        self.features = features
+        self.first = [bisect_right(ends, a) for a, _ in found]
+        self.last = [bisect_left(ends, b) + 1 for _, b in found]
+        self.right = right
+        self.free = np.ones(self.size)
+        for a, b in known:
+            self.free[bisect_right(ends, a) + 1:bisect_left(ends, b) + 2] = 0.0
+
+    def key(self):
+        return (tuple(self.features), tuple(self.first), tuple(self.last), self.right.tobytes(), self.free.tobytes())
+
+    def expectations(self, scores: np.ndarray, transition: np.ndarray, right: bool) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log of the summed weights of all segmentations (or of the right ones), the chance of each segment and kind, and
+        the expected transitions, by the forward and the backward sums over ends, with the last kind as state."""
+        allowed = self.right if right else np.ones_like(self.right)
+        free = self.free if right else np.ones(self.size)
+        gain = np.exp(scores) * allowed
+        steps = np.exp(transition)
+        ahead, back = np.zeros((2, self.size, len(KINDS) + 1))
+        ahead[0, 0], back[-1] = 1.0, 1.0
+        by_last: dict[int, list[int]] = {}
+        for i, e in enumerate(self.last):
+            by_last.setdefault(e, []).append(i)
+        log, scale = 0.0, np.ones(self.size)
+        for e in range(1, self.size):
+            now = ahead[e - 1] * free[e]
+            for i in by_last.get(e, ()):
+                k = self.first[i]
+                # Sums are scaled end by end, so that long regions stay within range.
+                now[1:] += (ahead[k] / np.prod(scale[k + 1:e])) @ steps * gain[i]
+            scale[e] = now.sum()
+            if not scale[e] > 0:
+                scale[e] = 1.0
+            ahead[e] = now / scale[e]
+            log += np.log(scale[e])
+        total = ahead[-1].sum()
+        chance, moves = np.zeros_like(gain), np.zeros_like(transition)
+        by_first: dict[int, list[int]] = {}
+        for i, k in enumerate(self.first):
+            by_first.setdefault(k, []).append(i)
+        for k in range(self.size - 2, -1, -1):
+            back[k] = back[k + 1] * free[k + 1] / scale[k + 1]
+            for i in by_first.get(k, ()):
+                e = self.last[i]
+                onward = gain[i] * back[e][1:] / np.prod(scale[k + 1:e + 1])
+                back[k] += steps @ onward
+                joint = ahead[k][:, None] * steps * onward / total
+                chance[i] = joint.sum(axis=0)
+                moves += joint
+        return (log + np.log(total) if total > 0 else -np.inf), chance, moves
+
+
+def lattices(texts: list[str]) -> tuple[list[tuple[Lattice, int]], list[str]]:
+    """What the texts show to the field, equal regions once with their number, and the names of the features."""
+    names: dict[str, int] = {}
+    shown: list[tuple[str, list[tuple[int, int, str]], list[tuple[int, int]]]] = []
     for text in texts:
         base = base_spans(text)
         spans = sorted((a, b, k) for k in KINDS for a, b in base[k])
-        for a, b, kind in spans:
-            for form, x, y in _shown(text, kind, a, b):
-                found = [s for s in segments(form) if s != (x, y)]
-                examples.append((span_features(form, x, y), kind))
-                examples += [(span_features(form, *s), "") for s in found]
-        none = [(first, last, a, b) for first, last in regions(text) for a, b in segments(text[first:last])]
-        for first, last, a, b in none[::-(-len(none) // FIT_NONE) or 1]:
-            if not any(first + a < y and x < first + b for x, y, _ in spans):
-                examples.append((span_features(text[first:last], a, b), ""))
-    model = Model()
+        shown += [(form, places, []) for form, places in shown_regions(text, spans)]
+        others = [(x, y) for x, y in regions(text) if y - x <= FIT_LENGTH]
+        for x, y in others[::-(-len(others) // FIT_REGIONS) or 1]:
+            shown.append((text[x:y], [], [(a - x, b - x) for a, b, _ in spans if a < y and x < b]))
+    shapes = {f for text, places, _ in shown for a, b, _ in places for f in span_features(text, a, b) if f.startswith("shape=")}
+    out: dict[tuple, list] = {}
+    for text, places, taken in shown:
+        found = [(a, b) for a, b in by_end(text) if not any(a < y and x < b for x, y in taken)]
+        at = {(a, b): kind for a, b, kind in places}
+        known = [s for s in found if s in at]
+        if not found or (places and not known):
+            continue
+        features, right = [], np.zeros((len(found), len(KINDS)))
+        for i, (a, b) in enumerate(found):
+            held = span_features(text, a, b)
+            features.append(tuple(names.setdefault(f, len(names)) for f in familiar(held, shapes)))
+            if (a, b) in at:
+                right[i, KINDS.index(at[a, b])] = 1
+            elif not any(a < y and x < b for x, y, _ in places):
+                # It may be one that the base patterns miss: left open.
+                right[i] = "open" in held and "end" in held and any(f.startswith("cue=") or f in shapes for f in held)
+        lattice = Lattice(found, features, right, known)
+        out.setdefault(lattice.key(), [lattice, 0])[1] += 1
+    return [tuple(v) for v in out.values()], list(names)
+
+
+def train(texts: list[str], rounds: int = 15, rate: float = 0.3, decay: float = 1e-3) -> Model:
+    """Gradient steps (scaled per weight) on the log likelihood of the known spans of each region, what is open summed over.
+    The gradient is the difference of two expectations: over the right segmentations and over all."""
+    examples, names = lattices(texts)
+    weights, transition = np.zeros((len(names), len(KINDS))), np.zeros((len(KINDS) + 1, len(KINDS)))
+    seen_w, seen_t = np.full_like(weights, 1e-2), np.full_like(transition, 1e-2)
     order = np.random.default_rng(7)
-    for step in range(rounds if examples else 0):
-        pace = rate / (1 + step)
+    for _ in range(rounds):
         for i in order.permutation(len(examples)):
-            features, kind = examples[i]
-            scores = [0.0] + [model.span_score(k, features) for k in KINDS]
-            top = max(scores)
-            powers = [math.exp(s - top) for s in scores]
-            whole = sum(powers)
-            for k, p in zip(KINDS, powers[1:]):
-                miss = (kind == k) - p / whole
-                if abs(miss) > 1e-3:
-                    for f in features:
-                        model.weights[k, f] = model.weights.get((k, f), 0.0) * (1 - decay * pace) + pace * miss
-    return model
+            lattice, times = examples[i]
+            scores = np.array([weights[list(f)].sum(axis=0) for f in lattice.features])
+            _, want, moves_right = lattice.expectations(scores, transition, True)
+            _, have, moves = lattice.expectations(scores, transition, False)
+            miss = want - have
+            if np.abs(miss).max() < 1e-4:
+                continue
+            push = min(1 + math.log(times), 4.0)
+            slope = push * (moves_right - moves) - decay * transition
+            seen_t += slope * slope
+            transition += rate * slope / np.sqrt(seen_t)
+            step = np.zeros_like(weights)
+            rows = np.concatenate([np.array(f) for f in lattice.features])
+            np.add.at(step, rows, push * np.repeat(miss, [len(f) for f in lattice.features], axis=0))
+            rows = np.unique(rows)
+            slope = step[rows] - decay * weights[rows]
+            seen_w[rows] += slope * slope
+            weights[rows] += rate * slope / np.sqrt(seen_w[rows])
+    states = ("", *KINDS)
+    return Model({(kind, f): float(weights[i, k]) for i, f in enumerate(names) for k, kind in enumerate(KINDS)
+                  if weights[i, k] or f.startswith("shape=")},
+                 {(states[p], kind): float(transition[p, k]) for p in range(len(states)) for k, kind in enumerate(KINDS)
+                  if transition[p, k]})
 
 
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
