@@ -8,7 +8,8 @@ import uuid
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.catalog.base import DEMAND, PART_DEMAND, SKU_DAILY, daily_sql, demand, part_demand, query, sku_daily, total_daily
+from tidemark.catalog.base import DEMAND, PART_DEMAND, SKU_DAILY, TOTAL_DAILY, daily_sql, demand, part_demand, query, sku_daily, total_daily
+from tidemark.catalog.joins import BRIDGE
 from tidemark.operators import linear as ln
 from tidemark.operators import nonlinear as nl
 from tidemark.operators.align import residuals
@@ -18,7 +19,7 @@ from tidemark.operators.features import feature_columns, fit_minmax
 from tidemark.operators.series import daily_series
 from tidemark.operators.trees import NODE_COLUMNS
 from tidemark.operators.stationarity import diagnostics, effective_sample
-from tidemark.plans.forecast import forecast_rows
+from tidemark.plans.forecast import forecast_rows, forecast_total
 from tidemark.plans.train import MODELS, Settings, backtest_one_step, longest, train_hybrid, train_with_regressors
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.registry import save_table
@@ -246,15 +247,15 @@ def _guess(k: str, x: str, price: str, promo: str) -> str:
   + 0.25 * case when {promo} <= {PROMO} then 0.04 * ({k} + 1) else -0.04 end)"""
 
 
-def _scaling(known: str, target: str = "total_units") -> str:
-    """Views of the scaled days: ``lim`` has the limits of each series over the view ``known``."""
+def _scaling(known: str, target: str = "total_units", limited_by: str | None = None) -> str:
+    """Views of the scaled days: ``lim`` has the limits of each series over the view ``limited_by`` (or ``known``)."""
     def scaled(column: str, out: str) -> str:
         return f"(cast({column} as double) - {out}_lo) / {out}_by as {out}"
 
     limits = ", ".join(f"""cast(min({c}) as double) as {o}_lo,
   case when max({c}) > min({c}) then cast(max({c}) - min({c}) as double) else 1.0 end as {o}_by"""
                        for c, o in ((target, "y"), ("avg_price", "price"), ("promo_any", "promo")))
-    return f"""lim as (select series_id, {limits} from {known} group by series_id),
+    return f"""lim as (select series_id, {limits} from {limited_by or known} group by series_id),
 scaled as (select series_id, date, {scaled(target, "y")}, {scaled("avg_price", "price")}, {scaled("promo_any", "promo")}, y_lo, y_by,
   row_number() over (partition by series_id order by date) as i from {known} join lim using (series_id)),
 seed as (select series_id, max(date) as hi, list(y order by i)[-30:] as x, arg_max(price, i) as price, arg_max(promo, i) as promo,
@@ -293,24 +294,60 @@ def m07_given(spark, sf):
     return nl.forecast_blocks(given_trees("total_units", train), train, test)
 
 
-@query("m09_forecast_future_given_trees", f"""{RECURSIVE}, {_scaling("daily")},
-coming as (select series_id, (cast(avg(promo) > 0.5 as integer) - promo_lo) / promo_by as later from (
-  select series_id, date, promo_any as promo, row_number() over (partition by series_id order by date desc) as r from daily) as d
+def _future_blocks(known: str) -> str:
+    """The coming blocks of the given trees past the end of the view ``known``, with assumed regressors."""
+    return f"""coming as (select series_id, (cast(avg(promo) > 0.5 as integer) - promo_lo) / promo_by as later from (
+  select series_id, date, promo_any as promo, row_number() over (partition by series_id order by date desc) as r from {known}) as d
   join lim using (series_id) where r <= 30 group by series_id, promo_lo, promo_by),
 rec as (
   select series_id, 0 as b, x, price, {BLOCKS} as y from seed where n >= 30
   union all
   select series_id, b + 1, x, price, {BLOCKS} from (select rec.series_id, b, list_concat(rec.x, rec.y)[-30:] as x, price, later as promo
-    from rec join coming using (series_id) where b < {13 * QUARTERS - 1}) as moved)
-select series_id, cast(hi + cast(7 * b + k as integer) as date) as date, y_lo + y_by * rec.y[k] as predicted_units
-from rec join (select series_id, hi from seed) as s using (series_id) join lim using (series_id), range(1, 8) as r(k)""",
-       dates="date", floats="predicted_units", digits=4)
+    from rec join coming using (series_id) where b < {13 * QUARTERS - 1}) as moved),
+blocks as (select series_id, cast(hi + cast(7 * b + k as integer) as date) as date, y_lo + y_by * rec.y[k] as predicted_units
+  from rec join (select series_id, hi from seed) as s using (series_id) join lim using (series_id), range(1, 8) as r(k))"""
+
+
+@query("m09_forecast_future_given_trees", f"""{RECURSIVE}, {_scaling("daily")},
+{_future_blocks("daily")} select * from blocks""", dates="date", floats="predicted_units", digits=4)
 def m09_given(spark, sf):
     """Four quarters past the end of every brand by trees that are not fitted."""
     daily = sku_daily(spark, sf)
     return nl.forecast_future(given_trees("total_units", daily), daily, 91 * QUARTERS)
 
 
+@query("m12_forecast_total_given_models", f"""{TOTAL_DAILY.replace("with demand", "with recursive demand", 1)}, {BRIDGE},
+whole as (select series_id, date, total_units, avg_price, promo_any from daily union all select * from bridge),
+w as (select *, cast(total_units as double) as x, row_number() over s as i, cast(total_units - lag(total_units, 1) over s
+  - lag(total_units, 7) over s + lag(total_units, 8) over s as double) as w from whole window s as (partition by series_id order by date)),
+last_days as (select series_id, max(i) as n, max(date) as last, list(x order by i)[-8:] as x from w group by series_id),
+fit as (
+  select series_id, 8 as i, 0.0::double as w, [0, 0, 0, 0, 0, 0, 0]::double[] as e from last_days
+  union all
+  select fit.series_id, fit.i + 1, n.w, list_append(fit.e[2:7], n.w - (0.3 * fit.w - 0.4 * fit.e[7] - 0.3 * fit.e[1]))
+  from fit join w n on n.series_id = fit.series_id and n.i = fit.i + 1),
+ahead as (
+  select d.series_id, 0 as k, d.last as date, d.x, fit.w, fit.e from last_days d join fit on fit.series_id = d.series_id and fit.i = d.n
+  union all
+  select series_id, k + 1, cast(date + interval 1 day as date), list_append(x[2:8], x[8] + x[2] - x[1] + (0.3 * w - 0.4 * e[7] - 0.3 * e[1])),
+    0.3 * w - 0.4 * e[7] - 0.3 * e[1], list_append(e[2:7], 0.0) from ahead where k < {91 * QUARTERS}),
+known as (select w.series_id, w.date, avg_price, promo_any, case when w.i > 8 then fit.e[7] else 0.0 end as residuals
+  from w left join fit on fit.series_id = w.series_id and fit.i = w.i),
+history as (select known.* from known join daily using (series_id, date)),
+{_scaling("known", "residuals", "history")},
+{_future_blocks("known")}
+select a.series_id, a.date, a.x[8] + b.predicted_units as predicted_units from ahead a join blocks b
+  on b.series_id = a.series_id and b.date = a.date where a.k > 0 and a.date >= date_trunc('month', date '{AS_OF}') + interval 1 month""",
+       dates="date", floats="predicted_units", digits=3)
+def m12_given(spark, sf):
+    """The whole forecast of the total by stored models that are not fitted: bridged days, recursion, residual blocks, sum."""
+    daily = total_daily(spark, sf)
+    folder = f"{ensure_checkpoint_dir(spark)}/given-{uuid.uuid4().hex}"
+    coefficients = save_table(_given(daily), f"{folder}/linear")
+    given_trees("residuals", residuals(daily, ln.apply_linear(daily, coefficients))).save(f"{folder}/nonlinear")
+    return forecast_total(daily, folder, QUARTERS, AS_OF)
+
+
 @query("m11_hybrid", digits=3)
 def m11(spark, sf):
     forecasts = spark.read.parquet(f"{trained(spark, sf)}/series/forecasts")
