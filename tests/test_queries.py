@@ -47,7 +47,9 @@ def test_matches_sql(name, spark, sf, tables):
 
 # Queries that solve small linear systems (a matrix or a series a row) in Arrow batches, or run on trained trees.
 SOLVES_IN_PYTHON = {"t01_adf_test_no_lags", "m01_autoregressive_candidate", "m03_coefficient_table", "m04_forecast_linear_parts",
-                    "m04_forecast_given_coefficients", "m05_apply_given_coefficients"}
+                    "m04_forecast_given_coefficients", "m05_apply_given_coefficients", "t01_adf_test", "t01_adf_test_seven_lags",
+                    "t01_adf_test_walks", "t04_differencing_choice", "m07_forecast_blocks_given_trees",
+                    "m08_predict_one_step_given_trees", "m09_forecast_future_given_trees"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
