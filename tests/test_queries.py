@@ -83,6 +83,12 @@ def test_series_are_shuffled_once_after_aggregation(spark, sf):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+@pytest.mark.parametrize("name", ["daily_series_total", "o01_order_rows", "a17_variant_summary", "o04_sample_per_sku", "s10_row_count"])
+def test_parts_are_not_sent_through_the_driver(name, spark, sf):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 2499

@@ -47,12 +47,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def demand(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales rows with 25 brands as products. No broadcast hint: Spark checks the part size."""
-    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+def with_brand(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with the brand of their part. The parts grow with the sales, and by its estimate from the size of
+    the file Spark would send a million of them through the driver, once for every use: both sides are shuffled."""
+    part = table(spark, sf, "part").select("p_partkey", "p_brand").hint("merge")
     lines = table(spark, sf, "lineitem")
-    return lines.join(part, lines.l_partkey == part.p_partkey).select(
-        *_line_columns(F.col("p_brand")))
+    return lines.join(part, lines.l_partkey == part.p_partkey)
+
+
+def demand(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales rows with 25 brands as products."""
+    return with_brand(spark, sf).select(*_line_columns(F.col("p_brand")))
 
 
 def part_demand(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,9 +74,7 @@ def _line_columns(sku):
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     """Demand with the return flag as dataset variant."""
-    part = table(spark, sf, "part").select("p_partkey", "p_brand")
-    lines = table(spark, sf, "lineitem")
-    return lines.join(part, lines.l_partkey == part.p_partkey).select(
+    return with_brand(spark, sf).select(
         F.col("l_returnflag").alias("variant"), *_line_columns(F.col("p_brand")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (DAILY_FLOATS, DEMAND, EVENT_DAYS, MESSY, MESSY_CLEAN, MESSY_DAY, ORDER_DAYS,
                                    TOTAL_DAILY, daily_sql, demand, event_days, messy, messy_report,
-                                   order_days, query, table, total_daily)
+                                   order_days, query, table, total_daily, with_brand)
 from tidemark.functions.coerce import coerce_price, coerce_promo, coerce_units, parse_dates
 from tidemark.functions.rounding import half_even, units_from_forecast
 from tidemark.operators.clean import clip_iqr, filter_sku, filter_status, iqr_cap, keep_positive
@@ -184,10 +184,8 @@ select rows, days * skus * locations as expected, rows = days * skus * locations
 def s10_rows(spark, sf):
     from tidemark.operators.eda import row_count
 
-    part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("sku_id"))
-    lines = table(spark, sf, "lineitem").select(
-        "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
-    return row_count(lines.join(part, lines.l_partkey == part.p_partkey), "l_suppkey")
+    return row_count(with_brand(spark, sf).select(
+        F.col("p_brand").alias("sku_id"), "l_suppkey", F.col("l_shipdate").cast("date").alias("date")), "l_suppkey")
 
 
 @query("j01_densify_orders", f"with {ORDER_DAYS},\n{daily_sql()} select series_id, date, total_units, avg_price from daily",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import (BRANDS, DAILY_FLOATS, DEMAND, MESSY, MESSY_DAY, PART_DEMAND, SKU_DAILY, TOTAL_DAILY,
-                                   daily_sql, demand, messy_report, part_demand, query, sku_daily, table, total_daily,
-                                   variants)
+                                   daily_sql, demand, messy_report, part_demand, query, sku_daily, total_daily,
+                                   variants, with_brand)
 from tidemark.operators import eda
 from tidemark.operators.horizon import sku_shares
 from tidemark.operators.series import daily_aggregate, daily_series, daily_total, with_series
@@ -219,9 +219,7 @@ select sku_id, l_orderkey, l_linenumber, price, units_sold from rows
 qualify row_number() over (partition by sku_id order by h, sku_id, l_orderkey, l_linenumber, price, units_sold) <= 1000""",
        floats="price", digits=9)
 def o04(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey", "p_brand")
-    lines = table(spark, sf, "lineitem")
-    rows = lines.join(part, lines.l_partkey == part.p_partkey).select(
+    rows = with_brand(spark, sf).select(
         F.col("p_brand").alias("sku_id"), "l_orderkey", "l_linenumber",
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").cast("bigint").alias("units_sold"))
