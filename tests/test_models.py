@@ -430,3 +430,18 @@ def test_days_are_packed_before_they_travel(spark):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert plan.count("MapInArrow") == maps
         assert "x_ends" in plan[plan.index("hashpartitioning(series_id"):]
+
+
+def test_few_windows_are_trained_in_one_part(spark, monkeypatch):
+    """Each round of a fit sends the result of every part to the driver, however empty the part is."""
+    parts = []
+
+    class Counted(GBTRegressor):
+        def fit(self, data):
+            parts.append(data.rdd.getNumPartitions())
+            return super().fit(data)
+
+    monkeypatch.setattr(nl, "GBTRegressor", Counted)
+    start = calendar_features(frame(spark, a=seasonal(120, 0))).withColumns({"avg_price": F.lit(1.0), "promo_any": F.lit(0)})
+    nl.fit_nonlinear(start, "total_units", rounds=1, depth=1)
+    assert parts == [1] * nl.N_OUT

@@ -30,6 +30,7 @@ from tidemark.sources.registry import save_table
 ship_with_tasks(__name__)
 
 WINDOWS = 4_096  # windows of a series that are spread out at once
+FEW_WINDOWS = 10_000  # windows that one task trains on; the fit finds its thresholds on as many
 FORECAST_SCHEMA = "series_id string, date date, predicted_units double"
 
 
@@ -76,10 +77,12 @@ def fit_nonlinear(daily: DataFrame, target: str = "total_units", n_in: int = N_I
     try:
         if data.filter("is_val").isEmpty():
             raise ValueError("too few windows to train the nonlinear model")
+        # Every round sends a result from every part to the driver, and most parts of a few windows are empty.
+        data_of_fit = data.coalesce(1) if data.count() <= FEW_WINDOWS else data
 
         def fit(k: int) -> pd.DataFrame:
             trees = GBTRegressor(labelCol=f"y{k}", validationIndicatorCol="is_val", maxIter=rounds, maxDepth=depth, seed=seed)
-            return nodes_of(trees.fit(data).toDebugString, k)
+            return nodes_of(trees.fit(data_of_fit).toDebugString, k)
 
         with ThreadPoolExecutor(parallel) as pool:
             steps = list(pool.map(inheritable_thread_target(daily.sparkSession)(fit), range(n_out)))
