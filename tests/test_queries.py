@@ -89,6 +89,14 @@ def test_parts_are_not_sent_through_the_driver(name, spark, sf):
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
 
 
+@pytest.mark.parametrize("name, sorts", [("daily_series_per_part", 1)])
+def test_only_observed_days_are_sorted(name, sorts, spark, sf):
+    """The gap-free days stream through: nothing above their generator sorts them or puts them in a window."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == plan.count("Window [") == plan.count("Generate explode") == sorts
+    assert not re.search(r"(Sort|Window) \[", plan[:plan.index("Generate explode")])
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 2499

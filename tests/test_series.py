@@ -144,6 +144,20 @@ def test_histogram_of_a_constant(spark):
     assert len(rows) == 15 and rows[0]["n"] == 2 and rows[0]["label"] == "4-5" and sum(r["n"] for r in rows) == 2
 
 
+def test_prices_are_filled_as_on_the_whole_calendar(spark):
+    """Filling the observed days and handing the price on equals filling the dense calendar, missing days and prices included."""
+    rows = spark.createDataFrame([
+        (None, "A", 9, 99.0, 1), (day("2024-01-02"), "A", 1, None, 0), (day("2024-01-05"), "A", 2, 7.0, None),
+        (day("2024-01-05"), "A", 2, 9.0, 1), (day("2024-01-08"), "A", None, None, 0), (day("2024-01-11"), "A", 1, 3.0, 0),
+        (day("2024-01-01"), "B", 1, None, 0), (day("2024-01-04"), "B", 1, None, 1), (None, "C", 1, 5.0, 0),
+        (day("2024-01-01"), None, 4, 2.0, 0), (day("2024-01-03"), None, 4, None, 0)],
+        "date date, sku_id string, units_sold long, price double, promotion_flag int")
+    whole = sr.fill_price(sr.densify_calendar(sr.daily_aggregate(sr.with_series(rows, "sku_id"))))
+    got = sr.daily_series(rows, "sku_id").select(whole.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert [r["avg_price"] for r in got.filter("series_id = 'A'").orderBy("date").collect()] == [8.0] * 9 + [3.0]
+
+
 def test_summary_of_one_row_has_no_deviation(spark):
     row = eda.per_sku_summary(sales(spark, [("2024-01-01", "A", 3, 1.0, 1)])).first()
     assert row["std_units"] is None and row["promo_frac"] == 1.0

@@ -37,11 +37,12 @@ def daily_total(df: DataFrame) -> DataFrame:
     return df.groupBy("date").agg(F.sum("units_sold").alias("total_units"))
 
 
-def densify_calendar(daily: DataFrame) -> DataFrame:
+def densify_calendar(daily: DataFrame, carry_price: bool = False) -> DataFrame:
     """One row per calendar day between the first and last day of each series.
 
     Each observed day also emits the missing days up to the next observed one, so no calendar
-    table and no join is needed. Missing days have no units, no promotion and no price.
+    table and no join is needed. Missing days have no units, no promotion and no price, or with
+    ``carry_price`` the price of the observed day before them.
     """
     following = F.coalesce(F.lead("date").over(by_day()), F.date_add("date", 1))
     spread = daily.withColumn("_last", F.date_add(following, -1)).withColumn(
@@ -50,7 +51,7 @@ def densify_calendar(daily: DataFrame) -> DataFrame:
     return spread.select(
         "series_id", F.col("day").alias("date"),
         F.when(real, F.coalesce(F.col("total_units"), F.lit(0))).otherwise(0).cast("bigint").alias("total_units"),
-        F.when(real, F.col("avg_price")).alias("avg_price"),
+        (F.col("avg_price") if carry_price else F.when(real, F.col("avg_price"))).alias("avg_price"),
         F.when(real, F.coalesce(F.col("promo_any"), F.lit(0))).otherwise(0).cast("int").alias("promo_any"))
 
 
@@ -66,8 +67,13 @@ def fill_price(daily: DataFrame, name: str = "avg_price") -> DataFrame:
 
 
 def daily_series(rows: DataFrame, by: str | Column | None = None) -> DataFrame:
-    """Aggregation, calendar, price fill and calendar features in one step."""
-    return calendar_features(fill_price(densify_calendar(daily_aggregate(with_series(rows, by)))))
+    """Aggregation, price fill, calendar and calendar features in one step.
+
+    The price is filled on the observed days, each of which hands it on to the missing days behind it: only
+    these are sorted, and the calendar streams through. A row without a day has no place in it.
+    """
+    observed = daily_aggregate(with_series(rows, by)).filter("date is not null")
+    return calendar_features(densify_calendar(fill_price(observed), carry_price=True))
 
 
 def first_difference(daily: DataFrame, name: str = "total_units") -> DataFrame:
