@@ -89,7 +89,7 @@ def test_parts_are_not_sent_through_the_driver(name, spark, sf):
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
 
 
-@pytest.mark.parametrize("name, sorts", [("daily_series_per_part", 1)])
+@pytest.mark.parametrize("name, sorts", [("daily_series_per_part", 1), ("a12_histogram_parts", 3)])
 def test_only_observed_days_are_sorted(name, sorts, spark, sf):
     """The gap-free days stream through: nothing above their generator sorts them or puts them in a window."""
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()

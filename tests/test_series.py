@@ -144,6 +144,17 @@ def test_histogram_of_a_constant(spark):
     assert len(rows) == 15 and rows[0]["n"] == 2 and rows[0]["label"] == "4-5" and sum(r["n"] for r in rows) == 2
 
 
+def test_histogram_keeps_rows_without_product(spark):
+    rows = [(None, 1.0), (None, 16.0), ("A", 2.0), ("A", 2.0), ("C", -15.0), ("C", 0.0)]
+    days = spark.createDataFrame(rows, "sku_id string, predicted_units double")
+    got = {}
+    for r in rp.histogram(days).collect():
+        got.setdefault(r["sku_id"], []).append((r["bin"], r["label"], r["n"]))
+    assert set(got) == {None, "A", "C"} and all(len(v) == 15 for v in got.values())
+    filled = {k: [b for b in sorted(v, key=lambda b: b[0]) if b[2]] for k, v in got.items()}
+    assert filled == {None: [(0, "1-2", 1), (14, "15-16", 1)], "A": [(0, "2-3", 2)], "C": [(0, "-15--14", 1), (14, "-1-0", 1)]}
+
+
 def test_prices_are_filled_as_on_the_whole_calendar(spark):
     """Filling the observed days and handing the price on equals filling the dense calendar, missing days and prices included."""
     rows = spark.createDataFrame([

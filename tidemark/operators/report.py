@@ -81,13 +81,20 @@ def weekday_means(forecast: DataFrame) -> DataFrame:
 
 
 def histogram(forecast: DataFrame, bins: int = 15) -> DataFrame:
-    """Equal-width bins between the extremes of each product, empty ones kept, the last closed."""
-    whole = Window.partitionBy("sku_id")
+    """Equal-width bins between the extremes of each product, empty ones kept, the last closed.
+
+    The days are streamed twice, once for the extremes and once for the counts: neither sorts them, and a task
+    holds one row per product. Rows without a product are one group, whose extremes a join would not find.
+    """
     value = F.col("predicted_units").cast("double")
-    spread = (F.max(value).over(whole) - F.min(value).over(whole)) / bins
-    ranged = forecast.select(
-        "sku_id", value.alias("v"), F.min(value).over(whole).alias("lo"),
-        F.when(spread > 0, spread).otherwise(1.0).alias("w"))
+    ends = F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    nameless = forecast.filter("sku_id is null").agg(ends.alias("e")).scalar()
+    known = forecast.groupBy("sku_id").agg(ends.alias("e"))
+    joined = forecast.join(known.hint("shuffle_hash"), "sku_id", "left").withColumn(
+        "e", F.when(F.col("sku_id").isNull(), nameless).otherwise(F.col("e")))
+    spread = (F.col("e.hi") - F.col("e.lo")) / bins
+    ranged = joined.select("sku_id", value.alias("v"), F.col("e.lo").alias("lo"),
+                           F.when(spread > 0, spread).otherwise(1.0).alias("w"))
     slot = F.least(F.floor((F.col("v") - F.col("lo")) / F.col("w")), F.lit(bins - 1))
     counts = ranged.withColumn("slot", slot).groupBy("sku_id").agg(
         F.first("lo").alias("lo"), F.first("w").alias("w"),
