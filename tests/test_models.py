@@ -445,3 +445,86 @@ def test_few_windows_are_trained_in_one_part(spark, monkeypatch):
     start = calendar_features(frame(spark, a=seasonal(120, 0))).withColumns({"avg_price": F.lit(1.0), "promo_any": F.lit(0)})
     nl.fit_nonlinear(start, "total_units", rounds=1, depth=1)
     assert parts == [1] * nl.N_OUT
+
+
+def test_a_day_without_sales_never_leaves_spark_as_a_row(spark):
+    """Counts of days and kept rows are packed: gaps, repeated days, rows without a day or a value and any order survive."""
+    def day(i):
+        return START + dt.timedelta(days=i)
+
+    rows = [("plain", day(i), float(i % 90 == 0), None) for i in range(1500)]
+    rows += [("gaps", day(i), float(i % 70 == 0), None) for i in range(900) if i % 7]
+    rows += [("twice", day(i // 2), float(i % 50 == 0), float(i)) for i in range(300)]
+    rows += [("undated", None, 4.0, None), ("undated", day(3), 0.0, None), ("undated", None, 0.0, 1.0)]
+    rows += [("missing", day(i), None if i % 40 == 0 else 0.0, None) for i in range(200)]
+    rows += [("old", dt.date(1960, 1, 1) + dt.timedelta(days=i), float(i in (0, 499)), None) for i in range(500)]
+    rows += [(None, day(i), 0.0, None) for i in range(400)]
+    df = spark.createDataFrame(rows[::-1], "series_id string, date date, x double, z0 double")
+
+    def back(batches):
+        for name, found in ln.unpacked_series(batches, "date"):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(found), pa.string()), *[found.column(c).combine_chunks() for c in ("date", "x", "z0")]],
+                names=["series_id", "date", "x", "z0"])
+
+    got = [tuple(r) for r in ln.by_series(ln.packed(df, {"z0": None}), "date").mapInArrow(back, df.schema).collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
+    for name in {r[0] for r in rows}:
+        days = [r[1] for r in got if r[0] == name]
+        assert days == sorted(days, key=lambda d: (d is not None, d))
+    sent = df.sparkSession.createDataFrame([r for r in rows if r[0] == "plain"], df.schema)
+    plan = ln.packed(sent, {"z0": None})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter") == 2 and "<=>" in plan  # counts of days, and days of a value
+    with pytest.raises(Exception, match="more than 15 rows"):
+        ln.packed(spark.createDataFrame([("a", day(0), 0.0)] * 40, "series_id string, date date, x double")).collect()
+
+
+def test_the_search_returns_one_row_a_series(spark):
+    """The best candidate is found in the task: no candidate travels, and it is the one of the list."""
+    df = frame(spark, a=seasonal(400, 1), b=arma(300, {1: 0.7}, {}, 2), c=[5.0] * 200, d=[1.0, 2.0])
+    plan = ln.search_orders(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "MapInPandas" not in plan and "SortAggregate" not in plan
+    best = {r["series_id"]: r for r in ln.search_orders(df).collect()}
+    listed = {}
+    for r in ln.candidate_models(df).collect():
+        listed.setdefault(r["series_id"], []).append(r)
+    assert set(best) == set("abcd") and set(listed) == set("ab")
+    for name, rows in listed.items():
+        least = min(rows, key=lambda r: (r["aic"], r["rank"]))
+        assert best[name]["admissible"] == len(rows) and not best[name]["fallback"]
+        assert [best[name][c] for c in ("d", "sd", "p", "q", "sp", "sq", "n")] == [least[c] for c in ("d", "sd", "p", "q", "sp", "sq", "n")]
+        assert np.allclose(best[name]["ar"] + best[name]["ma"], least["ar"] + least["ma"])
+    assert best["c"]["fallback"] and best["c"]["intercept"] == 5.0 and best["c"]["aic"] is None
+    assert best["d"]["fallback"] and best["d"]["intercept"] == 1.5 and best["d"]["n"] == 2
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_side_by_side_solutions_are_those_of_least_squares(seed):
+    """Also where columns are equal: those matrices leave the elimination."""
+    rng, grid = np.random.default_rng(seed), ln.Grid()
+    size = 2 + 2 * len(grid.all_lags)
+    columns = rng.normal(size=(6, 200, size))
+    columns[2, :, 5], columns[3, :, 4] = columns[2, :, 4], 0.0
+    full = np.einsum("bti,btj->bij", columns, columns)
+    d = np.array([0, 1, 0, 1, 0, 1])
+    found = ln._candidates(full, np.full(6, 200), d, d, grid)
+    for i, (p, q, sp, sq) in enumerate(grid.orders):
+        for b in range(6):
+            at = [*([1] if d[b] == 0 else []), *[2 + k for k, lag in enumerate(grid.all_lags) if lag in grid.lags(p, sp)],
+                  *[2 + len(grid.all_lags) + k for k, lag in enumerate(grid.all_lags) if lag in grid.lags(q, sq)]]
+            y, z = columns[b, :, 0], columns[b][:, at]
+            left = y - z @ np.linalg.lstsq(z, y, rcond=None)[0] if at else y
+            assert found["sse"][i, b] == pytest.approx(left @ left)
+
+
+def test_the_calendar_is_not_written_where_the_observed_days_are(spark, tmp_path):
+    from tidemark.operators.series import daily_series
+    from tidemark.sources.registry import save_table
+
+    rows = spark.createDataFrame([("a", START, 1, 2.0, 0), ("a", START + dt.timedelta(days=500), 3, 4.0, 1), ("b", START, 5, 6.0, 0)],
+                                 "sku_id string, date date, units_sold long, price double, promotion_flag int")
+    folder = str(tmp_path / "days")
+    daily = daily_series(rows, "sku_id", lambda observed: save_table(observed, folder))
+    assert spark.read.parquet(folder).count() == 3 and daily.count() == 502
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, daily_series(rows, "sku_id").collect()))
+    assert "Exchange" not in daily._jdf.queryExecution().executedPlan().toString()

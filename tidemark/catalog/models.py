@@ -111,13 +111,16 @@ from daily where date >= date '{SPLIT}' and series_id in (select series_id from
 group by series_id""", dates="first_day last_day")
 def m04_parts(spark, sf):
     """A catalog of many short series: a forecast for every product and test day, whatever the product's history."""
-    daily = daily_series(part_demand(spark, sf), "sku_id").select("series_id", "date", "total_units")
-    # Fit, forecast and the list of series read the days; they are made once.
-    train, test = split(save_table(daily, f"{ensure_checkpoint_dir(spark)}/part-days-{uuid.uuid4().hex}"))
-    forecast = ln.forecast_linear(train, ln.search_orders(train), test.join(train.select("series_id").distinct(), "series_id"))
-    return forecast.groupBy("series_id").agg(
+    # Fit, forecast and the list of series read the days; the observed ones are made once.
+    folder = f"{ensure_checkpoint_dir(spark)}/part-days-{uuid.uuid4().hex}"
+    daily = daily_series(part_demand(spark, sf), "sku_id", lambda observed: save_table(observed, folder))
+    train, test = split(daily.select("series_id", "date", "total_units"))
+    forecast = ln.forecast_linear(train, ln.search_orders(train), test)
+    per_series = forecast.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
         F.count("predicted_units").alias("predicted"))
+    # A product without history has no forecast: the rows of the result are joined, not its days.
+    return per_series.join(train.select("series_id").distinct(), "series_id")
 
 
 @query("m05_apply_linear", digits=3)

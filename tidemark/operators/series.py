@@ -6,6 +6,8 @@ therefore holds one row per calendar day, however many rows a product has.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.functions.calendar import calendar_features
@@ -44,9 +46,17 @@ def densify_calendar(daily: DataFrame, carry_price: bool = False) -> DataFrame:
     table and no join is needed. Missing days have no units, no promotion and no price, or with
     ``carry_price`` the price of the observed day before them.
     """
+    return _spread(_with_gap(daily), carry_price)
+
+
+def _with_gap(daily: DataFrame) -> DataFrame:
+    """Observed days with the last of the missing days behind each."""
     following = F.coalesce(F.lead("date").over(by_day()), F.date_add("date", 1))
-    spread = daily.withColumn("_last", F.date_add(following, -1)).withColumn(
-        "day", F.explode(F.sequence("date", "_last")))
+    return daily.withColumn("_last", F.date_add(following, -1))
+
+
+def _spread(observed: DataFrame, carry_price: bool) -> DataFrame:
+    spread = observed.withColumn("day", F.explode(F.sequence("date", "_last")))
     real = F.col("day") == F.col("date")
     return spread.select(
         "series_id", F.col("day").alias("date"),
@@ -66,14 +76,18 @@ def fill_price(daily: DataFrame, name: str = "avg_price") -> DataFrame:
     return daily.withColumn(name, F.coalesce(F.last(name, True).over(past), F.first(name, True).over(whole)))
 
 
-def daily_series(rows: DataFrame, by: str | Column | None = None) -> DataFrame:
+def daily_series(rows: DataFrame, by: str | Column | None = None,
+                 store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Aggregation, price fill, calendar and calendar features in one step.
 
     The price is filled on the observed days, each of which hands it on to the missing days behind it: only
     these are sorted, and the calendar streams through. A row without a day has no place in it.
+
+    Where the series is used more than once, ``store`` writes the observed days and reads them back: the calendar
+    streams from them in every use, without another shuffle, and is never written itself.
     """
-    observed = daily_aggregate(with_series(rows, by)).filter("date is not null")
-    return calendar_features(densify_calendar(fill_price(observed), carry_price=True))
+    observed = _with_gap(fill_price(daily_aggregate(with_series(rows, by)).filter("date is not null")))
+    return calendar_features(_spread(observed if store is None else store(observed), carry_price=True))
 
 
 def first_difference(daily: DataFrame, name: str = "total_units") -> DataFrame:
